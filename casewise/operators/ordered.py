@@ -4,8 +4,10 @@ Rows are cut into value ranges, each range is ordered on its own, and the totals
 ranges before it are added. Only the range totals, at most one row per range, meet in one place.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -36,27 +38,27 @@ def running_totals(
     by: Sequence[str] = (),
     then_by: Sequence[str] = (),
     edges: Sequence[float] | None = None,
+    wanted: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Add ``upto_<c>``, the sum of ``c`` over all rows up to and including this one.
 
     ``order_by`` is numeric, ascending and not null; ``then_by`` breaks ties. Rows that tie on
     ``order_by`` share a range, so aggregate by value first where one value may dominate.
+
+    ``wanted`` may pick ranges by the first sum before and after them; the rows of all other
+    ranges are dropped before anything is sorted.
     """
     if edges is None:
         edges = value_ranges(df, order_by)
-    if edges:
-        cut = Bucketizer(
-            splits=[float("-inf"), *edges, float("inf")], inputCol="_order", outputCol="_range", handleInvalid="keep"
-        )
-        ranged = cut.transform(df.withColumn("_order", F.col(order_by).cast("double"))).drop("_order")
-    else:
-        ranged = df.withColumn("_range", F.lit(0.0))
+    ranged = _with_range(df, order_by, edges)
     group = [*by, "_range"]
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     per_range = ranged.groupBy(*group).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
-    offsets = per_range.select(
-        *group, *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums]
-    )
+    offsets = per_range.withColumns({f"_before_{c}": F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)) for c in sums})
+    if wanted is not None:
+        before = F.col(f"_before_{sums[0]}")
+        offsets = offsets.where(wanted(before, before + F.col(f"_sum_{sums[0]}")))
+    offsets = offsets.drop(*[f"_sum_{c}" for c in sums])
     if not by:
         offsets = F.broadcast(offsets)  # one row per range, at most MAX_RANGES + 1
     within = Window.partitionBy(*group).orderBy(order_by, *then_by).rowsBetween(Window.unboundedPreceding, 0)
@@ -65,6 +67,17 @@ def running_totals(
     )
 
 
+def _with_range(df: DataFrame, order_by: str, edges: Sequence[float]) -> DataFrame:
+    """Add ``_range``, the number of the range the row falls into; NaN has the last one."""
+    if not edges:
+        return df.withColumn("_range", F.lit(0))
+    cut = Bucketizer(
+        splits=[float("-inf"), *edges, float("inf")], inputCol="_order", outputCol="_range", handleInvalid="keep"
+    )
+    ordered = df.withColumn("_order", F.col(order_by).cast("double"))
+    return cut.transform(ordered).drop("_order").withColumn("_range", F.col("_range").cast("int"))
+
+
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """(value, n) for the non-null values of a column; hot values shrink before the shuffle."""
     return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
@@ -75,15 +88,17 @@ def percentiles_of_counts(counts: DataFrame, points: Mapping[str, str], edges: S
 
     ``points`` maps an output name to a fraction written as a decimal string, e.g. ``"0.95"``.
     The percentile is the smallest value that at least that fraction of the rows do not exceed.
+    Only the ranges that hold one of the wanted ranks are sorted.
     """
     total = counts.agg(F.sum("n").cast("decimal(20,0)")).scalar()
-    ranked = running_totals(counts, "value", ["n"], edges=edges)
+    ranks = {name: F.greatest(F.ceil(total * F.lit(Decimal(point))), F.lit(1)) for name, point in points.items()}
 
-    def smallest_reaching(fraction: str) -> Column:
-        rank = F.greatest(F.ceil(total * F.lit(Decimal(fraction))), F.lit(1))
-        return F.min(F.when(F.col("upto_n") >= rank, F.col("value")))
+    def holds_a_rank(before: Column, upto: Column) -> Column:
+        return reduce(or_, [(rank > before) & (rank <= upto) for rank in ranks.values()])
 
-    return ranked.agg(*[smallest_reaching(fraction).alias(name) for name, fraction in points.items()])
+    ranked = running_totals(counts, "value", ["n"], edges=edges, wanted=holds_a_rank)
+    reached = F.col("upto_n")
+    return ranked.agg(*[F.min(F.when(reached >= rank, F.col("value"))).alias(name) for name, rank in ranks.items()])
 
 
 def exact_percentiles(df: DataFrame, column: str, points: Mapping[str, str]) -> DataFrame:

@@ -1,13 +1,16 @@
 """Operations along an ordered series of group totals.
 
 Neighbours are found by row position and brought together by an equi-grouping on that position,
-so a series of any length is handled without one sorted task.
+so a series of any length is handled without one sorted task. The totals are written once before
+they are ordered: ordering reads them several times, and they are far smaller than the rows
+behind them.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
 from casewise.functions.cleaning import percent
 from casewise.operators.ordered import running_totals, with_position
+from casewise.sources.storage import staged
 
 
 def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2, after: int = 1) -> DataFrame:
@@ -17,8 +20,9 @@ def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2
     frame counts rows.
     """
     frame = before + after + 1
+    series = staged(series.select(order_by, value), "series")
     reach = F.explode(F.sequence(F.lit(-after), F.lit(before))).alias("shift")
-    spread = with_position(series.select(order_by, value), order_by).select(order_by, value, "position", reach)
+    spread = with_position(series, order_by).select(order_by, value, "position", reach)
     own = F.col("shift") == 0
     gathered = spread.groupBy((F.col("position") + F.col("shift")).alias("target")).agg(
         F.max(F.when(own, F.col(order_by))).alias(order_by),
@@ -34,8 +38,9 @@ def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2
 
 def step_delta(series: DataFrame, order_by: str, value: str) -> DataFrame:
     """Drop from the previous row, relative to the first value of the series."""
+    series = staged(series.select(order_by, value), "series")
     first = series.agg(F.min_by(value, order_by)).scalar()
-    spread = with_position(series.select(order_by, value), order_by).select(
+    spread = with_position(series, order_by).select(
         order_by, value, "position", F.explode(F.array(F.lit(0), F.lit(1))).alias("shift")
     )
     own = F.col("shift") == 0
@@ -54,9 +59,10 @@ def cumulative_share(groups: DataFrame, name: str, total: str) -> DataFrame:
 
     Groups of equal total go by name.
     """
+    groups = staged(groups.select(name, total), "groups")
     whole = groups.agg(F.sum(total)).scalar()
     ranked = running_totals(
-        groups.select(name, total).withColumn("_falling", -F.col(total)).withColumn("_one", F.lit(1)),
+        groups.withColumn("_falling", -F.col(total)).withColumn("_one", F.lit(1)),
         "_falling",
         [total, "_one"],
         then_by=[name],

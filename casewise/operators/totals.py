@@ -1,6 +1,8 @@
 """Totals, rates, concentration, peaks and rankings."""
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -94,21 +96,21 @@ def group_rollup(df: DataFrame, keys: Sequence[str], amount: str, lists: Sequenc
     """Total and row count per group, with the values of ``lists`` as one row per value.
 
     A group's values are kept as (list, value, copies) rows, so the list of a group that holds a
-    large part of the table is never gathered into one row or one task. Repeating each value
-    ``copies`` times gives the plain list back; null values are left out, as in a list.
+    large part of the table is never gathered into one row or one task. Repeating each value that
+    is not null ``copies`` times gives the plain list back. The table is read once.
     """
-    values = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("list"), F.col(c).cast("string").alias("value")) for c in lists])
-    ).alias("item")
+    items = F.inline(F.array(*[F.struct(F.lit(c).alias("list"), F.col(c).cast("string").alias("value")) for c in lists]))
     counted = (
-        df.select(*keys, values)
-        .select(*keys, "item.list", "item.value")
-        .where(F.col("value").isNotNull())
+        df.select(*keys, F.col(amount).alias("_amount"), items)
         .groupBy(*keys, "list", "value")
-        .agg(F.count("*").alias("copies"))
+        .agg(F.count("*").alias("copies"), F.sum("_amount").alias("_amount"))
     )
-    totals = df.groupBy(*keys).agg(F.sum(amount).alias("total"), F.count("*").alias("rows"))
-    return totals.join(counted, list(keys), "left")
+    once = F.col("list") == lists[0]  # every row is there once per list
+    totals = counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.sum(F.when(once, F.col("_amount"))).alias("total"), F.sum(F.when(once, F.col("copies"))).alias("rows")
+    )
+    same_group = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return counted.join(totals, same_group).select(*keys, "total", "rows", "list", "value", "copies")
 
 
 def describe_group(parts: Sequence[str | Column]) -> Column:

@@ -144,11 +144,11 @@ def event_frequency(spark, sf_dir):
 @REGISTRY.add(
     "group_rollup_lists",
     f"""{NOTI}, items as (
-  select event, dept, 'week' as list, cast(week as varchar) as value from noti where week is not null
-  union all select event, dept, 'town', town from noti where town is not null),
+  select event, dept, 'week' as list, cast(week as varchar) as value from noti
+  union all select event, dept, 'town', town from noti),
 counted as (select event, dept, list, value, count(*) as copies from items group by all),
 sums as (select event, dept, sum(cases)::bigint as total, count(*) as rows from noti group by all)
-select event, dept, total, rows, list, value, copies from sums left join counted using (event, dept)""",
+select event, dept, total, rows, list, value, copies from sums join counted using (event, dept)""",
 )
 def group_rollup_lists(spark, sf_dir):
     return totals.group_rollup(_noti(spark, sf_dir), ["event", "dept"], "cases", ["week", "town"])
