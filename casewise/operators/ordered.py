@@ -12,7 +12,7 @@ from operator import or_
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_RANGES = 4096
+MAX_RANGES = 2048
 
 
 def value_ranges(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:

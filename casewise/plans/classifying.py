@@ -18,13 +18,14 @@ TERMS = 3000
 def _numbers(spark, sf_dir):
     """Train and test rows with scaled numbers, and the languages in label order.
 
-    Scaling and labels are fitted on the train rows. Both parts are written once: every fit below
-    reads them many times.
+    Scaling and labels are fitted on the train rows. The numbers are written once: the texts are
+    read for them alone, and every fit reads the numbers many times.
     """
-    docs = bindings.document_numbers(spark, sf_dir).withColumn("train", features.in_train("doc_id"))
+    numbers = bindings.document_numbers(spark, sf_dir).withColumn("train", features.in_train("doc_id"))
+    docs = staged(numbers, "numbers")
     labels = features.indexer("lang", "label").fit(docs.where("train"))
     _, prepared = features.prepared(labels.transform(docs), features.numeric_stages(NUMBERS), F.col("train"))
-    kept = staged(prepared.select("doc_id", "lang", "label", "features", "scaled", "train"), "numbers")
+    kept = prepared.select("doc_id", "lang", "label", "features", "scaled", "train")
     return kept.where("train"), kept.where(~F.col("train")), list(labels.labels)
 
 
@@ -101,7 +102,7 @@ def _text_model(spark, sf_dir):
 
     Vocabulary and weights come from the train rows only.
     """
-    docs = bindings.documents(spark, sf_dir).select(
+    docs = bindings.documents(spark, sf_dir, heavy=True).select(
         "doc_id", "lang", tokens("text", stop_words=STOP_WORDS_ES).alias("tokens"), features.in_train("doc_id").alias("train")
     )
     labels = features.indexer("lang", "label").fit(docs.where("train"))

@@ -29,8 +29,8 @@ from raw group by "Nombre" """,
 )
 def scan_csv(spark, sf_dir):
     path = fresh_path(spark, "notifications-csv")
-    keep_blanks = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    bindings.raw_notifications(spark, sf_dir).write.options(**keep_blanks).csv(path)
+    written = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    bindings.raw_notifications(spark, sf_dir).write.options(**written).csv(path)
     read = read_text_columns(spark, path, NOTIFICATION_COLUMNS)
     return read.groupBy(F.col("Nombre").alias("event")).agg(
         F.count("*").alias("n"),

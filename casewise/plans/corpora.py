@@ -24,7 +24,7 @@ placed as (select *, row_number() over (order by n desc, term) as place from voc
 
 
 def _tokenised(spark, sf_dir, stop_words=STOP_WORDS_ES):
-    return bindings.documents(spark, sf_dir).select(
+    return bindings.documents(spark, sf_dir, heavy=True).select(
         "doc_id", "lang", tokens("text", stop_words=stop_words).alias("tokens")
     )
 

@@ -9,6 +9,7 @@ from casewise.plans import views
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
 from casewise.sources.readers import table
+from casewise.sources.storage import staged
 
 NOTI = f"with {views.NOTIFICATIONS}"
 
@@ -44,12 +45,13 @@ def one_hot(spark, sf_dir):
 
 
 def _known(spark, sf_dir):
-    known = bindings.notifications(spark, sf_dir).where(F.col("dept") != 0)
+    known = bindings.notifications(spark, sf_dir, heavy=True).where(F.col("dept") != 0)
     return known.select("week", F.col("dept").cast("string").alias("dept"), "cases")
 
 
 def _assembled(spark, sf_dir):
-    return features.prepared(_known(spark, sf_dir), features.feature_stages(["week"], "dept", ["cases"]))[1]
+    known = staged(_known(spark, sf_dir), "known")  # each stage below is fitted on it
+    return features.prepared(known, features.feature_stages(["week"], "dept", ["cases"]))[1]
 
 
 SLOTS_SQL = f"""{NOTI}, known as (select week, cast(dept as varchar) as dept, cases from noti where dept <> 0),
@@ -92,7 +94,7 @@ select week, cases, count(*) as n, round((week - any_value(wm)) / any_value(ws),
        round((cases - any_value(cm)) / any_value(cs), 6) as cases_scaled from noti, fitted group by week, cases""",
 )
 def standard_scale(spark, sf_dir):
-    noti = bindings.notifications(spark, sf_dir).select("week", "cases")
+    noti = bindings.notifications(spark, sf_dir, heavy=True).select("week", "cases")
     scaled = features.prepared(noti, features.numeric_stages(["week", "cases"]))[1]
     counted = scaled.groupBy("week", "cases", vector_to_array("scaled").alias("scaled")).agg(F.count("*").alias("n"))
     return counted.select(

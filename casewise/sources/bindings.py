@@ -3,11 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewise.functions.text import tokens
-from casewise.sources.readers import clean_notifications, table
+from casewise.sources.readers import clean_notifications, spread, table
 
 
-def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales lines rendered as dirty notification text.
+def raw_notifications(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """Sales lines rendered as dirty notification text, spread out for ``heavy`` work per row.
 
     Text is rendered on the dimension side before the join, so it is done once per part and
     supplier. The join carries no hint: Spark broadcasts a dimension below its size threshold
@@ -25,8 +25,9 @@ def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(nation == 0, "  ").otherwise(F.concat(F.lit(" "), "s_name", F.lit(" "))).alias("nom_mun"),
     )
     year = F.year("l_shipdate").cast("string")
+    lines = table(spark, sf_dir, "lineitem")
     return (
-        table(spark, sf_dir, "lineitem")
+        (spread(lines, "l_orderkey", "l_linenumber") if heavy else lines)
         .join(part, "l_partkey")
         .join(supplier, "l_suppkey")
         .select(
@@ -42,16 +43,17 @@ def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_notifications(raw_notifications(spark, sf_dir))
+def notifications(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    return clean_notifications(raw_notifications(spark, sf_dir, heavy))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+def documents(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spread(docs, "doc_id") if heavy else docs
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +63,8 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numeric description of every document, with its language."""
     letters = F.length("text")
-    non_ascii = letters - F.length(F.regexp_replace("text", "[^\\x00-\\x7F]", ""))
-    return documents(spark, sf_dir).select(
+    non_ascii = F.regexp_count("text", F.lit("[^\\x00-\\x7F]"))
+    return documents(spark, sf_dir, heavy=True).select(
         "doc_id",
         "lang",
         F.col("n_chars").cast("double").alias("n_chars"),

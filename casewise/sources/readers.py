@@ -15,13 +15,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_text_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give work that is heavy per row to all cores, where the files alone would not.
+
+    A large input has more splits than the session has cores and stays as it is, unshuffled. Only
+    an input of fewer splits is dealt out by key, which is a small shuffle by the same measure.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
+def read_text_columns(
+    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False
+) -> DataFrame:
     """CSV with a header, every column kept as text and blanks kept as ``''``.
 
-    Columns are matched by name through the header, in whatever order the file has them.
+    Columns are matched by name through the header, in whatever order the file has them. A quote
+    inside a quoted cell is doubled. ``multi_line`` allows line breaks inside quoted cells, at the
+    price of files that cannot be split.
     """
-    header = spark.read.option("header", True).option("inferSchema", False).option("multiLine", False).csv(path)
-    return header.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
+    options = {"header": True, "inferSchema": False, "encoding": "UTF-8", "escape": '"', "multiLine": multi_line}
+    found = spark.read.options(**options).csv(path)
+    return found.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
 
 
 def clean_notifications(raw: DataFrame, town: Column | None = None) -> DataFrame:
