@@ -18,12 +18,12 @@ def map_codes(
 ) -> DataFrame:
     """Look ``code`` up in a literal table; a code that is not in it gets the defaults.
 
-    ``rows`` are (code, value, ...) and ``outputs`` name each value as (name, type, default).
+    ``rows`` are (code, value, ...) and ``outputs`` name the leading values as (name, type, default).
     The table lives in code, so its size is known before it is broadcast.
     """
     key = dict(df.dtypes)[code]
     schema = ", ".join([f"_code {key}", *[f"_value_{i} {kind}" for i, (_, kind, _) in enumerate(outputs)]])
-    codes = literal_table(df.sparkSession, rows, schema)
+    codes = literal_table(df.sparkSession, [row[: len(outputs) + 1] for row in rows], schema)
     if len(rows) <= MAX_BROADCAST_ROWS:
         codes = F.broadcast(codes)
     defaulted: list[Column] = [

@@ -50,6 +50,10 @@ def running_totals(
     """
     if edges is None:
         edges = value_ranges(df, order_by)
+    frame = (Window.unboundedPreceding, 0)
+    if not edges:  # a table small enough for one range
+        whole = Window.partitionBy(*by).orderBy(order_by, *then_by).rowsBetween(*frame)
+        return df.select("*", *[F.sum(c).over(whole).alias(f"upto_{c}") for c in sums])
     ranged = _with_range(df, order_by, edges)
     group = [*by, "_range"]
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -61,7 +65,7 @@ def running_totals(
     offsets = offsets.drop(*[f"_sum_{c}" for c in sums])
     if not by:
         offsets = F.broadcast(offsets)  # one row per range, at most MAX_RANGES + 1
-    within = Window.partitionBy(*group).orderBy(order_by, *then_by).rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy(*group).orderBy(order_by, *then_by).rowsBetween(*frame)
     return ranged.join(offsets, group).select(
         *df.columns, *[(F.col(f"_before_{c}") + F.sum(c).over(within)).alias(f"upto_{c}") for c in sums]
     )
@@ -69,8 +73,6 @@ def running_totals(
 
 def _with_range(df: DataFrame, order_by: str, edges: Sequence[float]) -> DataFrame:
     """Add ``_range``, the number of the range the row falls into; NaN has the last one."""
-    if not edges:
-        return df.withColumn("_range", F.lit(0))
     cut = Bucketizer(
         splits=[float("-inf"), *edges, float("inf")], inputCol="_order", outputCol="_range", handleInvalid="keep"
     )
@@ -113,8 +115,9 @@ def approximate_percentiles(df: DataFrame, column: str, points: Mapping[str, str
     )
 
 
-def with_position(df: DataFrame, order_by: str, then_by: Sequence[str] = ()) -> DataFrame:
+def with_position(
+    df: DataFrame, order_by: str, then_by: Sequence[str] = (), edges: Sequence[float] | None = None
+) -> DataFrame:
     """Add the 1-based row position in ascending order."""
-    return running_totals(df.withColumn("_one", F.lit(1)), order_by, ["_one"], then_by=then_by).select(
-        *df.columns, F.col("upto__one").alias("position")
-    )
+    counted = running_totals(df.withColumn("_one", F.lit(1)), order_by, ["_one"], then_by=then_by, edges=edges)
+    return counted.select(*df.columns, F.col("upto__one").alias("position"))

@@ -9,10 +9,20 @@ behind them.
 from pyspark.sql import DataFrame, functions as F
 
 from casewise.functions.cleaning import percent
-from casewise.operators.ordered import running_totals, with_position
+from casewise.operators.ordered import running_totals, value_ranges, with_position
 from casewise.sources.storage import staged
 
 
+def _edges(written: DataFrame, order_by: str) -> list[float]:
+    """Range edges for a written table: no more ranges than it has splits, so none for a small one."""
+    most = int(written.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return value_ranges(written, order_by, min(most, written.rdd.getNumPartitions()))
+
+
+def _placed(written: DataFrame, order_by: str) -> DataFrame:
+    return with_position(written, order_by, edges=_edges(written, order_by))
+
+
 def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2, after: int = 1) -> DataFrame:
     """Mean of each row with its neighbours; null where the frame is not full.
 
@@ -22,7 +32,7 @@ def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2
     frame = before + after + 1
     series = staged(series.select(order_by, value), "series")
     reach = F.explode(F.sequence(F.lit(-after), F.lit(before))).alias("shift")
-    spread = with_position(series, order_by).select(order_by, value, "position", reach)
+    spread = _placed(series, order_by).select(order_by, value, "position", reach)
     own = F.col("shift") == 0
     gathered = spread.groupBy((F.col("position") + F.col("shift")).alias("target")).agg(
         F.max(F.when(own, F.col(order_by))).alias(order_by),
@@ -40,7 +50,7 @@ def step_delta(series: DataFrame, order_by: str, value: str) -> DataFrame:
     """Drop from the previous row, relative to the first value of the series."""
     series = staged(series.select(order_by, value), "series")
     first = series.agg(F.min_by(value, order_by)).scalar()
-    spread = with_position(series, order_by).select(
+    spread = _placed(series, order_by).select(
         order_by, value, "position", F.explode(F.array(F.lit(0), F.lit(1))).alias("shift")
     )
     own = F.col("shift") == 0
@@ -61,12 +71,8 @@ def cumulative_share(groups: DataFrame, name: str, total: str) -> DataFrame:
     """
     groups = staged(groups.select(name, total), "groups")
     whole = groups.agg(F.sum(total)).scalar()
-    ranked = running_totals(
-        groups.withColumn("_falling", -F.col(total)).withColumn("_one", F.lit(1)),
-        "_falling",
-        [total, "_one"],
-        then_by=[name],
-    )
+    falling = groups.withColumn("_falling", -F.col(total)).withColumn("_one", F.lit(1))
+    ranked = running_totals(falling, "_falling", [total, "_one"], then_by=[name], edges=_edges(falling, "_falling"))
     return ranked.select(
         name,
         total,

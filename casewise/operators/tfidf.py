@@ -120,21 +120,29 @@ def top_terms_per_document(
     )
 
 
-def top_terms_by_category(
-    df: DataFrame, category: str, vocabulary: Vocabulary, k: int = 6, min_documents: int = 3, tokens: str = "tokens"
+def mean_tfidf_by_category(
+    df: DataFrame, category: str, vocabulary: Vocabulary, min_documents: int = 1, tokens: str = "tokens"
 ) -> DataFrame:
-    """Terms with the largest mean TF-IDF in each category of at least ``min_documents`` documents.
+    """(category, documents, term, mean_tfidf) in each category of at least ``min_documents`` documents.
 
-    The mean is over all documents of the category, with or without the term. Term counts are
-    whole numbers and the weight of a term is the same everywhere, so counts are summed and
-    weighted once.
+    The mean is over all documents of the category, with or without the term; a term that is in
+    none of them is not listed. Term counts are whole numbers and the weight of a term is the same
+    everywhere, so counts are summed and weighted once, and each task sums before the shuffle.
     """
     sizes = df.groupBy(category).agg(F.count("*").alias("documents")).where(F.col("documents") >= min_documents)
     counted = document_terms(df, [category], vocabulary, tokens).groupBy(category, "idx").agg(F.sum("tf").alias("tf"))
     weights = F.broadcast(vocabulary.table(df.sparkSession).select("idx", "term", "idf"))
-    means = counted.join(weights, "idx").join(sizes, category).select(
-        category, "documents", "term", F.round(F.col("tf") * F.col("idf") / F.col("documents"), 9).alias("mean_tfidf")
+    mean = F.round(F.col("tf") * F.col("idf") / F.col("documents"), 9)
+    return counted.join(weights, "idx").join(sizes, category).select(
+        category, "documents", "term", mean.alias("mean_tfidf")
     )
+
+
+def top_terms_by_category(
+    df: DataFrame, category: str, vocabulary: Vocabulary, k: int = 6, min_documents: int = 3, tokens: str = "tokens"
+) -> DataFrame:
+    """The ``k`` terms with the largest mean TF-IDF in each category that is large enough."""
+    means = mean_tfidf_by_category(df, category, vocabulary, min_documents, tokens)
     return top_k_per_group(means, [category], [F.desc("mean_tfidf"), F.asc("term")], k)
 
 

@@ -9,7 +9,7 @@ from casewise.operators import classify, features, metrics, tfidf
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
 from casewise.sources.readers import table
-from casewise.sources.storage import staged
+from casewise.sources.storage import packed, staged
 
 NUMBERS = ["n_chars", "n_tokens", "non_ascii_share"]
 TERMS = 3000
@@ -26,7 +26,7 @@ def _numbers(spark, sf_dir):
     labels = features.indexer("lang", "label").fit(docs.where("train"))
     _, prepared = features.prepared(labels.transform(docs), features.numeric_stages(NUMBERS), F.col("train"))
     kept = prepared.select("doc_id", "lang", "label", "features", "scaled", "train")
-    return kept.where("train"), kept.where(~F.col("train")), list(labels.labels)
+    return packed(kept.where("train")), kept.where(~F.col("train")), list(labels.labels)
 
 
 def _scored(predicted, classes):
@@ -109,7 +109,7 @@ def _text_model(spark, sf_dir):
     vocabulary = tfidf.fit_vocabulary(docs.where("train"), size=TERMS)
     counted = tfidf.term_vectors(labels.transform(docs), vocabulary).select("doc_id", "lang", "label", "tf", "train")
     kept = staged(counted, "term-vectors")
-    train, test = kept.where("train"), kept.where(~F.col("train"))
+    train, test = packed(kept.where("train")), kept.where(~F.col("train"))
     weights = IDF(inputCol="tf", outputCol="features").fit(train)
     train, test = weights.transform(train), weights.transform(test)
     model = classify.logistic("features", family="multinomial").fit(train)

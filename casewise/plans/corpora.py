@@ -143,6 +143,18 @@ def tfidf_by_term(spark, sf_dir):
     )
 
 
+@REGISTRY.add(
+    "tfidf_mean_by_category",
+    f"""{VOCAB}, sizes as (select lang, count(*) as documents from documents group by lang)
+select lang, documents, term, round(sum(tf) * max(idf) / documents, 6) as mean_tfidf
+from tfs join vocab using (term) join sizes using (lang) group by lang, documents, term""",
+)
+def tfidf_mean_by_category(spark, sf_dir):
+    docs = _tokenised(spark, sf_dir)
+    means = tfidf.mean_tfidf_by_category(docs, "lang", _vocabulary(docs))
+    return means.withColumn("mean_tfidf", F.round("mean_tfidf", 6))
+
+
 @REGISTRY.add(
     "tfidf_top_by_category",
     f"""{VOCAB}, sizes as (select lang, count(*) as documents from documents group by lang having count(*) >= 3),

@@ -20,6 +20,10 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def family(kind: str) -> str:
     """Types that count as the same on both sides."""
     kind = kind.lower()
