@@ -4,13 +4,13 @@ Rows are cut into value ranges, each range is ordered on its own, and the totals
 ranges before it are added. Only the range totals, at most one row per range, meet in one place.
 """
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
 from operator import or_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 MAX_RANGES = 2048
 
@@ -38,15 +38,11 @@ def running_totals(
     by: Sequence[str] = (),
     then_by: Sequence[str] = (),
     edges: Sequence[float] | None = None,
-    wanted: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Add ``upto_<c>``, the sum of ``c`` over all rows up to and including this one.
 
     ``order_by`` is numeric, ascending and not null; ``then_by`` breaks ties. Rows that tie on
     ``order_by`` share a range, so aggregate by value first where one value may dominate.
-
-    ``wanted`` may pick ranges by the first sum before and after them; the rows of all other
-    ranges are dropped before anything is sorted.
     """
     if edges is None:
         edges = value_ranges(df, order_by)
@@ -58,11 +54,9 @@ def running_totals(
     group = [*by, "_range"]
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     per_range = ranged.groupBy(*group).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
-    offsets = per_range.withColumns({f"_before_{c}": F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)) for c in sums})
-    if wanted is not None:
-        before = F.col(f"_before_{sums[0]}")
-        offsets = offsets.where(wanted(before, before + F.col(f"_sum_{sums[0]}")))
-    offsets = offsets.drop(*[f"_sum_{c}" for c in sums])
+    offsets = per_range.select(
+        *group, *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums]
+    )
     if not by:
         offsets = F.broadcast(offsets)  # one row per range, at most MAX_RANGES + 1
     within = Window.partitionBy(*group).orderBy(order_by, *then_by).rowsBetween(*frame)
@@ -80,32 +74,47 @@ def _with_range(df: DataFrame, order_by: str, edges: Sequence[float]) -> DataFra
     return cut.transform(ordered).drop("_order").withColumn("_range", F.col("_range").cast("int"))
 
 
-def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """(value, n) for the non-null values of a column; hot values shrink before the shuffle."""
-    return df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-
+def exact_percentiles(
+    df: DataFrame, column: str, points: Mapping[str, str], edges: Sequence[float] | None = None
+) -> DataFrame:
+    """Exact discrete percentiles of a whole column, as one row.
 
-def percentiles_of_counts(counts: DataFrame, points: Mapping[str, str], edges: Sequence[float]) -> DataFrame:
-    """One row with the exact discrete percentiles of a (value, n) table.
+    ``points`` maps an output name to a fraction written as a decimal string, e.g. ``"0.95"``. The
+    percentile is the smallest value that at least that fraction of the non-null values do not
+    exceed.
 
-    ``points`` maps an output name to a fraction written as a decimal string, e.g. ``"0.95"``.
-    The percentile is the smallest value that at least that fraction of the rows do not exceed.
-    Only the ranges that hold one of the wanted ranks are sorted.
+    Rows are first only counted per value range, which shuffles one number per range and task.
+    Only values of the few ranges that hold a wanted rank are then grouped and sorted, each hot
+    value as one row per task.
     """
-    total = counts.agg(F.sum("n").cast("decimal(20,0)")).scalar()
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value"))
+    if edges is None:
+        edges = value_ranges(values, "value")
+    if edges:
+        ranged = _with_range(values, "value", edges)
+        sizes = ranged.groupBy("_range").agg(F.count("*").alias("n"))
+    else:
+        ranged = values
+        sizes = values.agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n").cast("decimal(20,0)")).scalar()
     ranks = {name: F.greatest(F.ceil(total * F.lit(Decimal(point))), F.lit(1)) for name, point in points.items()}
-
-    def holds_a_rank(before: Column, upto: Column) -> Column:
-        return reduce(or_, [(rank > before) & (rank <= upto) for rank in ranks.values()])
-
-    ranked = running_totals(counts, "value", ["n"], edges=edges, wanted=holds_a_rank)
-    reached = F.col("upto_n")
-    return ranked.agg(*[F.min(F.when(reached >= rank, F.col("value"))).alias(name) for name, rank in ranks.items()])
-
-
-def exact_percentiles(df: DataFrame, column: str, points: Mapping[str, str]) -> DataFrame:
-    """Exact discrete percentiles of a whole column, as one row."""
-    return percentiles_of_counts(value_counts(df, column), points, value_ranges(df, column))
+    if edges:
+        earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+        before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+        holds_a_rank = reduce(
+            or_, [(rank > F.col("_before")) & (rank <= F.col("_before") + F.col("n")) for rank in ranks.values()]
+        )
+        near = F.broadcast(sizes.withColumn("_before", before).where(holds_a_rank).drop("n"))  # one row per rank
+        counts = ranged.join(near, "_range").groupBy("_range", "_before", "value").agg(F.count("*").alias("n"))
+        within = Window.partitionBy("_range")
+    else:  # a table small enough for one range
+        counts = ranged.groupBy("value").agg(F.count("*").alias("n")).withColumn("_before", F.lit(0))
+        within = Window.partitionBy()
+    upto = F.col("_before") + F.sum("n").over(within.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    reached = counts.select("value", upto.alias("upto"))
+    return reached.agg(
+        *[F.min(F.when(F.col("upto") >= rank, F.col("value"))).alias(name) for name, rank in ranks.items()]
+    )
 
 
 def approximate_percentiles(df: DataFrame, column: str, points: Mapping[str, str], accuracy: int = 10000) -> DataFrame:

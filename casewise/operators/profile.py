@@ -5,7 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from casewise.functions.cleaning import percent
-from casewise.operators.ordered import percentiles_of_counts, value_counts, value_ranges
+from casewise.operators.ordered import exact_percentiles
 
 QUARTILES = {"p25": "0.25", "p50": "0.50", "p75": "0.75"}
 
@@ -39,8 +39,7 @@ def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def summary(df: DataFrame, column: str) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of one column, as one row."""
-    quartiles = percentiles_of_counts(value_counts(df, column), QUARTILES, value_ranges(df, column))
-    found = quartiles.select(F.struct(*QUARTILES)).scalar()
+    found = exact_percentiles(df, column, QUARTILES).select(F.struct(*QUARTILES)).scalar()
     return df.agg(
         F.count(column).alias("n"),
         F.avg(column).alias("mean"),
@@ -84,23 +83,19 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
 
-def outlier_limit(limits: DataFrame, reach: float) -> DataFrame:
+def outlier_limit(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
+    """Exact quartiles, their distance, and the limit ``reach`` distances above, as one row."""
+    quartiles = exact_percentiles(df, column, {"q1": "0.25", "q3": "0.75"})
     spread = F.col("q3") - F.col("q1")
-    return limits.select("q1", "q3", spread.alias("iqr"), (F.col("q3") + reach * spread).alias("upper"))
+    return quartiles.select("q1", "q3", spread.alias("iqr"), (F.col("q3") + reach * spread).alias("upper"))
 
 
 def iqr_outliers(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
-    """Quartiles, upper limit, and how many values lie above it, as one row.
-
-    The outliers are counted on the value counts that gave the quartiles, so the table is read
-    once for both.
-    """
-    counts = value_counts(df, column)
-    quartiles = percentiles_of_counts(counts, {"q1": "0.25", "q3": "0.75"}, value_ranges(df, column))
-    limit = outlier_limit(quartiles, reach)
+    """Quartiles, upper limit, and how many values lie above it, as one row."""
+    limit = outlier_limit(df, column, reach)
     found = limit.select(F.struct("*")).scalar()
-    beyond = F.coalesce(F.sum(F.when(F.col("value") > found["upper"], F.col("n"))), F.lit(0))
-    return counts.agg(beyond.alias("outliers"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).select(
+    counted = df.agg(F.count_if(F.col(column) > found["upper"]).alias("outliers"), F.count("*").alias("rows"))
+    return counted.select(
         *[found[name].alias(name) for name in limit.columns],
         "outliers",
         percent(F.col("outliers"), F.col("rows")).alias("pct"),
@@ -109,10 +104,7 @@ def iqr_outliers(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
 
 def rows_above_limit(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     """The outlying rows themselves."""
-    quartiles = percentiles_of_counts(
-        value_counts(df, column), {"q1": "0.25", "q3": "0.75"}, value_ranges(df, column)
-    )
-    return df.where(F.col(column) > outlier_limit(quartiles, reach).select("upper").scalar())
+    return df.where(F.col(column) > outlier_limit(df, column, reach).select("upper").scalar())
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

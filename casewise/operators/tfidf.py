@@ -132,7 +132,7 @@ def mean_tfidf_by_category(
     sizes = df.groupBy(category).agg(F.count("*").alias("documents")).where(F.col("documents") >= min_documents)
     counted = document_terms(df, [category], vocabulary, tokens).groupBy(category, "idx").agg(F.sum("tf").alias("tf"))
     weights = F.broadcast(vocabulary.table(df.sparkSession).select("idx", "term", "idf"))
-    mean = F.round(F.col("tf") * F.col("idf") / F.col("documents"), 9)
+    mean = F.col("tf") * F.col("idf") / F.col("documents")
     return counted.join(weights, "idx").join(sizes, category).select(
         category, "documents", "term", mean.alias("mean_tfidf")
     )
@@ -141,9 +141,12 @@ def mean_tfidf_by_category(
 def top_terms_by_category(
     df: DataFrame, category: str, vocabulary: Vocabulary, k: int = 6, min_documents: int = 3, tokens: str = "tokens"
 ) -> DataFrame:
-    """The ``k`` terms with the largest mean TF-IDF in each category that is large enough."""
+    """The ``k`` terms with the largest mean TF-IDF in each category that is large enough.
+
+    Means that are equal to nine places go by term.
+    """
     means = mean_tfidf_by_category(df, category, vocabulary, min_documents, tokens)
-    return top_k_per_group(means, [category], [F.desc("mean_tfidf"), F.asc("term")], k)
+    return top_k_per_group(means, [category], [F.round("mean_tfidf", 9).desc(), F.asc("term")], k)
 
 
 def tf_against_tfidf(vocabulary: Vocabulary, spark: SparkSession, k: int = 10) -> DataFrame:
@@ -153,9 +156,9 @@ def tf_against_tfidf(vocabulary: Vocabulary, spark: SparkSession, k: int = 10) -
         "term",
         F.inline(
             F.array(
-                F.struct(F.lit("tf").alias("measure"), F.round(per_document, 9).alias("mean")),
-                F.struct(F.lit("tfidf").alias("measure"), F.round(per_document * F.col("idf"), 9).alias("mean")),
+                F.struct(F.lit("tf").alias("measure"), per_document.alias("mean")),
+                F.struct(F.lit("tfidf").alias("measure"), (per_document * F.col("idf")).alias("mean")),
             )
         ),
     )
-    return top_k_per_group(means, ["measure"], [F.desc("mean"), F.asc("term")], k)
+    return top_k_per_group(means, ["measure"], [F.round("mean", 9).desc(), F.asc("term")], k)

@@ -158,9 +158,9 @@ def tfidf_mean_by_category(spark, sf_dir):
 @REGISTRY.add(
     "tfidf_top_by_category",
     f"""{VOCAB}, sizes as (select lang, count(*) as documents from documents group by lang having count(*) >= 3),
-means as (select lang, documents, term, round(sum(tf) * max(idf) / documents, 9) as mean
+means as (select lang, documents, term, sum(tf) * max(idf) / documents as mean
   from tfs join vocab using (term) join sizes using (lang) group by lang, documents, term),
-ranked as (select *, row_number() over (partition by lang order by mean desc, term)::int as rank from means)
+ranked as (select *, row_number() over (partition by lang order by round(mean, 9) desc, term)::int as rank from means)
 select lang, documents, term, round(mean, 6) as mean_tfidf, rank from ranked where rank <= 6""",
 )
 def tfidf_top_by_category(spark, sf_dir):
@@ -172,9 +172,9 @@ def tfidf_top_by_category(spark, sf_dir):
 @REGISTRY.add(
     "tf_vs_tfidf",
     f"""{VOCAB}, means as (
-  select 'tf' as measure, term, round(n::double / total, 9) as mean from vocab, docs
-  union all select 'tfidf', term, round(n::double / total * idf, 9) from vocab, docs),
-ranked as (select *, row_number() over (partition by measure order by mean desc, term)::int as rank from means)
+  select 'tf' as measure, term, n::double / total as mean from vocab, docs
+  union all select 'tfidf', term, n::double / total * idf from vocab, docs),
+ranked as (select *, row_number() over (partition by measure order by round(mean, 9) desc, term)::int as rank from means)
 select measure, term, round(mean, 6) as mean, rank from ranked where rank <= 10""",
 )
 def tf_vs_tfidf(spark, sf_dir):

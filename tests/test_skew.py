@@ -12,12 +12,11 @@ from casewise.operators.lookup import attach_group_facts
 from casewise.operators.ordered import (
     approximate_percentiles,
     exact_percentiles,
-    percentiles_of_counts,
     running_totals,
-    value_counts,
     value_ranges,
     with_position,
 )
+from checking import plan
 
 POINTS = {"p00": "0.00", "p25": "0.25", "p50": "0.50", "p75": "0.75", "p99": "0.99", "p100": "1.00"}
 
@@ -45,11 +44,18 @@ def test_percentiles_with_a_hot_value(spark):
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.integers(-5, 5), min_size=1, max_size=40), edges=st.sets(st.integers(-6, 6), max_size=5))
 def test_percentiles_do_not_depend_on_the_ranges(spark, values, edges):
-    counts = value_counts(spark.createDataFrame([(v,) for v in values], "v int"), "v")
-    found = percentiles_of_counts(counts, POINTS, sorted(map(float, edges))).first().asDict()
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    found = exact_percentiles(df, "v", POINTS, edges=sorted(map(float, edges))).first().asDict()
     assert found == {name: discrete(values, float(point)) for name, point in POINTS.items()}
 
 
+def test_percentiles_shuffle_only_ranges_with_a_rank(spark):
+    df = spark.range(10_000).select(F.col("id").cast("double").alias("v"))
+    text = plan(exact_percentiles(df, "v", {"p50": "0.5"}))
+    assert "BroadcastHashJoin [_range" in text
+    assert "partial_count" in text
+
+
 def test_running_totals_per_group(spark):
     draw = random.Random(3)
     data = [(draw.choice("ab"), i, draw.randint(0, 9)) for i in draw.sample(range(10**6), 500)]
