@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casewise.operators.ordered import running_totals, value_ranges
+from casewise.operators.ordered import RANGES, running_totals, value_ranges
 from casewise.operators.totals import top_k
 
 
@@ -83,26 +83,33 @@ def auc_one_vs_rest(df: DataFrame, scores: Mapping[int, str], label: str = "labe
 
     ``scores`` names the score column of every class. The area is the share of (member,
     non-member) pairs the score puts in the right order, ties counting half. Rows are first
-    counted per distinct score, so neither many rows nor one hot score meet in one task. A class
-    without members, or without non-members, has a null area.
+    counted per label and distinct score, so neither many rows nor one hot score meet in one task.
+    A class without members, or without non-members, has a null area.
     """
-    cases = F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(value).alias("class"),
-                    F.col(score).cast("double").alias("score"),
-                    (F.col(label) == value).cast("long").alias("member"),
-                )
-                for value, score in scores.items()
-            ]
-        )
+    columns = list(dict.fromkeys(scores.values()))
+    known = df.where(F.col(label).isNotNull()).select(
+        F.col(label).alias("_label"), *[F.col(c).cast("double").alias(c) for c in columns]
+    )
+    edges = value_ranges(known, columns, max(1, RANGES // len(columns)))
+    used_by = F.create_map(
+        *[item for c in columns for item in (F.lit(c), F.array(*[F.lit(k) for k, own in scores.items() if own == c]))]
     )
-    scored = df.select(label, *dict.fromkeys(scores.values())).select(cases)
-    counts = scored.groupBy("class", "score").agg(
-        F.sum("member").alias("members"), F.sum(1 - F.col("member")).alias("others")
+    counts = (
+        known.groupingSets([["_label", c] for c in columns], "_label", *columns)
+        .agg(F.count("*").alias("n"), *[F.grouping(c).alias(f"_without_{c}") for c in columns])
+        .select(
+            "_label",
+            F.coalesce(*[F.when(F.col(f"_without_{c}") == 0, F.lit(c)) for c in columns]).alias("column"),
+            F.coalesce(*[F.when(F.col(f"_without_{c}") == 0, F.col(c)) for c in columns]).alias("score"),
+            "n",
+        )
+        .select("_label", "score", "n", F.explode(used_by[F.col("column")]).alias("class"))
+        .groupBy("class", "score")
+        .agg(
+            F.sum(F.when(F.col("_label") == F.col("class"), F.col("n")).otherwise(0)).alias("members"),
+            F.sum(F.when(F.col("_label") == F.col("class"), 0).otherwise(F.col("n"))).alias("others"),
+        )
     )
-    edges = value_ranges(scored, "score")
     ranked = running_totals(counts, "score", ["others"], by=["class"], edges=edges)
     below = F.col("upto_others") - F.col("others") / 2.0
     return (

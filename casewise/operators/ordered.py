@@ -4,6 +4,7 @@ Rows are cut into value ranges, each range is ordered on its own, and the totals
 ranges before it are added. Only the range totals, at most one row per range, meet in one place.
 """
 
+import math
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
@@ -12,23 +13,26 @@ from operator import or_
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+RANGES = 512
 MAX_RANGES = 2048
 
 
-def value_ranges(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
-    """Inner edges that cut ``column`` into ranges of about equal row count.
+def value_ranges(df: DataFrame, columns: str | Sequence[str], ranges: int | None = None) -> list[float]:
+    """Inner edges that cut the values of one or more columns into ranges of about equal row count.
 
-    The edges come from a quantile sketch, so the driver sees at most ``ranges`` numbers. They
-    only balance the work: any edges give the same result.
+    The edges come from a quantile sketch in one pass, so the driver sees at most ``ranges``
+    numbers per column. They only balance the work: any edges give the same result.
     """
     if ranges is None:
-        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranges = max(1, min(ranges, MAX_RANGES))
     if ranges == 1:
         return []
+    columns = [columns] if isinstance(columns, str) else columns
     wanted = [step / ranges for step in range(1, ranges)]
-    edges = df.select(F.col(column).cast("double").alias("edge")).approxQuantile("edge", wanted, 0.5 / ranges)
-    return sorted({edge for edge in edges if abs(edge) != float("inf")})
+    sketches = [F.percentile_approx(F.col(c).cast("double"), wanted, 2 * ranges) for c in columns]
+    edges = {edge for found in df.agg(*sketches).first() for edge in found or []}
+    return sorted(edge for edge in edges if math.isfinite(edge))
 
 
 def running_totals(
@@ -58,7 +62,7 @@ def running_totals(
         *group, *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums]
     )
     if not by:
-        offsets = F.broadcast(offsets)  # one row per range, at most MAX_RANGES + 1
+        offsets = F.broadcast(offsets)  # one row per range
     within = Window.partitionBy(*group).orderBy(order_by, *then_by).rowsBetween(*frame)
     return ranged.join(offsets, group).select(
         *df.columns, *[(F.col(f"_before_{c}") + F.sum(c).over(within)).alias(f"upto_{c}") for c in sums]

@@ -99,11 +99,20 @@ def group_rollup(df: DataFrame, keys: Sequence[str], amount: str, lists: Sequenc
     large part of the table is never gathered into one row or one task. Repeating each value that
     is not null ``copies`` times gives the plain list back. The table is read once.
     """
-    items = F.inline(F.array(*[F.struct(F.lit(c).alias("list"), F.col(c).cast("string").alias("value")) for c in lists]))
     counted = (
-        df.select(*keys, F.col(amount).alias("_amount"), items)
-        .groupBy(*keys, "list", "value")
-        .agg(F.count("*").alias("copies"), F.sum("_amount").alias("_amount"))
+        df.groupingSets([[*keys, c] for c in lists], *keys, *lists)
+        .agg(
+            F.count("*").alias("copies"),
+            F.sum(amount).alias("_amount"),
+            *[F.grouping(c).alias(f"_without_{c}") for c in lists],
+        )
+        .select(
+            *keys,
+            F.coalesce(*[F.when(F.col(f"_without_{c}") == 0, F.lit(c)) for c in lists]).alias("list"),
+            F.coalesce(*[F.when(F.col(f"_without_{c}") == 0, F.col(c).cast("string")) for c in lists]).alias("value"),
+            "copies",
+            "_amount",
+        )
     )
     once = F.col("list") == lists[0]  # every row is there once per list
     totals = counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(

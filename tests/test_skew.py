@@ -65,7 +65,7 @@ def test_running_totals_per_group(spark):
     for group, order, amount in sorted(data, key=lambda row: row[1]):
         seen[group] += amount
         assert found[group, order] == seen[group]
-    assert len(value_ranges(df, "o")) == 7
+    assert len(value_ranges(df, "o", 8)) == 7
 
 
 def test_positions_are_complete(spark):
