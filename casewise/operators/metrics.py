@@ -103,28 +103,25 @@ def auc_one_vs_rest(df: DataFrame, scores: Mapping[int, str], label: str = "labe
             F.coalesce(*[F.when(F.col(f"_without_{c}") == 0, F.col(c)) for c in columns]).alias("score"),
             "n",
         )
-        .select("_label", "score", "n", F.explode(used_by[F.col("column")]).alias("class"))
-        .groupBy("class", "score")
-        .agg(
-            F.sum(F.when(F.col("_label") == F.col("class"), F.col("n")).otherwise(0)).alias("members"),
-            F.sum(F.when(F.col("_label") == F.col("class"), 0).otherwise(F.col("n"))).alias("others"),
-        )
-    )
-    ranked = running_totals(counts, "score", ["others"], by=["class"], edges=edges)
-    below = F.col("upto_others") - F.col("others") / 2.0
-    return (
-        ranked.groupBy("class")
-        .agg(
-            F.sum(F.col("members") * below).alias("wins"),
-            F.sum("members").alias("support"),
-            F.sum("others").alias("rest"),
-        )
+        .select("score", "n", "_label", F.explode(used_by[F.col("column")]).alias("class"))
         .select(
             "class",
-            "support",
-            F.try_divide(F.col("wins"), F.col("support").cast("double") * F.col("rest")).alias("auc"),
+            "score",
+            F.when(F.col("_label") == F.col("class"), F.col("n")).otherwise(0).alias("members"),
+            F.when(F.col("_label") == F.col("class"), 0).otherwise(F.col("n")).alias("others"),
         )
     )
+    ranked = running_totals(counts, "score", ["members", "others"], by=["class"], edges=edges, with_ties=True)
+    members, others = F.col("members").cast("double"), F.col("others").cast("double")
+    summed = ranked.groupBy("class").agg(
+        F.sum("members").alias("support"),
+        F.sum(others).alias("rest"),
+        F.sum(members * F.col("upto_others")).alias("not_below"),  # pairs with the member at or above
+        F.sum(others * F.col("upto_members")).alias("not_above"),  # pairs with the member at or below
+    )
+    pairs = F.col("support") * F.col("rest")
+    wins = (F.col("not_below") + pairs - F.col("not_above")) / 2
+    return summed.select("class", "support", F.try_divide(wins, pairs).alias("auc"))
 
 
 def weighted_auc(per_class: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 RANGES = 512
 MAX_RANGES = 2048
@@ -42,17 +42,18 @@ def running_totals(
     by: Sequence[str] = (),
     then_by: Sequence[str] = (),
     edges: Sequence[float] | None = None,
+    with_ties: bool = False,
 ) -> DataFrame:
     """Add ``upto_<c>``, the sum of ``c`` over all rows up to and including this one.
 
     ``order_by`` is numeric, ascending and not null; ``then_by`` breaks ties. Rows that tie on
-    ``order_by`` share a range, so aggregate by value first where one value may dominate.
+    ``order_by`` share a range, so aggregate by value first where one value may dominate. With
+    ``with_ties``, the sum of every row also has all rows that tie with it.
     """
     if edges is None:
         edges = value_ranges(df, order_by)
-    frame = (Window.unboundedPreceding, 0)
     if not edges:  # a table small enough for one range
-        whole = Window.partitionBy(*by).orderBy(order_by, *then_by).rowsBetween(*frame)
+        whole = _upto(Window.partitionBy(*by).orderBy(order_by, *then_by), with_ties)
         return df.select("*", *[F.sum(c).over(whole).alias(f"upto_{c}") for c in sums])
     ranged = _with_range(df, order_by, edges)
     group = [*by, "_range"]
@@ -63,12 +64,17 @@ def running_totals(
     )
     if not by:
         offsets = F.broadcast(offsets)  # one row per range
-    within = Window.partitionBy(*group).orderBy(order_by, *then_by).rowsBetween(*frame)
+    within = _upto(Window.partitionBy(*group).orderBy(order_by, *then_by), with_ties)
     return ranged.join(offsets, group).select(
         *df.columns, *[(F.col(f"_before_{c}") + F.sum(c).over(within)).alias(f"upto_{c}") for c in sums]
     )
 
 
+def _upto(ordered: WindowSpec, with_ties: bool) -> WindowSpec:
+    frame = (Window.unboundedPreceding, Window.currentRow)
+    return ordered.rangeBetween(*frame) if with_ties else ordered.rowsBetween(*frame)
+
+
 def _with_range(df: DataFrame, order_by: str, edges: Sequence[float]) -> DataFrame:
     """Add ``_range``, the number of the range the row falls into; NaN has the last one."""
     cut = Bucketizer(

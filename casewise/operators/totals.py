@@ -95,15 +95,15 @@ def peak(groups: DataFrame, name: str, total: str) -> DataFrame:
 def group_rollup(df: DataFrame, keys: Sequence[str], amount: str, lists: Sequence[str]) -> DataFrame:
     """Total and row count per group, with the values of ``lists`` as one row per value.
 
-    A group's values are kept as (list, value, copies) rows, so the list of a group that holds a
-    large part of the table is never gathered into one row or one task. Repeating each value that
-    is not null ``copies`` times gives the plain list back. The table is read once.
+    A group's values are kept as (list, value, copies, amount) rows, so the list of a group that
+    holds a large part of the table is never gathered into one row or one task. Repeating each
+    value that is not null ``copies`` times gives the plain list back. The table is read once.
     """
     counted = (
         df.groupingSets([[*keys, c] for c in lists], *keys, *lists)
         .agg(
             F.count("*").alias("copies"),
-            F.sum(amount).alias("_amount"),
+            F.sum(amount).alias("amount"),
             *[F.grouping(c).alias(f"_without_{c}") for c in lists],
         )
         .select(
@@ -111,15 +111,17 @@ def group_rollup(df: DataFrame, keys: Sequence[str], amount: str, lists: Sequenc
             F.coalesce(*[F.when(F.col(f"_without_{c}") == 0, F.lit(c)) for c in lists]).alias("list"),
             F.coalesce(*[F.when(F.col(f"_without_{c}") == 0, F.col(c).cast("string")) for c in lists]).alias("value"),
             "copies",
-            "_amount",
+            "amount",
         )
     )
     once = F.col("list") == lists[0]  # every row is there once per list
     totals = counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.sum(F.when(once, F.col("_amount"))).alias("total"), F.sum(F.when(once, F.col("copies"))).alias("rows")
+        F.sum(F.when(once, F.col("amount"))).alias("total"), F.sum(F.when(once, F.col("copies"))).alias("rows")
     )
     same_group = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return counted.join(totals, same_group).select(*keys, "total", "rows", "list", "value", "copies")
+    return counted.join(totals, same_group).select(
+        *keys, "total", "rows", "list", "value", "copies", "amount"
+    )
 
 
 def describe_group(parts: Sequence[str | Column]) -> Column:
