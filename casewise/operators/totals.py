@@ -1,8 +1,6 @@
 """Totals, rates, concentration, peaks and rankings."""
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -92,15 +90,19 @@ def peak(groups: DataFrame, name: str, total: str) -> DataFrame:
     return top_k(groups, [F.desc(total), F.asc(name)], 1)
 
 
-def group_rollup(df: DataFrame, keys: Sequence[str], amount: str, lists: Sequence[str]) -> DataFrame:
-    """Total and row count per group, with the values of ``lists`` as one row per value.
+def group_rollup(
+    df: DataFrame, keys: Sequence[str], amount: str, lists: Sequence[str], whole: str = "all"
+) -> DataFrame:
+    """Row count and total of every group, and of every value of ``lists`` in it, in one pass.
 
-    A group's values are kept as (list, value, copies, amount) rows, so the list of a group that
-    holds a large part of the table is never gathered into one row or one task. Repeating each
-    value that is not null ``copies`` times gives the plain list back. The table is read once.
+    Each group has one row with list ``whole``, whose ``copies`` and ``amount`` are the group's row
+    count and total, and one row per value of each list. Repeating a list's values that are not
+    null ``copies`` times gives the plain list back, without ever gathering the list of a group,
+    which may hold a large part of the table, into one row or one task.
     """
-    counted = (
-        df.groupingSets([[*keys, c] for c in lists], *keys, *lists)
+    without = {c: F.col(f"_without_{c}") for c in lists}
+    return (
+        df.groupingSets([*[[*keys, c] for c in lists], list(keys)], *keys, *lists)
         .agg(
             F.count("*").alias("copies"),
             F.sum(amount).alias("amount"),
@@ -108,20 +110,12 @@ def group_rollup(df: DataFrame, keys: Sequence[str], amount: str, lists: Sequenc
         )
         .select(
             *keys,
-            F.coalesce(*[F.when(F.col(f"_without_{c}") == 0, F.lit(c)) for c in lists]).alias("list"),
-            F.coalesce(*[F.when(F.col(f"_without_{c}") == 0, F.col(c).cast("string")) for c in lists]).alias("value"),
+            F.coalesce(*[F.when(without[c] == 0, F.lit(c)) for c in lists], F.lit(whole)).alias("list"),
+            F.coalesce(*[F.when(without[c] == 0, F.col(c).cast("string")) for c in lists]).alias("value"),
             "copies",
             "amount",
         )
     )
-    once = F.col("list") == lists[0]  # every row is there once per list
-    totals = counted.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.sum(F.when(once, F.col("amount"))).alias("total"), F.sum(F.when(once, F.col("copies"))).alias("rows")
-    )
-    same_group = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return counted.join(totals, same_group).select(
-        *keys, "total", "rows", "list", "value", "copies", "amount"
-    )
 
 
 def describe_group(parts: Sequence[str | Column]) -> Column:

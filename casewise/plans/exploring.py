@@ -145,10 +145,9 @@ def event_frequency(spark, sf_dir):
     "group_rollup_lists",
     f"""{NOTI}, items as (
   select event, dept, 'week' as list, cast(week as varchar) as value, cases from noti
-  union all select event, dept, 'town', town, cases from noti),
-counted as (select event, dept, list, value, count(*) as copies, sum(cases)::bigint as amount from items group by all),
-sums as (select event, dept, sum(cases)::bigint as total, count(*) as rows from noti group by all)
-select event, dept, total, rows, list, value, copies, amount from sums join counted using (event, dept)""",
+  union all select event, dept, 'town', town, cases from noti
+  union all select event, dept, 'all', null, cases from noti)
+select event, dept, list, value, count(*) as copies, sum(cases)::bigint as amount from items group by all""",
 )
 def group_rollup_lists(spark, sf_dir):
     return totals.group_rollup(_noti(spark, sf_dir), ["event", "dept"], "cases", ["week", "town"])

@@ -252,9 +252,9 @@ def test_group_rollup_gives_the_lists_back(spark):
     found = rows(totals.group_rollup(df, ["event", "dept"], "cases", ["week", "town"]))
     assert sorted(found, key=str) == sorted(
         [
-            ("e", 1, 12, 3, "week", "1", 2, 7), ("e", 1, 12, 3, "week", "2", 1, 5), ("e", 1, 12, 3, "town", "A", 1, 3),
-            ("e", 1, 12, 3, "town", "B", 1, 4), ("e", 1, 12, 3, "town", None, 1, 5),
-            (None, 2, 1, 1, "week", "7", 1, 1), (None, 2, 1, 1, "town", "C", 1, 1),
+            ("e", 1, "all", None, 3, 12), ("e", 1, "week", "1", 2, 7), ("e", 1, "week", "2", 1, 5),
+            ("e", 1, "town", "A", 1, 3), ("e", 1, "town", "B", 1, 4), ("e", 1, "town", None, 1, 5),
+            (None, 2, "all", None, 1, 1), (None, 2, "week", "7", 1, 1), (None, 2, "town", "C", 1, 1),
         ],
         key=str,
     )
