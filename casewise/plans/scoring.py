@@ -42,7 +42,7 @@ def rule_sentiment_of_documents(spark, sf_dir):
 @REGISTRY.add("batch_score", f"{RULED} select doc_id, sentiment, score from ruled")
 def batch_score(spark, sf_dir):
     load = sentiment.rule_scorer(SEVERITY, RELIEF)
-    return sentiment.score_batches(bindings.documents(spark, sf_dir), "doc_id", "text", load)
+    return sentiment.score_batches(bindings.documents(spark, sf_dir, heavy=True), "doc_id", "text", load)
 
 
 @REGISTRY.add("sample_n", f"with {SAMPLED} select * from sampled")
