@@ -4,7 +4,6 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from casewise.operators import cluster, features, series
-from casewise.plans import views
 from casewise.plans.exploring import CUMULATIVE_SQL, _cumulative
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings

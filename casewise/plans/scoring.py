@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from casewise.operators import metrics, sentiment
 from casewise.operators.features import in_train, sample_n
 from casewise.operators.lookup import attach_predictions
-from casewise.plans import views
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
 from casewise.sources.readers import table

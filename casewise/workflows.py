@@ -84,8 +84,12 @@ def model_notifications(
     codes = event_category_rows() if codes is None else codes
     outputs = [("category", "string", DEFAULT_CATEGORY), ("label", "int", CATEGORY_LABELS[DEFAULT_CATEGORY])]
     known = map_codes(noti.where(F.col("dept") != 0), "event_code", codes, outputs).select(
-        (F.xxhash64(*noti.columns) if key is None else F.col(key)).alias("row_key"), "category", F.col("label").cast("double").alias("label"), "week",
-        F.col("dept").cast("string").alias("dept"), "cases",
+        (F.xxhash64(*noti.columns) if key is None else F.col(key)).alias("row_key"),
+        "category",
+        F.col("label").cast("double").alias("label"),
+        "week",
+        F.col("dept").cast("string").alias("dept"),
+        "cases",
     )
     known = staged(known.withColumn("train", features.in_train("row_key")), "known")
     _, ready = features.prepared(known, features.feature_stages(["week"], "dept", ["cases"]), F.col("train"))
