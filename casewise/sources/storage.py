@@ -5,20 +5,23 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_TEST_FOLDER: list[str] = []
+_LOCAL_FOLDER: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none, such as a test session, gets a folder of its own.
+    A session on a cluster must name one. In a local session all tasks run in the driver's process,
+    so one that names none gets a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not _TEST_FOLDER:
-        _TEST_FOLDER.append(tempfile.mkdtemp(prefix="casewise-"))
-    return _TEST_FOLDER[0]
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if not _LOCAL_FOLDER:
+        _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="casewise-"))
+    return _LOCAL_FOLDER[0]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
