@@ -57,11 +57,15 @@ class _Powers:
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 2 * len(self.up))
-            self.up = np.cumprod(np.concatenate([[1], np.full(size, _BASE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-            inverse = pow(_BASE, -1, 1 << 64)
-            self.down = np.cumprod(np.concatenate([[1], np.full(size, inverse, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+            self.up, self.down = (self._powers(base, size) for base in (_BASE, pow(_BASE, -1, 1 << 64)))
         return self.up, self.down
 
+    @staticmethod
+    def _powers(base: int, size: int) -> np.ndarray:
+        factors = np.full(size + 1, base, np.uint64)
+        factors[0] = 1
+        return np.cumprod(factors, dtype=np.uint64)
+
 
 _POWERS = _Powers()
 
@@ -76,7 +80,9 @@ def word_hashes(text: bytes) -> np.ndarray:
         return np.zeros(0, np.uint64)
     upper = (data >= 65) & (data <= 90)
     up, down = _POWERS.upto(len(data) + 1)
-    sums = np.concatenate([[0], np.cumsum((data + 1 + 32 * upper.astype(np.uint8)).astype(np.uint64) * up[: len(data)], dtype=np.uint64)]).astype(np.uint64)
+    letters = (data + 1 + 32 * upper.astype(np.uint8)).astype(np.uint64)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(letters * up[: len(data)], dtype=np.uint64, out=sums[1:])
     return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _ODD)
 
 
