@@ -1,19 +1,26 @@
 """The dealt operators bound to the shared tables, each with its SQL twin where SQL can say it."""
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewise.llm import sql
+from casewise.llm.bit_sliced import quantised, top_k_search
+from casewise.llm.bpe import digest_texts
 from casewise.llm.frames import n_words
+from casewise.llm.line_runs import drop_repeated_runs
 from casewise.llm.mixing import mix_sources
 from casewise.llm.near_dup import near_duplicates
 from casewise.llm.quality import quality_verdicts
 from casewise.llm.shard_shuffle import shuffle_into_shards
 from casewise.llm.url_glob import Rule, judge_urls
+from casewise.llm.warc import archive_and_read
 from casewise.plans.registry import Registry
 from casewise.sources.readers import table
 
 QUERIES = Registry()
 
+VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
 SHARDS = 24
 WEIGHTS = (3, 1, 2)
 # The rules of the url query.
@@ -26,6 +33,19 @@ URL_RULES = [
 ]
 
 
+def vocabulary_file(path: str | None = None) -> str:
+    """The content of the vocabulary, from ``path`` or where the package of public vocabularies keeps it."""
+    if path is None:
+        try:
+            import public_tokenizers
+
+            path = public_tokenizers.path(os.path.basename(VOCABULARY))
+        except ImportError:
+            path = VOCABULARY
+    with open(path, encoding="utf-8") as file:
+        return file.read()
+
+
 @QUERIES.add("op2_shuffle_shards")
 def shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards by a Feistel shuffle of their global row numbers."""
@@ -87,3 +107,44 @@ def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+
+
+@QUERIES.add("op1_top_k_search", sql.TOP_K)
+def top_k_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors for every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), quantised("embedding", 64).alias("vector"))
+    return top_k_search(vectors, vectors.where("id % 20 = 0"), 20)
+
+
+@QUERIES.add("op5_line_runs", sql.LINE_RUNS)
+def line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of repeated line runs."""
+    found = drop_repeated_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("kept_text").alias("text"),
+        "n_removed",
+        F.array_join(F.transform("runs", lambda r: F.concat(r["first"].cast("string"), F.lit("-"), r["last"].cast("string"))), ",").alias("runs"),
+    )
+
+
+@QUERIES.add("op6_bpe_round_trip")
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = digest_texts(docs, "text", vocabulary_file())
+    return coded.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@QUERIES.add("op8_warc_round_trip", sql.ARCHIVES)
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = archive_and_read(pages, "page_id", "url", "html")
+    return found.select(
+        F.col("page").try_cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").try_cast("long").alias("refers_to"),
+    )

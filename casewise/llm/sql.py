@@ -160,3 +160,68 @@ reach as (
 select s.doc_id, len(s.s)::bigint as n_shingles, c.component_id, s.doc_id = c.component_id as kept
 from sets s join component c on c.node = s.doc_id
 """
+
+TOP_K = """
+with quantised as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v
+  from embeddings
+  where embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from quantised q join quantised c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+), ranked as (
+  select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
+LINE_RUNS = f"""
+with split as (
+  select doc_id, text, string_split(text, chr(10)) as lines from documents
+), numbered as (
+  select doc_id, n - 1 as n, lines[n] as line, len(regexp_extract_all(lines[n], '{WORD}')) as words
+  from (select doc_id, lines, unnest(range(1, len(lines) + 1)) as n from split)
+), placed as (
+  select doc_id, n, line, words, (row_number() over w - 1)::int as pos, sum(words) over w as upto
+  from numbered where words > 0 window w as (partition by doc_id order by n)
+), spans as (
+  select a.doc_id, a.pos as first, min(b.pos) as last from placed a join placed b
+    on a.doc_id = b.doc_id and b.pos >= a.pos and b.upto - a.upto + a.words >= 50 group by all
+  union
+  select b.doc_id, max(a.pos) as first, b.pos as last from placed a join placed b
+    on a.doc_id = b.doc_id and b.pos >= a.pos and b.upto - a.upto + a.words >= 50 group by all
+), contents as (
+  select s.doc_id, s.first, s.last, string_agg(p.line, chr(10) order by p.pos) as content
+  from spans s join placed p on p.doc_id = s.doc_id and p.pos between s.first and s.last group by all
+), later as (
+  select doc_id, first, last from contents qualify row_number() over (partition by content order by doc_id, first) > 1
+), gone as (
+  select distinct p.doc_id, p.n, p.pos from later l join placed p on p.doc_id = l.doc_id and p.pos between l.first and l.last
+), grouped as (
+  select doc_id, n, pos - row_number() over (partition by doc_id order by pos) as island from gone
+), islands as (
+  select doc_id, min(n) as a, max(n) as b from grouped group by doc_id, island
+), runs as (
+  select doc_id, string_agg(a || '-' || b, ',' order by a) as runs from islands group by doc_id
+), left_over as (
+  select k.doc_id, string_agg(k.line, chr(10) order by k.n) as text, count(*) as n
+  from numbered k anti join gone g on g.doc_id = k.doc_id and g.n = k.n group by k.doc_id
+)
+select d.doc_id, case when d.text is null then null else coalesce(o.text, '') end as text,
+       (select count(*) from gone g where g.doc_id = d.doc_id)::bigint as n_removed, coalesce(r.runs, '') as runs
+from documents d left join left_over o on o.doc_id = d.doc_id left join runs r on r.doc_id = d.doc_id
+"""
+
+ARCHIVES = """
+with pages_sha as (
+  select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as h from pages
+), coded as (
+  select page_id, payload_bytes, h, array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0],
+           lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (5 * g + 1)::int, 5))::int >> s) & 31) + 1, 1)), '')), '') as payload_digest,
+         min(page_id) over (partition by h) as first
+  from pages_sha
+)
+select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to
+from coded
+"""
