@@ -3,16 +3,18 @@
 A table of the usual banding needs K fresh minhashes, so L tables need L * K. Here two collections of
 m small sketches (``WIDTH`` minhashes each) are made, and table (i, j) is keyed by sketch i of the
 first and sketch j of the second: m * m tables from 2 * m sketches. Two sets meet in some table as
-soon as they agree in one sketch of each collection. With m = 10 and two minhashes a sketch, sets of
-similarity 0.75 are missed with probability 0.0005, of 0.8 with 0.00007.
+soon as they agree in one sketch of each collection. With m = 12 and two minhashes a sketch, sets of
+similarity 0.75 are missed with probability 0.0001, of 0.8 with 0.00001.
 
 1. Every text becomes its set of 5-word shingles, as 64-bit hashes; equal sets become one node.
 2. Nodes that meet in a table of two or three nodes are all compared; in a larger one, each with its
-   smallest node. That costs at most one pair per node and table, whatever the group.
+   smallest node. That costs at most one pair per node and table, whatever the group. The m tables
+   (i, i) go first, so that large families are already one component when all tables are gone through;
+   a component then counts as one node of a large table.
 3. Pairs whose sizes and sketches allow the similarity are confirmed on the full sets.
 4. Links become components. Within a large table, a pair that was not compared matters only if it
-   lies in two components. All nodes of such tables are joined again by prefix filtering on their
-   full sets, which is exact, between components only; the components are then final.
+   lies in two components. All nodes of such tables are joined again by prefix and position filtering on
+   their full sets, which is exact, between components only; the components are then final.
 
 Copies are never expanded into pairs, and no table, group or candidate list is cut.
 """
@@ -27,7 +29,7 @@ from casewise.llm.components import connected_components
 from casewise.sources.storage import staged
 
 SHINGLE = 5
-SKETCHES = 10  # m, per collection
+SKETCHES = 12  # m, per collection
 WIDTH = 2  # minhashes in a sketch
 MIN_AGREEMENT = 0.4  # of the minhashes; a pair at 0.75 is below with probability 2e-7
 PERCENT = 75
@@ -161,18 +163,22 @@ def table_keys(sketches: np.ndarray) -> np.ndarray:
     return _mix(pairs + number).reshape(len(sketches), -1)
 
 
-def _tables(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    tables = SKETCHES * SKETCHES
-    for batch in batches:
-        for at in range(0, len(batch), 2000):
-            part = batch.iloc[at : at + 2000]
-            keys = table_keys(np.stack(part["sketch"].to_numpy()))
-            yield pd.DataFrame({"table": keys.ravel().view(np.int64), "node": np.repeat(part["node"].to_numpy(), tables)})
+_TABLE = "table long, node long, component long"
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"node": batch["node"], "shingles": [s.tobytes() for s in text_sets(batch["text"])]})
+def _tables(scouts: bool):
+    """Rows of all tables, or only of the m tables (i, i), which share no sketch."""
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 2000):
+                part = batch.iloc[at : at + 2000]
+                keys = table_keys(np.stack(part["sketch"].to_numpy()))
+                keys = keys[:, :: SKETCHES + 1] if scouts else keys
+                node, component = (np.repeat(part[c].to_numpy(), keys.shape[1]) for c in ("node", "component"))
+                yield pd.DataFrame({"table": keys.ravel().view(np.int64), "node": node, "component": component})
+
+    return rows
 
 
 def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,48 +217,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         F.min("key").alias("first_key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
     nodes = staged(same.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    tables = nodes.select("node", "sketch").mapInPandas(_tables, "table long, node long")
-    met = staged(
-        tables.groupBy("table")
-        .agg(F.count("*").alias("size"), F.min("node").alias("low"), F.max("node").alias("high"), F.bit_xor("node").alias("all"))
-        .where("size > 1"),
-        "met",
-    )
-    middle = F.col("all").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high"))
-    few = met.where("size <= 3").select(
-        F.explode(
-            F.when(F.col("size") == 2, F.array(F.struct(F.col("low").alias("u"), F.col("high").alias("v")))).otherwise(
-                F.array(
-                    F.struct(F.col("low").alias("u"), F.col("high").alias("v")),
-                    F.struct(F.col("low").alias("u"), middle.alias("v")),
-                    F.struct(middle.alias("u"), F.col("high").alias("v")),
-                )
-            )
-        ).alias("pair")
-    ).select("pair.*")
-    large = staged(tables.join(met.where("size > 3").select("table", "low"), "table"), "large")
-    star = large.where("node <> low").select(F.col("low").alias("u"), F.col("node").alias("v"))
-    pairs = few.unionByName(star).distinct()
-
-    sketch = nodes.select("node", "n", "sketch")
-    left = sketch.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
-    right = sketch.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
-    agreeing = F.aggregate(F.zip_with("su", "sv", lambda a, b: (a == b).cast("int")), F.lit(0), lambda a, b: a + b)
-    likely = (
-        pairs.join(left, "u").join(right, "v").where(_near_sizes("nu", "nv")).where(agreeing >= MIN_AGREEMENT * len(_KEYS))
-    )
-    likely = staged(likely.select("u", "v"), "pairs")
-
-    mixed_part = large.select("table", "node")
-    needed = likely.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = _node_sets(named, rows, nodes, needed)
-    links = staged(_confirm(likely, sets), "links")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = nodes.select("node", "sketch").repartition(parts, "node")  # a node has a row per table from here on
+    scouts = spread.withColumn("component", F.col("node")).mapInPandas(_tables(True), _TABLE)
+    pairs, _ = _meetings(scouts)
+    links = _links(pairs, named, nodes)
+    component = staged(connected_components(links), "components")
+    known = spread.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    pairs, large = _meetings(known.mapInPandas(_tables(False), _TABLE))
+    links = staged(links.unionByName(_links(pairs, named, nodes)), "links")
     component = staged(connected_components(links), "components")
-    labelled = mixed_part.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    labelled = large.select("table", "node").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("table").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     rest = staged(labelled.join(mixed.select("table"), "table", "left_semi").select("node", "component").distinct(), "rest")
     if not rest.isEmpty():
-        more = _prefix_links(rest, _node_sets(named, rows, nodes, rest.select("node")))
+        more = _prefix_links(rest, _node_sets(named, nodes, rest.select("node")))
         if not more.isEmpty():
             component = staged(connected_components(links.unionByName(more)), "components")
 
@@ -271,7 +251,54 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def _node_sets(named: DataFrame, rows: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
+def _meetings(tables: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(u, v) to compare of nodes that share a table but no component, and the rows of tables of over three nodes.
+
+    In a large table every component is stood for by its smallest node, and compared with the first of these.
+    """
+    met = staged(
+        tables.groupBy("table")
+        .agg(
+            F.count("*").alias("size"),
+            F.min("node").alias("low"),
+            F.max("node").alias("high"),
+            F.bit_xor("node").alias("all"),
+            F.min("component").alias("first"),
+            F.max("component").alias("last"),
+        )
+        .where("size > 1 and first < last"),
+        "met",
+    )
+    middle = F.col("all").bitwiseXOR(F.col("low")).bitwiseXOR(F.col("high"))
+
+    def pair(u, v):
+        return F.struct(u.alias("u"), v.alias("v"))
+
+    two = F.array(pair(F.col("low"), F.col("high")))
+    three = F.array(pair(F.col("low"), F.col("high")), pair(F.col("low"), middle), pair(middle, F.col("high")))
+    few = met.where("size <= 3").select(F.explode(F.when(F.col("size") == 2, two).otherwise(three)).alias("pair"))
+    large = staged(tables.join(met.where("size > 3").select("table"), "table"), "large")
+    heads = large.groupBy("table", "component").agg(F.min("node").alias("node"))
+    center = heads.groupBy("table").agg(F.min("node").alias("u"))
+    star = heads.join(center, "table").where("node <> u").select("u", F.col("node").alias("v"))
+    return few.select("pair.*").unionByName(star).distinct(), large
+
+
+def _links(pairs: DataFrame, named: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that are confirmed on their full sets, of those whose sizes and sketches allow it."""
+    sketch = nodes.select("node", "n", "sketch")
+    left = sketch.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
+    right = sketch.select(F.col("node").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
+    agreeing = F.aggregate(F.zip_with("su", "sv", lambda a, b: (a == b).cast("int")), F.lit(0), lambda a, b: a + b)
+    likely = (
+        pairs.join(left, "u").join(right, "v").where(_near_sizes("nu", "nv")).where(agreeing >= MIN_AGREEMENT * len(_KEYS))
+    )
+    likely = staged(likely.select("u", "v"), "pairs")
+    needed = likely.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    return staged(_confirm(likely, _node_sets(named, nodes, needed)), "links")
+
+
+def _node_sets(named: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
     """(node, shingles) of the needed nodes, from the text of one row of each."""
     wanted = nodes.join(needed, "node", "left_semi").select("node", "fp1", "fp2", "first_key")
     texts = named.join(wanted, F.col("key").eqNullSafe(F.col("first_key")))
@@ -308,10 +335,15 @@ def _prefix_links(rest: DataFrame, sets: DataFrame) -> DataFrame:
     ordered = rows.join(common, "shingle")
     place = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle"))
     prefix = ordered.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
-    prefix = staged(prefix.where("df > 1").join(rest, "node").select("shingle", "node", "component", "n"), "prefix")
+    prefix = staged(prefix.where("df > 1").join(rest, "node").select("shingle", "node", "component", "n", "place"), "prefix")
     spread = prefix.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     prefix = prefix.join(spread.select("shingle"), "shingle", "left_semi")
-    left = prefix.select("shingle", F.col("node").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"))
-    right = prefix.select("shingle", F.col("node").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"))
-    pairs = left.join(right, "shingle").where("cu < cv").where(_near_sizes("nu", "nv")).select("u", "v").distinct()
+    left, right = (
+        prefix.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "place")]) for side in "uv"
+    )
+    # at the first shingle two sets share, no more than the rest of the shorter one can still be shared
+    most = 1 + F.least(F.col("n_u") - F.col("place_u"), F.col("n_v") - F.col("place_v"))
+    enough = most * (100 + PERCENT) >= PERCENT * (F.col("n_u") + F.col("n_v"))
+    pairs = left.join(right, "shingle").where("component_u < component_v").where(_near_sizes("n_u", "n_v") & enough)
+    pairs = pairs.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
     return staged(_confirm(pairs, sets), "links")

@@ -8,6 +8,7 @@ from casewise.llm import sql
 from casewise.llm.bit_sliced import quantised, top_k_search
 from casewise.llm.bpe import digest_texts
 from casewise.llm.frames import n_words
+from casewise.llm.html_text import extract_text
 from casewise.llm.line_runs import drop_repeated_runs
 from casewise.llm.mixing import mix_sources
 from casewise.llm.near_dup import near_duplicates
@@ -148,3 +149,11 @@ def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type",
         F.col("refers_to").try_cast("long").alias("refers_to"),
     )
+
+
+@QUERIES.add("op4_main_text")
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = extract_text(pages, "html")
+    return found.select(F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text", "n_chars")
