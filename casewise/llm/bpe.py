@@ -239,10 +239,8 @@ class Codec:
         """Tokens joined by one space, special ones among them."""
         return " ".join(map(self.names.__getitem__, ids))
 
-    def digests(self, ids: Sequence[int]) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of them in decimal with one space between, and SHA-256 of the decoded text."""
-        numbers = " ".join(map(self.numbers.__getitem__, ids))
-        return len(ids), hashlib.sha256(numbers.encode()).hexdigest(), hashlib.sha256(self.decode(ids).encode()).hexdigest()
+    def decimal(self, ids: Sequence[int]) -> str:
+        return " ".join(map(self.numbers.__getitem__, ids))
 
 
 def _portions(texts: Sequence[str | None], characters: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -258,38 +256,39 @@ def _portions(texts: Sequence[str | None], characters: int = 1 << 20) -> Iterato
         yield first, len(texts)
 
 
-def _whole(codec: Codec, texts: list[str | None]) -> pd.DataFrame:
-    ids = list(codec.encode(texts))
-    return pd.DataFrame({"ids": ids, "decoded": list(map(codec.decode, ids))})
+# What can be asked for, with its type and how it comes from the ids.
+OUTPUTS: dict[str, tuple[str, Callable]] = {
+    "ids": ("array<int>", lambda codec, ids: np.array(ids, np.int32)),
+    "n_tokens": ("long", lambda codec, ids: len(ids)),
+    "decoded": ("string", lambda codec, ids: codec.decode(ids)),
+    "ids_sha256": ("string", lambda codec, ids: _sha256(codec.decimal(ids))),
+    "decoded_sha256": ("string", lambda codec, ids: _sha256(codec.decode(ids))),
+}
 
 
-def _digests(codec: Codec, texts: list[str | None]) -> pd.DataFrame:
-    rows = list(map(codec.digests, codec.encode(texts)))
-    return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
 
 
-def encode_texts(df: DataFrame, text: str, vocabulary: str) -> DataFrame:
-    """``df`` packed as ``row``, with ``ids`` and ``decoded`` of its whole text.
+def code_texts(df: DataFrame, text: str, vocabulary: str, outputs: Sequence[str] = ("ids", "n_tokens", "decoded")) -> DataFrame:
+    """``df`` packed as ``row``, with the ``outputs`` of its whole text, encoded and decoded again.
 
-    ``vocabulary`` is the content of a vocabulary file. Null and empty texts have no ids and decode to
-    "". Repeated rows are encoded as often as they come; an empty table gives an empty one.
+    ``vocabulary`` is the content of a vocabulary file. ``ids_sha256`` is that of the ids in decimal
+    with one space between, ``decoded_sha256`` that of the decoded text. Null and empty texts have no
+    ids and decode to "". Repeated rows are coded as often as they come; an empty table gives an empty one.
     """
-    return _mapped(df, text, vocabulary, _whole, "ids array<int>, decoded string")
-
-
-def digest_texts(df: DataFrame, text: str, vocabulary: str) -> DataFrame:
-    """``df`` packed as ``row``, with the number of ids and the SHA-256 of the ids and of the decoded text."""
-    return _mapped(df, text, vocabulary, _digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
-
-
-def _mapped(df: DataFrame, text: str, vocabulary: str, make: Callable, schema: str) -> DataFrame:
     file = df.sparkSession.sparkContext.broadcast(vocabulary)  # a vocabulary file has a few MB
+    makers = {name: OUTPUTS[name][1] for name in outputs}
 
-    @F.pandas_udf(schema)
+    @F.pandas_udf(", ".join(f"{name} {OUTPUTS[name][0]}" for name in outputs))
     def convert(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = Codec(Vocabulary(file.value))
         for batch in batches:
-            yield make(codec, [t if isinstance(t, str) else None for t in batch])
+            columns: dict[str, list] = {name: [] for name in makers}
+            for ids in codec.encode([t if isinstance(t, str) else None for t in batch]):
+                for name, make in makers.items():
+                    columns[name].append(make(codec, ids))
+            yield pd.DataFrame(columns)
 
     packed = df.select(F.struct("*").alias("row"), convert(F.col(f"`{text}`")).alias("out"))
     return packed.select("row", "out.*")

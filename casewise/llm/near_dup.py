@@ -140,7 +140,7 @@ def minhashes(found: np.ndarray) -> np.ndarray:
 
 
 def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(key, n, fp1, fp2, sketch) of (key, text)."""
+    """(key, text_hash, n, fp1, fp2, sketch) of (key, text, text_hash)."""
     for batch in batches:
         n, fp, sketches = [], [], []
         for found in text_sets(batch["text"]):
@@ -149,7 +149,7 @@ def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             fp.append((found.sum(dtype=np.uint64), (_mix(found + _ODD) ^ (order * _ODD)).sum(dtype=np.uint64)))
             sketches.append(minhashes(found))
         prints = np.array(fp, np.uint64).reshape(-1, 2).view(np.int64)
-        yield pd.DataFrame({"key": batch["key"], "n": n, "fp1": prints[:, 0], "fp2": prints[:, 1], "sketch": sketches})
+        yield pd.DataFrame({"key": batch["key"], "text_hash": batch["text_hash"], "n": n, "fp1": prints[:, 0], "fp2": prints[:, 1], "sketch": sketches})
 
 
 def table_keys(sketches: np.ndarray) -> np.ndarray:
@@ -203,16 +203,17 @@ def _near_sizes(left: str, right: str):
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id) with one row for every row of ``docs``.
+    """(key, text_hash, n_shingles, component, component_id) with one row for every row of ``docs``.
 
-    ``component_id`` is the smallest key that links reach; rows without words are linked with nothing
-    and have their own key. Rows of equal sets are linked, so repeated rows and keys share a component. A null
-    key is larger than any other and is its component only where no other key is reached.
+    ``component_id`` is the smallest key that links reach, ``component`` a number of the group and
+    ``text_hash`` Spark's xxhash64 of the text. Rows without words are linked with nothing: they have
+    their own key and a null ``component``. Rows of equal sets are linked, so repeated rows and keys share a
+    component. A null key is a ``component_id`` only where links reach no other.
     """
     spark = docs.sparkSession
-    named = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    named = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("text_hash"))
     kind = named.schema["key"].dataType.simpleString()
-    rows = staged(named.mapInPandas(sketched, f"key {kind}, n long, fp1 long, fp2 long, sketch array<int>"), "sketches")
+    rows = staged(named.mapInPandas(sketched, f"key {kind}, text_hash long, n long, fp1 long, fp2 long, sketch array<int>"), "sketches")
     same = rows.where("n > 0").groupBy("fp1", "fp2").agg(
         F.min("key").alias("first_key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
@@ -239,18 +240,41 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     placed = nodes.select("fp1", "fp2", "node", "first_key").join(component, "node", "left")
     placed = staged(placed.withColumn("component", F.coalesce("component", "node")), "placed")
     smallest = placed.groupBy("component").agg(F.min("first_key").alias("component_id"))
-    known = placed.join(smallest, "component").select("fp1", "fp2", "component_id")
+    known = placed.join(smallest, "component").select("fp1", "fp2", "component", "component_id")
     return (
-        rows.select("key", "n", "fp1", "fp2")
-        .join(known.withColumn("n_known", F.lit(True)), ["fp1", "fp2"], "left")
+        rows.select("key", "text_hash", "n", "fp1", "fp2")
+        .join(known, ["fp1", "fp2"], "left")
         .select(
-            F.col("key").alias(key),
+            "key",
+            "text_hash",
             F.col("n").alias("n_shingles"),
+            F.when(F.col("n") > 0, F.col("component")).alias("component"),
             F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
         )
     )
 
 
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one document of each group: that of the smallest key, then text hash, null keys last.
+
+    Rows without words all stay. Of repeated rows of the document that stays, one stays.
+    """
+    found = staged(near_duplicates(docs, key, text).where("component is not null").select("component", "key", "text_hash"), "found")
+    place = F.struct(F.col("key").isNull().alias("unnamed"), F.col("key"), F.col("text_hash"))
+    heads = found.groupBy("component").agg(F.min(place).alias("head"))
+    losing = ~place.eqNullSafe(F.col("head"))
+    losers = found.join(heads, "component").where(losing).select(F.col("key").alias("lost"), F.col("text_hash").alias("lost_hash")).distinct()
+    repeated = found.groupBy("key", "text_hash").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = repeated.select(F.col("key").alias("again"), F.col("text_hash").alias("again_hash"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{key}`").alias("key"), F.xxhash64(f"`{text}`").alias("text_hash"))
+    left = rows.join(losers, F.col("key").eqNullSafe(F.col("lost")) & (F.col("text_hash") == F.col("lost_hash")), "left_anti")
+    if not repeated.isEmpty():
+        same = F.col("key").eqNullSafe(F.col("again")) & (F.col("text_hash") == F.col("again_hash"))
+        once = left.join(repeated, same, "left_anti")
+        left = once.unionByName(left.join(repeated, same, "left_semi").dropDuplicates(["key", "text_hash"]))
+    return left.select("row.*")
+
+
 def _meetings(tables: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(u, v) to compare of nodes that share a table but no component, and the rows of tables of over three nodes.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewise.llm import sql
 from casewise.llm.bit_sliced import quantised, top_k_search
-from casewise.llm.bpe import digest_texts
+from casewise.llm.bpe import code_texts
 from casewise.llm.frames import n_words
 from casewise.llm.html_text import extract_text
 from casewise.llm.line_runs import drop_repeated_runs
@@ -107,7 +107,9 @@ def quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+    return found.select(
+        F.col("key").alias("doc_id"), "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept")
+    )
 
 
 @QUERIES.add("op1_top_k_search", sql.TOP_K)
@@ -133,8 +135,8 @@ def line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = digest_texts(docs, "text", vocabulary_file())
-    return coded.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+    outputs = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return code_texts(docs, "text", vocabulary_file(), outputs).select(F.col("row.doc_id").alias("doc_id"), *outputs)
 
 
 @QUERIES.add("op8_warc_round_trip", sql.ARCHIVES)
