@@ -13,12 +13,14 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casewise.sources.storage import staged
+
 # Common function words of the languages that have a reference.
 COMMON_WORDS = {
-    "en": ["the", "of", "and", "to", "a", "in", "is", "that", "it", "for", "was", "on"],
-    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf"],
-    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est"],
-    "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por"],
+    "en": ["the", "of", "and", "to", "a", "in", "is", "that"],
+    "de": ["der", "die", "und", "in", "den", "von", "zu", "das"],
+    "fr": ["de", "la", "le", "et", "les", "des", "en", "un"],
+    "es": ["de", "la", "que", "el", "en", "y", "los", "se"],
 }
 # Character classes in the order in which they are taken out of the words of a text.
 CLASSES = [
@@ -45,13 +47,15 @@ def word_bins(words: Mapping[str, Sequence[str]] = COMMON_WORDS) -> list[str]:
     return sorted({word for listed in words.values() for word in listed})
 
 
-def with_features(df: DataFrame, text: str, words: Sequence[str]) -> DataFrame:
-    """(row, counts...): ``df`` packed as ``row``, the base counts and both histograms.
+def with_features(df: DataFrame, text: str, words: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """(row, counts...): the columns to ``keep`` packed as ``row``, the base counts and both histograms.
 
     Null and empty texts have zero counts. ``n_repeat_words`` counts the words that lie in a window
     of three words found at least twice; windows are compared by a 64-bit hash inside one text.
     """
-    step = df.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    longer = f"\\p{{L}}{{{max(map(len, words)) + 1},}}"
+    kept = F.struct(*[F.col(f"`{c}`") for c in keep])
+    step = df.select(kept.alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     step = step.withColumn("left0", F.regexp_replace("t", WHITE, ""))
     for number, (_, pattern) in enumerate(CLASSES):
         step = step.withColumn(f"left{number + 1}", F.regexp_replace(f"left{number}", pattern, ""))
@@ -64,14 +68,16 @@ def with_features(df: DataFrame, text: str, words: Sequence[str]) -> DataFrame:
         F.array(*taken, F.length(f"left{len(CLASSES)}")).alias("class_counts"),
         F.filter(F.split("t", WHITE), lambda w: w != "").alias("words"),
         F.filter(F.split("t", "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]")).alias("lines"),
-        F.concat(F.lit(" "), F.regexp_replace(F.lower("t"), "[^\\p{L}]+", "  "), F.lit(" ")).alias("spaced"),
+        # only words short enough to be listed, each between two spaces
+        F.concat(
+            F.lit(" "), F.regexp_replace(F.regexp_replace(F.lower("t"), longer, ""), "[^\\p{L}]+", "  "), F.lit(" ")
+        ).alias("spaced"),
     )
     step = step.withColumn("n", F.size("words"))
     triples = F.when(
         F.col("n") >= 3,
         F.transform(
-            F.sequence(F.lit(0), F.col("n") - 3),
-            lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)),
+            F.slice("words", 3, F.col("n")), lambda third, i: F.xxhash64(F.get("words", i), F.get("words", i + 1), third)
         ),
     )
     found = [(F.length("spaced") - F.length(F.replace("spaced", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2) for w in words]
@@ -117,13 +123,13 @@ def base_failed(rules: Rules) -> Column:
 
 
 def fit_references(features: DataFrame, language: str, languages: Sequence[str], bins: int, rules: Rules) -> list[tuple]:
-    """(class histogram, word histogram) of each listed language, over all texts that pass the base rules.
+    """(class histogram, word histogram) of each listed language, over all long enough texts.
 
     The lists are shares that sum to 1. Rows of other or null languages do not count towards any. At
     most one row per listed language comes back.
     """
     name = F.col("row").getField(language)
-    counted = F.when(name.isin(list(languages)) & ~base_failed(rules), name)
+    counted = F.when(name.isin(list(languages)) & (F.col("n_words") >= rules.min_words), name)
     n_classes = len(CLASSES) + 1
     n_bins = bins + 1
     sums = features.groupBy(counted.alias("language")).agg(
@@ -172,12 +178,22 @@ def judge(features: DataFrame, references: Sequence[tuple], rules: Rules) -> Dat
 
 
 def quality_verdicts(
-    df: DataFrame, text: str = "text", language: str = "lang", words: Mapping[str, Sequence[str]] = COMMON_WORDS, rules: Rules = Rules()
+    df: DataFrame,
+    text: str = "text",
+    language: str = "lang",
+    keep: Sequence[str] | None = None,
+    words: Mapping[str, Sequence[str]] = COMMON_WORDS,
+    rules: Rules = Rules(),
 ) -> DataFrame:
-    """Counts, distances and verdict of every row of ``df``, which is packed as ``row``.
+    """Counts, distances and verdict of every row of ``df``, whose columns are packed as ``row``.
 
-    Columns of ``df`` cannot clash with the results. An empty table gives an empty one.
+    Columns of ``df`` cannot clash with the results. An empty table gives an empty one. ``keep`` names
+    the columns of ``df`` that are wanted, with the language; if the text is not among them, the counts
+    are written to the shared folder and the texts read once, otherwise they are read for the references and again for
+    the verdicts.
     """
-    bins = word_bins(words)
-    features = with_features(df, text, bins)
+    bins, keep = word_bins(words), list(df.columns if keep is None else keep)
+    features = with_features(df, text, bins, keep)
+    if text not in keep:
+        features = staged(features, "features")
     return judge(features, fit_references(features, language, sorted(words), len(bins), rules), rules)

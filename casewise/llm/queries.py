@@ -91,7 +91,7 @@ def url_globs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the divergence verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return quality_verdicts(docs).select(
+    return quality_verdicts(docs, keep=["doc_id", "lang"]).select(
         F.col("row.doc_id").alias("doc_id"),
         "n_words",
         "word_chars",

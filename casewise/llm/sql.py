@@ -91,7 +91,7 @@ with base as (
   from documents
 ), chained as (
   select *, {", ".join(chain)},
-         ' ' || regexp_replace(lower(t), '[^\\p{{L}}]+', '  ', 'g') || ' ' as spaced, row_number() over () as id
+         ' ' || regexp_replace(regexp_replace(lower(t), '\\p{{L}}{{{max(map(len, words)) + 1},}}', '', 'g'), '[^\\p{{L}}]+', '  ', 'g') || ' ' as spaced, row_number() over () as id
   from base
 ), triples as (
   select id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] as w
@@ -115,7 +115,7 @@ with base as (
 ), refs as (
   select list_transform(c, lambda x: x / list_sum(c)) as c, list_transform(w, lambda x: x / list_sum(w)) as w
   from (select [{class_sums}] as c, [{word_sums}] as w from features
-        where lang in ('de', 'en', 'es', 'fr') and not base_failed group by lang)
+        where lang in ('de', 'en', 'es', 'fr') and n_words >= {rules.min_words} group by lang)
 ), judged as (
   select *, {distance("class_counts", "c")} as class_distance, {distance("word_counts", "w")} as word_distance
   from features f
