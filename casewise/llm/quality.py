@@ -1,7 +1,7 @@
 """Quality rules: base counts, and divergence of a text's histograms from those of its language.
 
 Two histograms describe a text: characters by class, and common function words against all others.
-The references are the same histograms summed over all long enough texts of each language. A text
+The references are the same histograms summed over all typical texts of each language. A text
 whose Jensen-Shannon distance to the nearest reference is too large, in either histogram, does not
 look like running text. Texts with fewer words than the guard are not compared, as their histograms
 say nothing yet. Everything is DataFrame expressions; a text is never exploded or shuffled, and only the
@@ -122,27 +122,34 @@ def base_failed(rules: Rules) -> Column:
     )
 
 
-def fit_references(features: DataFrame, language: str, languages: Sequence[str], bins: int, rules: Rules) -> list[tuple]:
-    """(class histogram, word histogram) of each listed language, over all long enough texts.
-
-    The lists are shares that sum to 1. Rows of other or null languages do not count towards any. At
-    most one row per listed language comes back.
-    """
-    name = F.col("row").getField(language)
-    counted = F.when(name.isin(list(languages)) & (F.col("n_words") >= rules.min_words), name)
-    n_classes = len(CLASSES) + 1
-    n_bins = bins + 1
+def _sum_histograms(features: DataFrame, counted: Column, bins: int) -> list[tuple]:
+    """(class shares, word shares) per value of ``counted``, without null."""
     sums = features.groupBy(counted.alias("language")).agg(
-        *[F.sum(F.element_at("class_counts", i + 1)).alias(f"c{i}") for i in range(n_classes)],
-        *[F.sum(F.element_at("word_counts", i + 1)).alias(f"w{i}") for i in range(n_bins)],
+        *[F.sum(F.element_at("class_counts", i + 1)).alias(f"c{i}") for i in range(len(CLASSES) + 1)],
+        *[F.sum(F.element_at("word_counts", i + 1)).alias(f"w{i}") for i in range(bins + 1)],
     )
     out = []
     for row in sorted(row for row in sums.collect() if row["language"] is not None):
-        histograms = [row[f"c{i}"] for i in range(n_classes)], [row[f"w{i}"] for i in range(n_bins)]
+        histograms = [row[f"c{i}"] for i in range(len(CLASSES) + 1)], [row[f"w{i}"] for i in range(bins + 1)]
         out.append(tuple([x / max(1, sum(counts)) for x in counts] for counts in histograms))
     return out
 
 
+def fit_references(features: DataFrame, language: str, languages: Sequence[str], bins: int, rules: Rules) -> list[tuple]:
+    """(class histogram, word histogram) of each listed language, over all long enough texts.
+
+    The histograms are summed twice: over all texts, and then over those that lie near one of the first
+    sums, so that junk does not shape what it is compared with. The lists are shares that sum to 1. Rows
+    of other or null languages do not count towards any; at most one row per listed language comes back.
+    """
+    name = F.col("row").getField(language)
+    listed = F.when(name.isin(list(languages)) & (F.col("n_words") >= rules.min_words), name)
+    first = _sum_histograms(features, listed, bins)
+    near = judge(features, first, rules)
+    typical = (F.col("class_distance") <= rules.max_class_distance) & (F.col("word_distance") <= rules.max_word_distance)
+    return _sum_histograms(near, F.when(typical, listed), bins) if first else first
+
+
 def js_distance(counts: str, reference: Sequence[float]) -> Column:
     """Jensen-Shannon distance (base 2, 0 to 1) of counts, summing to ``_total``, to reference shares; 0 for none."""
     shares = F.array(*[F.lit(float(share)) for share in reference])
@@ -188,12 +195,10 @@ def quality_verdicts(
     """Counts, distances and verdict of every row of ``df``, whose columns are packed as ``row``.
 
     Columns of ``df`` cannot clash with the results. An empty table gives an empty one. ``keep`` names
-    the columns of ``df`` that are wanted, with the language; if the text is not among them, the counts
-    are written to the shared folder and the texts read once, otherwise they are read for the references and again for
-    the verdicts.
+    the columns of ``df`` that are wanted, with the language. The counts are written to the shared folder for
+    the references; only if the text is among the columns to keep, it is read again for the verdicts.
     """
     bins, keep = word_bins(words), list(df.columns if keep is None else keep)
-    features = with_features(df, text, bins, keep)
-    if text not in keep:
-        features = staged(features, "features")
-    return judge(features, fit_references(features, language, sorted(words), len(bins), rules), rules)
+    counted = staged(with_features(df, text, bins, [language] if text in keep else keep), "features")
+    references = fit_references(counted, language, sorted(words), len(bins), rules)
+    return judge(with_features(df, text, bins, keep) if text in keep else counted, references, rules)
