@@ -2,8 +2,8 @@
 
 Two histograms describe a text: characters by class, and common function words against all others.
 The references are the same histograms summed over all typical texts of each language. A text
-whose Jensen-Shannon distance to the nearest reference is too large, in either histogram, does not
-look like running text. Texts with fewer words than the guard are not compared, as their histograms
+whose Jensen-Shannon distances to the nearest references, of both histograms together, are too large
+does not look like running text. Texts with fewer words than the guard are not compared, as their histograms
 say nothing yet. Everything is DataFrame expressions; a text is never exploded or shuffled, and only the
 sums per language, one short row each, leave a task.
 """
@@ -35,12 +35,16 @@ WHITE = "[\\x20\\x09-\\x0D]+"
 
 
 class Rules(NamedTuple):
-    """Limits of the verdict."""
+    """Limits of the verdict; the distance of a text is the sum of its two distances.
+
+    The histograms of a text of fewer than ``short_words`` words are rough, so it may lie further off.
+    """
 
     min_words: int = 50
     max_repeat_percent: int = 50
-    max_class_distance: float = 0.25
-    max_word_distance: float = 0.40
+    max_distance: float = 0.40
+    short_words: int = 100
+    max_short_distance: float = 0.50
 
 
 def word_bins(words: Mapping[str, Sequence[str]] = COMMON_WORDS) -> list[str]:
@@ -146,8 +150,12 @@ def fit_references(features: DataFrame, language: str, languages: Sequence[str],
     listed = F.when(name.isin(list(languages)) & (F.col("n_words") >= rules.min_words), name)
     first = _sum_histograms(features, listed, bins)
     near = judge(features, first, rules)
-    typical = (F.col("class_distance") <= rules.max_class_distance) & (F.col("word_distance") <= rules.max_word_distance)
-    return _sum_histograms(near, F.when(typical, listed), bins) if first else first
+    return _sum_histograms(near, F.when(~_strange(rules), listed), bins) if first else first
+
+
+def _strange(rules: Rules) -> Column:
+    limit = F.when(F.col("n_words") < rules.short_words, rules.max_short_distance).otherwise(rules.max_distance)
+    return F.coalesce(F.col("class_distance") + F.col("word_distance") > limit, F.lit(False))
 
 
 def js_distance(counts: str, reference: Sequence[float]) -> Column:
@@ -178,10 +186,9 @@ def judge(features: DataFrame, references: Sequence[tuple], rules: Rules) -> Dat
         found = [js_distance(counts, reference[which]) for reference in references]
         nearest = F.array_min(F.array(*found)) if found else F.lit(None).cast("double")
         judged = judged.withColumn(name, F.when(long_enough, nearest))
-    strange = (F.col("class_distance") > rules.max_class_distance) | (F.col("word_distance") > rules.max_word_distance)
     # always true, but opaque: else a filter on the verdict would drag copies of all expressions below it
     fence = F.monotonically_increasing_id() >= 0
-    return judged.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(strange, F.lit(False)) & fence).drop("_total")
+    return judged.withColumn("kept", ~F.col("base_failed") & ~_strange(rules) & fence).drop("_total")
 
 
 def quality_verdicts(

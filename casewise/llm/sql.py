@@ -71,16 +71,17 @@ def _quality() -> str:
     classes = [f"length(left{i}) - length(left{i + 1})" for i in range(n)] + [f"length(left{n})"]
     found = [f"((length(spaced) - length(replace(spaced, ' {w} ', ''))) // {len(w) + 2})" for w in words]
     class_sums = ", ".join(f"sum(class_counts[{i + 1}])::double" for i in range(n + 1))
+    limit = f"case when n_words < {rules.short_words} then {rules.max_short_distance} else {rules.max_distance} end"
     word_sums = ", ".join(f"sum(word_counts[{i + 1}])::double" for i in range(len(words) + 1))
 
-    def distance(counts: str, reference: str) -> str:
+    def distance(counts: str, reference: str, references: str) -> str:
         term = (
             "(case when x[1] > 0 then (x[1] / t) * log2((x[1] / t) / (((x[1] / t) + x[2]) / 2)) else 0 end"
             " + case when x[2] > 0 then x[2] * log2(x[2] / (((x[1] / t) + x[2]) / 2)) else 0 end)"
         ).replace("t)", f"list_sum(f.{counts}))")
         return (
             f"(select min(sqrt(greatest(0, list_sum(list_transform(list_zip(f.{counts}::double[], r.{reference}),"
-            f" lambda x: {term})) / 2))) from refs r)"
+            f" lambda x: {term})) / 2))) from {references} r)"
         )
 
     return f"""
@@ -112,17 +113,22 @@ with base as (
   select *, n_words < {rules.min_words} or 100 * n_repeat_words > {rules.max_repeat_percent} * n_words as base_failed,
          list_concat(found, [greatest(0, n_words - list_sum(found))]) as word_counts
   from counted
-), refs as (
+), refs0 as (
   select list_transform(c, lambda x: x / list_sum(c)) as c, list_transform(w, lambda x: x / list_sum(w)) as w
   from (select [{class_sums}] as c, [{word_sums}] as w from features
         where lang in ('de', 'en', 'es', 'fr') and n_words >= {rules.min_words} group by lang)
+), near as (
+  select *, {distance("class_counts", "c", "refs0")} + {distance("word_counts", "w", "refs0")} as distance from features f
+), refs as (
+  select list_transform(c, lambda x: x / list_sum(c)) as c, list_transform(w, lambda x: x / list_sum(w)) as w
+  from (select [{class_sums}] as c, [{word_sums}] as w from near
+        where lang in ('de', 'en', 'es', 'fr') and n_words >= {rules.min_words}
+          and not coalesce(distance > {limit}, false) group by lang)
 ), judged as (
-  select *, {distance("class_counts", "c")} as class_distance, {distance("word_counts", "w")} as word_distance
-  from features f
+  select *, {distance("class_counts", "c", "refs")} + {distance("word_counts", "w", "refs")} as distance from features f
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and not (n_words >= {rules.min_words} and (coalesce(class_distance, 0) > {rules.max_class_distance}
-         or coalesce(word_distance, 0) > {rules.max_word_distance})) as kept
+       not base_failed and not (n_words >= {rules.min_words} and coalesce(distance > {limit}, false)) as kept
 from judged
 """
 
