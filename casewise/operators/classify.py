@@ -14,9 +14,10 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, functions as F
 
 from casewise.operators.features import draw
-from casewise.operators.metrics import classification_metrics
+from casewise.operators.metrics import auc_one_vs_rest, classification_metrics, weighted_auc
 from casewise.operators.totals import top_k_per_group
 from casewise.sources.readers import literal_table
+from casewise.sources.storage import staged
 
 
 def logistic(features: str = "scaled", label: str = "label", reg: float = 0.1, family: str = "auto") -> LogisticRegression:
@@ -38,6 +39,12 @@ def with_class_scores(predicted: DataFrame, classes: int) -> tuple[DataFrame, di
     return predicted.withColumns({name: F.get(spread, F.lit(c)) for c, name in names.items()}), names
 
 
+def evaluation_rows(predicted: DataFrame, classes: int, name: str = "scored") -> tuple[DataFrame, dict[int, str]]:
+    """Label, prediction and class scores of a model's predictions, written once, so it scores each row once."""
+    spread, names = with_class_scores(predicted, classes)
+    return staged(spread.select("label", "prediction", *names.values()), name), names
+
+
 def importance_by_source(
     model: RandomForestClassificationModel, slots: Sequence[str], sources: Sequence[str], spark
 ) -> DataFrame:
@@ -96,11 +103,12 @@ def grid_results(search: CrossValidatorModel, spark) -> DataFrame:
     return table.withColumn("best", is_winner)
 
 
-def compare_models(predicted: Mapping[str, DataFrame]) -> DataFrame:
-    """One row of metrics per named set of predictions."""
+def compare_models(scored: Mapping[str, tuple[DataFrame, Mapping[int, str]]]) -> DataFrame:
+    """One row of metrics and the weighted area per named set of evaluation rows."""
     rows = None
-    for name, frame in predicted.items():
-        row = classification_metrics(frame).select(F.lit(name).alias("model"), "*")
+    for name, (frame, names) in scored.items():
+        area = weighted_auc(auc_one_vs_rest(frame, names)).scalar()
+        row = classification_metrics(frame).select(F.lit(name).alias("model"), "*", area.alias("weighted_auc"))
         rows = row if rows is None else rows.unionByName(row)
     return rows
 

@@ -44,6 +44,18 @@ def choose_components(ranked: DataFrame, kept: float = 0.90, reported: float = 0
     )
 
 
+def first_components(df: DataFrame, features: str, model: PCAModel, k: int) -> DataFrame:
+    """``components``, the first ``k`` of a fitted model with at least as many: the fit is not repeated."""
+    weights = model.pc.toArray()[:, :k].T.tolist()
+    values = vector_to_array(features)
+
+    def dot(weight):
+        products = F.zip_with(values, F.array(*[F.lit(float(w)) for w in weight]), lambda a, b: a * b)
+        return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+
+    return df.withColumn("components", array_to_vector(F.array(*[dot(w) for w in weights])))
+
+
 def project(model: PCAModel, df: DataFrame) -> DataFrame:
     """Rows with their ``components`` as an array."""
     return model.transform(df).withColumn("components", vector_to_array("components"))
@@ -66,28 +78,30 @@ def elbow_costs(
     def cost(k: int) -> tuple[int, float]:
         return k, float(fit_kmeans(vectors, features, k, seed).summary.trainingCost)
 
-    with ThreadPool(parallelism) as pool:
-        costs = pool.map(cost, ks)
-    vectors.unpersist()
+    try:
+        with ThreadPool(parallelism) as pool:
+            costs = pool.map(cost, ks)
+    finally:
+        vectors.unpersist()
     return literal_table(df.sparkSession, costs, "k int, wcss double")
 
 
-def elbow_choice(costs: DataFrame, threshold: float = 0.15, default: int = 3, rule: str = "reference") -> DataFrame:
+def elbow_choice(costs: DataFrame, threshold: float = 0.15, default: int = 3, rule: str = "customary") -> DataFrame:
     """The chosen ``k`` from (k, wcss), with every step's relative gain.
 
     Both rules take the first ``k`` whose gain over the one before is below ``threshold`` of the
-    first cost. Rule ``reference`` falls back to ``default`` and then mistakes a real answer
+    first cost. Rule ``customary`` falls back to ``default`` and then mistakes a real answer
     equal to ``default`` for that fallback, taking the ``k`` of the largest gain instead. Rule
     ``first_below`` takes the largest gain only if no step is below the threshold.
     """
-    if rule not in ("reference", "first_below"):
+    if rule not in ("customary", "first_below"):
         raise ValueError(f"unknown rule: {rule}")
     steps = step_delta(costs, "k", "wcss")
     gain = F.struct(F.col("delta"), -F.col("k"))
     found = steps.where(F.col("delta").isNotNull()).agg(
         F.min(F.when(F.col("delta") < threshold, F.col("k"))).alias("below"), F.max_by("k", gain).alias("largest")
     )
-    if rule == "reference":
+    if rule == "customary":
         answer = F.coalesce(F.col("below"), F.lit(default))
         chosen = F.when(answer != default, answer).otherwise(F.coalesce(F.col("largest"), F.lit(default)))
     else:
@@ -132,18 +146,13 @@ def kmeans_centroids(model: KMeansModel, spark) -> DataFrame:
     return literal_table(spark, rows, "cluster int, centroid array<double>")
 
 
-def nearest_centroid(df: DataFrame, vector: str, centers: DataFrame, center_id: str, max_centers: int = 1000):
+def nearest_centroid(df: DataFrame, vector: str, centers: DataFrame, center_id: str) -> DataFrame:
     """Add ``nearest``, the id of the closest centroid, and ``sq_distance``.
 
-    The centroids travel as one array value to every task and each row is compared in place, with
-    no join. More than ``max_centers`` of them is an error rather than a slow job.
+    The centroids, as few as a fit can hold, travel as one array value to every task and each row is
+    compared in place, with no join.
     """
-    gathered = centers.agg(
-        F.when(
-            F.count("*") <= max_centers,
-            F.collect_list(F.struct(F.col(center_id).alias("id"), F.col("centroid").alias("at"))),
-        ).otherwise(F.raise_error(F.lit(f"more than {max_centers} centroids")))
-    ).scalar()
+    gathered = centers.agg(F.collect_list(F.struct(F.col(center_id).alias("id"), F.col("centroid").alias("at")))).scalar()
 
     def distance(center):
         squares = F.zip_with(vector, center["at"], lambda a, b: (a - b) * (a - b))

@@ -6,9 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from casewise.sources.readers import literal_table
 
-# A code table written in code is broadcast up to this many rows.
-MAX_BROADCAST_ROWS = 10_000
-
 
 def map_codes(
     df: DataFrame,
@@ -19,13 +16,11 @@ def map_codes(
     """Look ``code`` up in a literal table; a code that is not in it gets the defaults.
 
     ``rows`` are (code, value, ...) and ``outputs`` name the leading values as (name, type, default).
-    The table lives in code, so its size is known before it is broadcast.
+    The table lives in code; Spark knows its size and broadcasts it if it is small.
     """
     key = dict(df.dtypes)[code]
     schema = ", ".join([f"_code {key}", *[f"_value_{i} {kind}" for i, (_, kind, _) in enumerate(outputs)]])
     codes = literal_table(df.sparkSession, [row[: len(outputs) + 1] for row in rows], schema)
-    if len(rows) <= MAX_BROADCAST_ROWS:
-        codes = F.broadcast(codes)
     defaulted: list[Column] = [
         F.coalesce(F.col(f"_value_{i}"), F.lit(default).cast(kind)).alias(name)
         for i, (name, kind, default) in enumerate(outputs)
@@ -33,38 +28,17 @@ def map_codes(
     return df.join(codes, F.col(code) == F.col("_code"), "left").select(*df.columns, *defaulted)
 
 
-def attach_group_facts(
-    df: DataFrame, key: str, groups: DataFrame, rows_in_group: str, heavy: int = 1000
-) -> DataFrame:
-    """Join every row to the facts of its group, whatever the skew.
+def fold_rare(df: DataFrame, category: str, min_rows: int = 10, other: str = "Otros") -> DataFrame:
+    """Replace categories with fewer than ``min_rows`` rows by ``other``; null counts as blank.
 
-    ``groups`` has one row per key and says how many rows the group has. A group with more than
-    1/``heavy`` of all rows is heavy; there are fewer than ``heavy`` of those, so they are
-    broadcast. The rows of all other groups are shuffled, and no such group is large.
+    Sizes are joined to the rows; adaptive execution broadcasts them if they are few and splits hot categories if not.
     """
-    cut = groups.agg(F.sum(rows_in_group) / F.lit(heavy)).scalar()
-    large = F.broadcast(groups.where(F.col(rows_in_group) > cut))
-    small = groups.where(F.col(rows_in_group) <= cut)
-    of_large = df.join(large, key, "inner")
-    of_small = df.join(large.select(key), key, "left_anti").join(small, key, "inner")
-    return of_large.unionByName(of_small)
-
-
-def fold_rare(df: DataFrame, category: str, min_rows: int = 10, other: str = "Otros") -> DataFrame:
-    """Replace categories with fewer than ``min_rows`` rows by ``other``; null counts as blank."""
     named = df.withColumn(category, F.coalesce(F.col(category).cast("string"), F.lit("")))
     sizes = named.groupBy(category).agg(F.count("*").alias("_rows"))
     kept = F.when(F.col("_rows") >= min_rows, F.col(category)).otherwise(F.lit(other))
-    return attach_group_facts(named, category, sizes, "_rows").withColumn(category, kept).select(*df.columns)
+    return named.join(sizes, category).withColumn(category, kept).select(*df.columns)
 
 
-def attach_predictions(sample: DataFrame, predictions: DataFrame, key: str, sample_rows: int) -> DataFrame:
-    """Left join of a sample of at most ``sample_rows`` rows to predictions keyed the same way.
-
-    The predictions are cut down by the broadcast sample keys where they lie, so the large side
-    is never shuffled. A sample beyond the broadcast bound joins as any two tables do.
-    """
-    keys = sample.select(key)
-    if sample_rows <= MAX_BROADCAST_ROWS:
-        predictions = predictions.join(F.broadcast(keys), key, "left_semi")
+def attach_predictions(sample: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
+    """Left join of a sample to predictions keyed the same way, whatever the size of either."""
     return sample.join(predictions, key, "left")

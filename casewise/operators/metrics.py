@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casewise.operators.ordered import RANGES, running_totals, value_ranges
+from casewise.operators.ordered import ranges_for, running_totals, value_ranges
 from casewise.operators.totals import top_k
 
 
@@ -15,21 +15,34 @@ def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "pre
     ).agg(F.count("*").alias("n"))
 
 
-def confusion_matrix(df: DataFrame, classes: Sequence[int], label: str = "label", prediction: str = "prediction"):
-    """Dense matrix: one row per class, one ``pred_<class>`` column per class, zeros filled in."""
+def confusion_matrix(
+    df: DataFrame, classes: Sequence[int], label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
+    """Dense matrix: one row per class and one with a null ``label`` for all others, with zeros filled in.
+
+    Columns are ``pred_<class>`` and ``pred_other``. Null and unlisted labels or predictions are
+    among the others, so the cells add up to the number of rows.
+    """
     counts = confusion_counts(df, label, prediction)
-    cells = [
-        F.coalesce(
-            F.sum(F.when((F.col("label") == real) & (F.col("prediction") == predicted), F.col("n"))), F.lit(0)
-        ).alias(f"{real}:{predicted}")
-        for real in classes
-        for predicted in classes
-    ]
+    listed = list(classes)
+
+    def of(column: str) -> Column:
+        return F.when(F.col(column).isin(listed), F.col(column))
+
+    named = counts.select(of("label").alias("label"), of("prediction").alias("prediction"), "n")
+
+    def cell(real: int | None, predicted: int | None) -> Column:
+        here = F.col("label").eqNullSafe(F.lit(real)) & F.col("prediction").eqNullSafe(F.lit(predicted))
+        return F.coalesce(F.sum(F.when(here, F.col("n"))), F.lit(0))
+
+    sides = [*listed, None]
+    cells = [cell(real, predicted).alias(f"{i}:{j}") for i, real in enumerate(sides) for j, predicted in enumerate(sides)]
+    names = [f"pred_{c}" for c in listed] + ["pred_other"]
     rows = [
-        F.struct(F.lit(real).alias("label"), *[F.col(f"`{real}:{p}`").alias(f"pred_{p}") for p in classes])
-        for real in classes
+        F.struct(F.lit(real).cast("int").alias("label"), *[F.col(f"`{i}:{j}`").alias(n) for j, n in enumerate(names)])
+        for i, real in enumerate(sides)
     ]
-    return counts.agg(*cells).select(F.inline(F.array(*rows)))
+    return named.agg(*cells).select(F.inline(F.array(*rows)))
 
 
 def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -38,23 +51,14 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
     A class that is never predicted has precision 0; a class without rows has no weight.
     """
     counts = confusion_counts(df, label, prediction)
-    sides = counts.select(
-        F.inline(
-            F.array(
-                F.struct(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("called")),
-                F.struct(F.col("prediction").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("called")),
-            )
-        ),
-        F.lit(0).cast("long").alias("hits"),
-    )
-    hits = counts.where(F.col("label") == F.col("prediction")).select(
-        F.col("label").alias("class"),
-        F.lit(0).cast("long").alias("support"),
-        F.lit(0).cast("long").alias("called"),
-        F.col("n").alias("hits"),
-    )
-    per_class = sides.unionByName(hits).groupBy("class").agg(
-        F.sum("support").alias("support"), F.sum("called").alias("called"), F.sum("hits").alias("hits")
+    none = F.lit(0).cast("long")
+    hits = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    of_label = F.struct(F.col("label").alias("class"), F.col("n").alias("support"), none.alias("called"), hits.alias("hits"))
+    of_call = F.struct(F.col("prediction").alias("class"), none.alias("support"), F.col("n").alias("called"), none.alias("hits"))
+    per_class = (
+        counts.select(F.inline(F.array(of_label, of_call)))
+        .groupBy("class")
+        .agg(F.sum("support").alias("support"), F.sum("called").alias("called"), F.sum("hits").alias("hits"))
     )
     weight = F.col("support")
     precision = F.coalesce(F.try_divide(F.col("hits").cast("double"), F.col("called")), F.lit(0.0))
@@ -78,19 +82,22 @@ def top_confusions(df: DataFrame, k: int = 3, label: str = "label", prediction:
     return top_k(wrong, [F.desc("n"), F.desc("label"), F.desc("prediction")], k)
 
 
-def auc_one_vs_rest(df: DataFrame, scores: Mapping[int, str], label: str = "label") -> DataFrame:
+def auc_one_vs_rest(df: DataFrame, scores: Mapping[int, str | None], label: str = "label") -> DataFrame:
     """Area under the ROC curve of each class against the rest, with its support.
 
     ``scores`` names the score column of every class. The area is the share of (member,
     non-member) pairs the score puts in the right order, ties counting half. Rows are first
     counted per label and distinct score, so neither many rows nor one hot score meet in one task.
-    A class without members, or without non-members, has a null area.
+    A class without members, or without non-members, has a null area, and so has one whose score
+    column is ``None``, as of a class the model has never seen.
     """
+    unseen = [c for c, name in scores.items() if name is None]
+    scores = {c: name for c, name in scores.items() if name is not None}
     columns = list(dict.fromkeys(scores.values()))
     known = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("_label"), *[F.col(c).cast("double").alias(c) for c in columns]
     )
-    edges = value_ranges(known, columns, max(1, RANGES // len(columns)))
+    edges = value_ranges(known, columns, max(2, ranges_for(known.count()) // len(columns)))
     used_by = F.create_map(
         *[item for c in columns for item in (F.lit(c), F.array(*[F.lit(k) for k, own in scores.items() if own == c]))]
     )
@@ -121,7 +128,12 @@ def auc_one_vs_rest(df: DataFrame, scores: Mapping[int, str], label: str = "labe
     )
     pairs = F.col("support") * F.col("rest")
     wins = (F.col("not_below") + pairs - F.col("not_above")) / 2
-    return summed.select("class", "support", F.try_divide(wins, pairs).alias("auc"))
+    areas = summed.select("class", "support", F.try_divide(wins, pairs).alias("auc"))
+    if not unseen:
+        return areas
+    members = [F.count_if(F.col("_label") == c).alias(f"of_{c}") for c in unseen]
+    rows = [F.struct(F.lit(c).alias("class"), F.col(f"of_{c}").alias("support"), F.lit(None).cast("double").alias("auc")) for c in unseen]
+    return areas.unionByName(known.agg(*members).select(F.inline(F.array(*rows))))
 
 
 def weighted_auc(per_class: DataFrame) -> DataFrame:
@@ -131,5 +143,7 @@ def weighted_auc(per_class: DataFrame) -> DataFrame:
 
 
 def contingency(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Row counts by ``row`` with one column per listed value, zeros filled in."""
-    return df.groupBy(row).agg(*[F.count_if(F.col(column) == value).alias(value) for value in values])
+    """Row counts by ``row`` with one column per listed value and ``other`` for all others, zeros filled in."""
+    listed = [F.count_if(F.col(column) == value).alias(value) for value in values]
+    other = F.count_if(~F.coalesce(F.col(column).isin(list(values)), F.lit(False)))
+    return df.groupBy(row).agg(*listed, other.alias("other"))

@@ -45,23 +45,30 @@ def score_batches(df: DataFrame, key: str, text: str, load: Callable[[], Scorer]
     def run(batches):
         scorer = load()
         for batch in batches:
-            texts = batch[text].fillna("").tolist()
+            texts = batch.iloc[:, 1].fillna("").tolist()
             scored = []
             for start in range(0, len(texts), batch_size):
                 scored.extend(scorer(texts[start : start + batch_size]))
             yield pd.DataFrame(
-                {key: batch[key], "sentiment": [label for label, _ in scored], "score": [float(s) for _, s in scored]}
+                {key: batch.iloc[:, 0], "sentiment": [label for label, _ in scored], "score": [float(s) for _, s in scored]}
             )
 
     schema = f"`{key}` {dict(df.dtypes)[key]}, sentiment string, score double"
-    return df.select(key, text).mapInPandas(run, schema)
+    return df.select(key, F.col(text).alias("_text")).mapInPandas(run, schema)
+
+
+def phrase_table(spark: SparkSession, phrases: Sequence[str]) -> DataFrame:
+    """A handful of phrases typed in by hand, as a table with one column ``phrase``."""
+    return literal_table(spark, [(p,) for p in phrases], "phrase string")
 
 
 def score_phrases(
-    spark: SparkSession, phrases: Sequence[str], severity: Sequence[str], relief: Sequence[str]
+    phrases: DataFrame, phrase: str, severity: Sequence[str], relief: Sequence[str], load: Callable[[], Scorer] | None = None
 ) -> DataFrame:
-    """Score a handful of phrases typed in by hand."""
-    return score_by_rule(literal_table(spark, [(p,) for p in phrases], "phrase string"), "phrase", severity, relief)
+    """Score short phrases by the word lists, or by a batch scorer."""
+    if load is None:
+        return score_by_rule(phrases, phrase, severity, relief)
+    return score_batches(phrases, phrase, phrase, load)
 
 
 def sentiment_distribution(scored: DataFrame, sentiment: str = "sentiment") -> DataFrame:

@@ -1,26 +1,13 @@
 """Operations along an ordered series of group totals.
 
 Neighbours are found by row position and brought together by an equi-grouping on that position,
-so a series of any length is handled without one sorted task. The totals are written once before
-they are ordered: ordering reads them several times, and they are far smaller than the rows
-behind them.
+so a series of any length is handled without one sorted task. A null in the order comes first.
 """
 
 from pyspark.sql import DataFrame, functions as F
 
 from casewise.functions.cleaning import percent
-from casewise.operators.ordered import running_totals, value_ranges, with_position
-from casewise.sources.storage import staged
-
-
-def _edges(written: DataFrame, order_by: str) -> list[float]:
-    """Range edges for a written table: no more ranges than it has splits, so none for a small one."""
-    most = int(written.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return value_ranges(written, order_by, min(most, written.rdd.getNumPartitions()))
-
-
-def _placed(written: DataFrame, order_by: str) -> DataFrame:
-    return with_position(written, order_by, edges=_edges(written, order_by))
+from casewise.operators.ordered import running_totals, with_position
 
 
 def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2, after: int = 1) -> DataFrame:
@@ -30,9 +17,9 @@ def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2
     frame counts rows.
     """
     frame = before + after + 1
-    series = staged(series.select(order_by, value), "series")
+    series = series.select(order_by, value)
     reach = F.explode(F.sequence(F.lit(-after), F.lit(before))).alias("shift")
-    spread = _placed(series, order_by).select(order_by, value, "position", reach)
+    spread = with_position(series, order_by).select(order_by, value, "position", reach)
     own = F.col("shift") == 0
     gathered = spread.groupBy((F.col("position") + F.col("shift")).alias("target")).agg(
         F.max(F.when(own, F.col(order_by))).alias(order_by),
@@ -48,9 +35,9 @@ def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2
 
 def step_delta(series: DataFrame, order_by: str, value: str) -> DataFrame:
     """Drop from the previous row, relative to the first value of the series."""
-    series = staged(series.select(order_by, value), "series")
+    series = series.select(order_by, value)
     first = series.agg(F.min_by(value, order_by)).scalar()
-    spread = _placed(series, order_by).select(
+    spread = with_position(series, order_by).select(
         order_by, value, "position", F.explode(F.array(F.lit(0), F.lit(1))).alias("shift")
     )
     own = F.col("shift") == 0
@@ -69,10 +56,10 @@ def cumulative_share(groups: DataFrame, name: str, total: str) -> DataFrame:
 
     Groups of equal total go by name.
     """
-    groups = staged(groups.select(name, total), "groups")
+    groups = groups.select(name, total)
     whole = groups.agg(F.sum(total)).scalar()
     falling = groups.withColumn("_falling", -F.col(total)).withColumn("_one", F.lit(1))
-    ranked = running_totals(falling, "_falling", [total, "_one"], then_by=[name], edges=_edges(falling, "_falling"))
+    ranked = running_totals(falling, "_falling", [total, "_one"], then_by=[name])
     return ranked.select(
         name,
         total,

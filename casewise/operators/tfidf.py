@@ -37,14 +37,21 @@ class Vocabulary:
 
 
 def term_statistics(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """(term, n, df): total count and document frequency of every term, from one pass."""
-    every = F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("df")))
-    once = F.transform(
-        F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("df"))
+    """(term, n, df): total count and document frequency of every term, from one pass.
+
+    A document gives one row per distinct term, with its count, from its own sorted tokens.
+    """
+    ordered = df.select(F.array_sort(tokens).alias("sorted"))
+    first = F.filter(
+        F.transform("sorted", lambda t, i: F.struct(t.alias("term"), i.alias("at"))),
+        lambda p: (p["at"] == 0) | (p["term"] != F.get("sorted", p["at"] - 1)),
     )
-    return (
-        df.select(F.inline(F.concat(every, once))).groupBy("term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    found = ordered.select(F.size("sorted").alias("size"), first.alias("first"))
+    terms = F.transform(
+        "first",
+        lambda p, i: F.struct(p["term"].alias("term"), (F.coalesce(F.get("first", i + 1)["at"], F.col("size")) - p["at"]).alias("n")),
     )
+    return found.select(F.inline(terms)).groupBy("term").agg(F.sum("n").alias("n"), F.count("*").alias("df"))
 
 
 def eligible_terms(
@@ -63,6 +70,12 @@ def fit_vocabulary(
     return Vocabulary(documents, [r["term"] for r in rows], [r["n"] for r in rows], [r["df"] for r in rows])
 
 
+def weighed(df: DataFrame, vocabulary: Vocabulary, counts: str = "tf", output: str = "features") -> DataFrame:
+    """Term counts times the vocabulary's weights."""
+    scaling = Vectors.dense(vocabulary.weights)
+    return ElementwiseProduct(scalingVec=scaling, inputCol=counts, outputCol=output).transform(df)
+
+
 def term_vectors(df: DataFrame, vocabulary: Vocabulary, tokens: str = "tokens", output: str = "tf") -> DataFrame:
     """Sparse term counts of every document."""
     if not vocabulary.terms:
@@ -97,8 +110,7 @@ def top_terms_per_document(
 
     Terms of equal weight go in vocabulary order.
     """
-    weigh = ElementwiseProduct(scalingVec=Vectors.dense(vocabulary.weights), inputCol="tf", outputCol="tfidf")
-    weighed = weigh.transform(term_vectors(df.select(key, tokens), vocabulary, tokens))
+    weights_of = weighed(term_vectors(df.select(key, tokens), vocabulary, tokens), vocabulary, output="tfidf")
     counts, weights = F.unwrap_udt("tf"), F.unwrap_udt("tfidf")
     terms = F.arrays_zip(
         (F.transform(weights["values"], lambda w: -w)).alias("order"),
@@ -107,7 +119,7 @@ def top_terms_per_document(
     )
     names = F.broadcast(vocabulary.table(df.sparkSession).select("idx", "term"))
     return (
-        weighed.select(key, F.posexplode(F.slice(F.array_sort(terms), 1, k)).alias("place", "item"))
+        weights_of.select(key, F.posexplode(F.slice(F.array_sort(terms), 1, k)).alias("place", "item"))
         .select(key, "place", "item.*")
         .join(names, "idx")
         .select(

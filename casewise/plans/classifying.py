@@ -1,6 +1,6 @@
 """Classifiers of documents, from numbers and from terms."""
 
-from pyspark.ml.feature import IDF, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from casewise.functions.domain import STOP_WORDS_ES
@@ -9,7 +9,7 @@ from casewise.operators import classify, features, metrics, tfidf
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
 from casewise.sources.readers import table
-from casewise.sources.storage import packed, staged
+from casewise.sources.storage import staged, staged_for_rounds
 
 NUMBERS = ["n_chars", "n_tokens", "non_ascii_share"]
 TERMS = 3000
@@ -22,19 +22,18 @@ def _numbers(spark, sf_dir):
     read for them alone, and every fit reads the numbers many times.
     """
     numbers = bindings.document_numbers(spark, sf_dir).withColumn("train", features.in_train("doc_id"))
-    docs = staged(numbers, "numbers")
+    docs = staged_for_rounds(numbers, "numbers")
     labels = features.indexer("lang", "label").fit(docs.where("train"))
     _, prepared = features.prepared(labels.transform(docs), features.numeric_stages(NUMBERS), F.col("train"))
     kept = prepared.select("doc_id", "lang", "label", "features", "scaled", "train")
-    return packed(kept.where("train")), kept.where(~F.col("train")), list(labels.labels)
+    return kept.where("train"), kept.where(~F.col("train")), list(labels.labels)
 
 
 def _scored(predicted, classes):
     """Metrics and weighted area of a set of predictions, as one row."""
-    spread, names = classify.with_class_scores(predicted, classes)
-    areas = metrics.auc_one_vs_rest(spread, names)
-    area = metrics.weighted_auc(areas).scalar()
-    return _rounded(metrics.classification_metrics(predicted).withColumn("weighted_auc", area))
+    scored, names = classify.evaluation_rows(predicted, classes)
+    area = metrics.weighted_auc(metrics.auc_one_vs_rest(scored, names)).scalar()
+    return _rounded(metrics.classification_metrics(scored).withColumn("weighted_auc", area))
 
 
 def _rounded(df):
@@ -69,13 +68,14 @@ def cv_grid(spark, sf_dir):
 
 @REGISTRY.add("model_comparison")
 def model_comparison(spark, sf_dir):
-    train, test, _ = _numbers(spark, sf_dir)
+    train, test, labels = _numbers(spark, sf_dir)
     models = {
         "logistic regression": classify.logistic().fit(train),
         "random forest": classify.forest().fit(train),
         "random forest, tuned": classify.cross_validate(train, "doc_id").bestModel,
     }
-    return _rounded(classify.compare_models({name: model.transform(test) for name, model in models.items()}))
+    scored = {name: classify.evaluation_rows(model.transform(test), len(labels)) for name, model in models.items()}
+    return _rounded(classify.compare_models(scored))
 
 
 @REGISTRY.add(
@@ -105,15 +105,13 @@ def _text_model(spark, sf_dir):
     docs = bindings.documents(spark, sf_dir, heavy=True).select(
         "doc_id", "lang", tokens("text", stop_words=STOP_WORDS_ES).alias("tokens"), features.in_train("doc_id").alias("train")
     )
+    docs = staged(docs, "tokens")
     labels = features.indexer("lang", "label").fit(docs.where("train"))
     vocabulary = tfidf.fit_vocabulary(docs.where("train"), size=TERMS)
-    counted = tfidf.term_vectors(labels.transform(docs), vocabulary).select("doc_id", "lang", "label", "tf", "train")
-    kept = staged(counted, "term-vectors")
-    train, test = packed(kept.where("train")), kept.where(~F.col("train"))
-    weights = IDF(inputCol="tf", outputCol="features").fit(train)
-    train, test = weights.transform(train), weights.transform(test)
-    model = classify.logistic("features", family="multinomial").fit(train)
-    return model, vocabulary, test, list(labels.labels)
+    counted = tfidf.weighed(tfidf.term_vectors(labels.transform(docs), vocabulary), vocabulary)
+    kept = staged_for_rounds(counted.select("doc_id", "lang", "label", "features", "train"), "term-vectors")
+    model = classify.logistic("features", family="multinomial").fit(kept.where("train"))
+    return model, vocabulary, kept.where(~F.col("train")), list(labels.labels)
 
 
 @REGISTRY.add("lr_text_classify")

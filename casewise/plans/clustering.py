@@ -8,7 +8,7 @@ from casewise.plans.exploring import CUMULATIVE_SQL, _cumulative
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
 from casewise.sources.readers import table
-from casewise.sources.storage import packed, staged
+from casewise.sources.storage import staged_for_rounds
 
 DIMENSIONS = 64
 CLUSTERS = 8
@@ -76,7 +76,7 @@ def pca_project(spark, sf_dir):
 
 @REGISTRY.add("kmeans_elbow")
 def kmeans_elbow(spark, sf_dir):
-    vectors = packed(staged(_vectors(spark, sf_dir).select("features"), "vectors"))
+    vectors = staged_for_rounds(_vectors(spark, sf_dir).select("features"), "vectors")
     costs = cluster.elbow_costs(vectors, "features", range(2, 11))
     return cluster.elbow_choice(costs).select(
         "k", F.round("wcss", 4).alias("wcss"), F.round("delta", 6).alias("delta"), "chosen"
@@ -116,8 +116,8 @@ def elbow_rule(spark, sf_dir):
 
 @REGISTRY.add("kmeans_assign")
 def kmeans_assign(spark, sf_dir):
-    vectors = staged(_vectors(spark, sf_dir), "vectors")
-    model = cluster.fit_kmeans(packed(vectors), "features", CLUSTERS)
+    vectors = staged_for_rounds(_vectors(spark, sf_dir), "vectors")
+    model = cluster.fit_kmeans(vectors, "features", CLUSTERS)
     return model.transform(vectors).select("vec_id", "label", "cluster")
 
 

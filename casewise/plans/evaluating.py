@@ -39,7 +39,22 @@ def classification_metrics(spark, sf_dir):
        count(*) filter (prediction = 2) as pred_2 from pred group by label""",
 )
 def confusion_matrix(spark, sf_dir):
-    return metrics.confusion_matrix(bindings.predictions(spark, sf_dir), CLASSES)
+    found = metrics.confusion_matrix(bindings.predictions(spark, sf_dir), CLASSES)
+    return found.where("label is not null").drop("pred_other")  # nothing is left over here
+
+
+@REGISTRY.add(
+    "confusion_unlisted",
+    f"""{PRED}, sides as (select case when label in (0, 1) then label end as label,
+         case when l.prediction in (0, 1) then l.prediction end as prediction from pred l),
+listed as (select * from (values (0), (1), (null)) as c(label))
+select c.label, count(*) filter (s.prediction = 0) as pred_0, count(*) filter (s.prediction = 1) as pred_1,
+       count(*) filter (s.prediction is null) as pred_other
+from listed c join sides s on s.label is not distinct from c.label group by c.label""",
+)
+def confusion_unlisted(spark, sf_dir):
+    """One class is not listed: its rows are among the others."""
+    return metrics.confusion_matrix(bindings.predictions(spark, sf_dir), [0, 1])
 
 
 @REGISTRY.add(

@@ -102,6 +102,34 @@ def step_delta(spark, sf_dir):
     return steps.withColumn("delta", F.round("delta", 9))
 
 
+@REGISTRY.add(
+    "moving_avg_null_week",
+    f"""{NOTI}, weekly as (select nullif(week, 7) as week, sum(cases)::bigint as total from noti group by all)
+select week, total, case when count(*) over w = 4 then round(avg(total) over w, 6) end as moving_avg
+from weekly window w as (order by week nulls first rows between 2 preceding and 1 following)""",
+)
+def moving_avg_null_week(spark, sf_dir):
+    """A series with a null in its order, as from a week that does not parse."""
+    noti = _noti(spark, sf_dir).withColumn("week", F.nullif("week", F.lit(7)))
+    smoothed = series.moving_average(totals.total_by(noti, ["week"], "cases"), "week", "total")
+    return smoothed.withColumn("moving_avg", F.round("moving_avg", 6))
+
+
+@REGISTRY.add(
+    "cumulative_towns",
+    f"""{NOTI}, totals as (select town, (sum(cases) // 1000)::bigint as total from noti group by town)
+select town, total, row_number() over w as rank, round(total::double / sum(total) over (), 9) as share,
+       round((sum(total) over w)::double / sum(total) over (), 9) as cum_share
+from totals window w as (order by total desc, town nulls first rows between unbounded preceding and current row)""",
+)
+def cumulative_towns(spark, sf_dir):
+    """Many equal totals, and a group without a name."""
+    found = totals.total_by(_noti(spark, sf_dir), ["town"], "cases").withColumn("total", F.expr("total div 1000"))
+    return series.cumulative_share(found, "town", "total").withColumns(
+        {"share": F.round("share", 9), "cum_share": F.round("cum_share", 9)}
+    )
+
+
 CUMULATIVE_SQL = f"""{NOTI}, totals as (select event, sum(cases)::bigint as total from noti group by event),
 ranked as (select event, total, row_number() over w as rank, sum(total) over w as upto, sum(total) over () as whole
   from totals window w as (order by total desc, event rows between unbounded preceding and current row))"""

@@ -55,7 +55,7 @@ def sample_of_documents(spark, sf_dir):
 )
 def attach_predictions_to_sample(spark, sf_dir):
     scored = _ruled(spark, sf_dir).select("doc_id", "sentiment")
-    return attach_predictions(sample_of_documents(spark, sf_dir), scored, "doc_id", SAMPLE)
+    return attach_predictions(sample_of_documents(spark, sf_dir), scored, "doc_id")
 
 
 @REGISTRY.add(
@@ -64,7 +64,17 @@ def attach_predictions_to_sample(spark, sf_dir):
        count(*) filter (sentiment = 'POS') as "POS" from ruled group by lang""",
 )
 def contingency(spark, sf_dir):
-    return metrics.contingency(_ruled(spark, sf_dir), "lang", "sentiment", ["NEG", "NEU", "POS"])
+    return metrics.contingency(_ruled(spark, sf_dir), "lang", "sentiment", ["NEG", "NEU", "POS"]).drop("other")
+
+
+@REGISTRY.add(
+    "contingency_unlisted",
+    f"""{RULED} select lang, count(*) filter (sentiment = 'NEG') as "NEG", count(*) filter (sentiment <> 'NEG') as other
+from ruled group by lang""",
+)
+def contingency_unlisted(spark, sf_dir):
+    """Sentiments that are not listed are among the others."""
+    return metrics.contingency(_ruled(spark, sf_dir), "lang", "sentiment", ["NEG"])
 
 
 @REGISTRY.add(
@@ -81,7 +91,7 @@ def sentiment_distribution(spark, sf_dir):
 )
 def score_phrases(spark, sf_dir):
     phrases = table(spark, sf_dir, "benchmark")
-    return sentiment.score_by_rule(phrases, "text", SEVERITY, RELIEF).drop("text")
+    return sentiment.score_phrases(phrases, "text", SEVERITY, RELIEF).drop("text")
 
 
 @REGISTRY.add(

@@ -26,13 +26,13 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def read_text_columns(
-    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True
 ) -> DataFrame:
     """CSV with a header, every column kept as text and blanks kept as ``''``.
 
     Columns are matched by name through the header, in whatever order the file has them. A quote
-    inside a quoted cell is doubled. ``multi_line`` allows line breaks inside quoted cells, at the
-    price of files that cannot be split.
+    inside a quoted cell is doubled, and line breaks inside quotes belong to the cell. Each file is then
+    read by one task; ``multi_line=False`` splits large files whose cells have no line breaks.
     """
     options = {"header": True, "inferSchema": False, "encoding": "UTF-8", "escape": '"', "multiLine": multi_line}
     found = spark.read.options(**options).csv(path)

@@ -39,14 +39,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def packed(df: DataFrame, rows_per_task: int = 50_000) -> DataFrame:
-    """``df`` in no more partitions than its rows fill, for fits that go round many times.
+def staged_for_rounds(df: DataFrame, name: str) -> DataFrame:
+    """``df`` staged in files of the size that adaptive execution aims at, for fits that go round many times.
 
-    Every round pays for each partition it schedules. A large table has more rows than
-    ``rows_per_task`` in every partition and is left as it is. The count reads a staged table's
-    footers, or at most the columns of a filter.
+    Every round pays for each partition it schedules; a small table is one file.
     """
-    return df.coalesce(max(1, -(-df.count() // rows_per_task)))
+    return staged(df.hint("rebalance"), name)
+
+
+def drop_staged(spark: SparkSession, df: DataFrame) -> None:
+    """Delete the files behind a staged table that is no longer needed."""
+    folder = shared_folder(spark)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        place = hadoop.Path(path)
+        if hadoop.Path(place.toUri().getPath()).getParent().equals(hadoop.Path(hadoop.Path(folder).toUri().getPath())):
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def write_report(df: DataFrame, path: str) -> DataFrame:

@@ -3,9 +3,8 @@
 Each takes cleaned tables and gives the named result tables; ``write_tables`` saves them.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml.feature import IDF
 from pyspark.sql import DataFrame, functions as F
 
 from casewise.functions.domain import (
@@ -18,10 +17,10 @@ from casewise.functions.domain import (
 )
 from casewise.functions.text import tokens
 from casewise.operators import classify, cluster, corpus, features, metrics, profile, sentiment, series, tfidf, totals
-from casewise.operators.lookup import attach_predictions, map_codes
+from casewise.operators.lookup import attach_predictions, fold_rare, map_codes
 from casewise.operators.ordered import exact_percentiles
 from casewise.sources.readers import literal_table
-from casewise.sources.storage import packed, staged, write_report
+from casewise.sources.storage import staged, staged_for_rounds, write_report
 
 
 def explore_notifications(noti: DataFrame, focus_event: str, top: int = 15) -> dict[str, DataFrame]:
@@ -94,29 +93,28 @@ def model_notifications(
     known = staged(known.withColumn("train", features.in_train("row_key")), "known")
     _, ready = features.prepared(known, features.feature_stages(["week"], "dept", ["cases"]), F.col("train"))
     slots = features.slot_names(ready)
-    ready = staged(ready.select("row_key", "category", "label", "features", "scaled", "train"), "features")
-    train, test = packed(ready.where("train")), ready.where(~F.col("train"))
+    ready = staged_for_rounds(ready.select("row_key", "category", "label", "features", "scaled", "train"), "features")
+    train, test = ready.where("train"), ready.where(~F.col("train"))
 
-    variance = cluster.explained_variance(cluster.fit_pca(ready, "scaled", len(slots)), spark)
+    components = cluster.fit_pca(ready, "scaled", len(slots))
+    variance = cluster.explained_variance(components, spark)
     cumulative = series.cumulative_share(variance, "component", "variance")
     choice = cluster.choose_components(cumulative)
     kept = choice.first()["k_chosen"]
-    reduced = cluster.fit_pca(ready, "scaled", min(kept, len(slots))).transform(ready).select("category", "components")
-    reduced = staged(reduced, "components")
-    elbow = cluster.elbow_choice(cluster.elbow_costs(packed(reduced), "components", ks))
-    grouping = cluster.fit_kmeans(packed(reduced), "components", elbow.first()["chosen"])
+    reduced = cluster.first_components(ready, "scaled", components, min(kept, len(slots))).select("category", "components")
+    reduced = staged_for_rounds(reduced, "components")
+    elbow = cluster.elbow_choice(cluster.elbow_costs(reduced, "components", ks))
+    grouping = cluster.fit_kmeans(reduced, "components", elbow.first()["chosen"])
     grouped = grouping.transform(reduced)
 
     logistic = classify.logistic().fit(train)
     forest = classify.forest(trees=trees, depth=depth).fit(train)
     search = classify.cross_validate(train, "row_key", grid_depths, grid_trees)
-    predicted = {
-        "logistic regression": logistic.transform(test),
-        "random forest": forest.transform(test),
-        "random forest, tuned": search.bestModel.transform(test),
-    }
+    models = {"logistic regression": logistic, "random forest": forest, "random forest, tuned": search.bestModel}
+    evaluated = {name: classify.evaluation_rows(m.transform(test), logistic.numClasses) for name, m in models.items()}
+    predicted = {name: rows for name, (rows, _) in evaluated.items()}
     classes = sorted({label for _, _, label in codes} | {CATEGORY_LABELS[DEFAULT_CATEGORY]})
-    scored, names = classify.with_class_scores(predicted["random forest"], logistic.numClasses)
+    forest_rows, names = evaluated["random forest"]
     return {
         "class_distribution": known.groupBy("category", "label").agg(F.count("*").alias("n")),
         "slots": features.slot_summary(ready, "scaled", slots),
@@ -127,8 +125,8 @@ def model_notifications(
         "cluster_profile": cluster.group_profile(grouped, "cluster", "category"),
         "cluster_centers": cluster.kmeans_centroids(grouping, spark),
         "split": ready.groupBy("train").agg(F.count("*").alias("n")),
-        "comparison": classify.compare_models(predicted),
-        "auc": metrics.auc_one_vs_rest(scored, {c: names[c] for c in classes if c in names}),
+        "comparison": classify.compare_models(evaluated),
+        "auc": metrics.auc_one_vs_rest(forest_rows, {c: names.get(c) for c in classes}),
         "confusion_logistic": metrics.confusion_matrix(predicted["logistic regression"], classes),
         "confusion_forest": metrics.confusion_matrix(predicted["random forest"], classes),
         "top_confusions": metrics.top_confusions(predicted["random forest"]),
@@ -160,12 +158,18 @@ def analyse_texts(
     vocabulary_size: int = 3000,
     severity: Sequence[str] = SEVERITY_WORDS,
     relief: Sequence[str] = RELIEF_WORDS,
-    sample_rows: int = 300,
+    sample_rows: int | None = None,
     phrases: Sequence[str] = (),
+    load_scorer: Callable[[], sentiment.Scorer] | None = None,
+    min_category_rows: int = 10,
 ) -> dict[str, DataFrame]:
-    """Corpus statistics, TF-IDF, a category classifier and sentiment of (doc_id, text, category)."""
+    """Corpus statistics, TF-IDF, a category classifier and sentiment of (doc_id, text, category).
+
+    Categories of fewer than ``min_category_rows`` rows are folded into one. Sentiment is that of all texts, or of
+    ``sample_rows`` of them, by the word lists or by the scorer that ``load_scorer`` loads in every task.
+    """
     spark = docs.sparkSession
-    prepared = docs.select(
+    prepared = fold_rare(docs, "category", min_category_rows).select(
         "doc_id", "text", "category", tokens("text", stop_words=stop_words).alias("tokens"),
         features.in_train("doc_id").alias("train"),
     )
@@ -175,17 +179,21 @@ def analyse_texts(
 
     learnt = tfidf.fit_vocabulary(prepared.where("train"), size=vocabulary_size)
     labels = features.indexer("category", "label").fit(prepared.where("train"))
-    vectors = tfidf.term_vectors(labels.transform(prepared), learnt).select("doc_id", "category", "label", "tf", "train")
-    vectors = staged(vectors, "term-vectors")
-    weights = IDF(inputCol="tf", outputCol="features").fit(vectors.where("train"))
-    vectors = weights.transform(vectors)
-    model = classify.logistic("features", family="multinomial").fit(packed(vectors.where("train")))
-    predicted = model.transform(vectors)
+    vectors = tfidf.weighed(tfidf.term_vectors(labels.transform(prepared), learnt), learnt)
+    vectors = staged_for_rounds(vectors.select("doc_id", "category", "label", "features", "train"), "term-vectors")
+    model = classify.logistic("features", family="multinomial").fit(vectors.where("train"))
+    predicted = staged(model.transform(vectors).select("doc_id", "label", "prediction", "train"), "predicted")
     tested = predicted.where(~F.col("train"))
 
-    sample = features.sample_n(prepared.select("doc_id", "category", "text"), "doc_id", sample_rows)
-    scored = sentiment.score_by_rule(sample, "text", severity, relief).drop("text")
-    attached = attach_predictions(scored, predicted.select("doc_id", "prediction"), "doc_id", sample_rows)
+    texts = prepared.select("doc_id", "category", "text")
+    if sample_rows is not None:
+        texts = features.sample_n(texts, "doc_id", sample_rows)
+    if load_scorer is None:
+        scored = sentiment.score_by_rule(texts, "text", severity, relief).drop("text")
+    else:
+        by_scorer = staged(sentiment.score_batches(texts, "doc_id", "text", load_scorer), "sentiments")
+        scored = texts.drop("text").join(by_scorer, "doc_id")
+    attached = attach_predictions(scored, predicted.select("doc_id", "prediction"), "doc_id")
     found = {
         "corpus_stats": corpus.corpus_stats(prepared),
         "richness": corpus.type_token_ratio(counts),
@@ -204,7 +212,8 @@ def analyse_texts(
         "category_by_sentiment": metrics.contingency(scored, "category", "sentiment", ["NEG", "NEU", "POS"]),
     }
     if phrases:
-        found["phrases"] = sentiment.score_phrases(spark, phrases, severity, relief)
+        typed = sentiment.phrase_table(spark, phrases)
+        found["phrases"] = sentiment.score_phrases(typed, "phrase", severity, relief, load_scorer)
     return found
 
 

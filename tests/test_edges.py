@@ -183,7 +183,7 @@ def test_assembler_leaves_out_null_numbers(spark):
 
 def test_missing_class(spark):
     df = spark.createDataFrame([(0, 0, 0.1), (0, 2, 0.9), (2, 2, 0.5)], "label int, prediction int, score double")
-    assert rows(metrics.confusion_matrix(df, [0, 1, 2])) == [(0, 1, 0, 1), (1, 0, 0, 0), (2, 0, 0, 1)]
+    assert rows(metrics.confusion_matrix(df, [0, 1, 2])) == [(0, 1, 0, 1, 0), (1, 0, 0, 0, 0), (2, 0, 0, 1, 0), (None, 0, 0, 0, 0)]
     areas = metrics.auc_one_vs_rest(df, {0: "score", 1: "score", 2: "score"})
     assert {r["class"]: r["auc"] for r in areas.collect()} == {0: 0.5, 1: None, 2: 0.5}
     assert rows(metrics.weighted_auc(areas)) == [(0.5,)]
@@ -233,17 +233,33 @@ def test_rule_scorers_agree(spark):
 
 
 def test_phrases_and_codes(spark):
-    scored = sentiment.score_phrases(spark, ["todo grave", "todo leve", "todo"], SEVERITY_WORDS, RELIEF_WORDS)
-    coded = sentiment.with_sentiment_code(scored)
-    assert sorted(r["sentiment_code"] for r in coded.collect()) == [0, 1, 2]
+    typed = sentiment.phrase_table(spark, ["todo grave", "todo leve", "todo"])
+    for load in (None, sentiment.rule_scorer(SEVERITY_WORDS, RELIEF_WORDS)):
+        coded = sentiment.with_sentiment_code(sentiment.score_phrases(typed, "phrase", SEVERITY_WORDS, RELIEF_WORDS, load))
+        assert sorted(r["sentiment_code"] for r in coded.collect()) == [0, 1, 2]
 
 
 def test_attach_predictions_is_a_left_join(spark):
     sample = spark.createDataFrame([(1, "a"), (2, "b")], "id int, t string")
     predicted = spark.createDataFrame([(2, 1.0), (3, 0.0)], "id int, prediction double")
-    for bound in (2, 10**9):
-        found = attach_predictions(sample, predicted, "id", bound)
-        assert sorted(rows(found)) == [(1, "a", None), (2, "b", 1.0)]
+    found = attach_predictions(sample, predicted, "id")
+    assert sorted(rows(found)) == [(1, "a", None), (2, "b", 1.0)]
+
+
+def test_tables_of_counts_hold_every_row(spark):
+    data = [(0, 0), (0, 5), (5, 0), (None, 1), (1, None), (None, None), (7, 7)]
+    df = spark.createDataFrame(data, "label int, prediction int")
+    found = rows(metrics.confusion_matrix(df, [0, 1]))
+    assert found == [(0, 1, 0, 1), (1, 0, 0, 1), (None, 1, 1, 2)]
+    assert sum(x for r in found for x in r[1:]) == len(data)
+    marks = spark.createDataFrame([("a", "NEG"), ("a", None), ("a", "odd"), (None, "POS")], "g string, s string")
+    assert sorted(rows(metrics.contingency(marks, "g", "s", ["NEG", "POS"])), key=str) == [("a", 1, 0, 2), (None, 0, 1, 0)]
+
+
+def test_a_class_the_model_has_not_seen_has_no_area(spark):
+    df = spark.createDataFrame([(0, 0.1), (1, 0.9), (2, 0.5)], "label int, s double")
+    found = {r["class"]: (r["support"], r["auc"]) for r in metrics.auc_one_vs_rest(df, {1: "s", 2: None, 3: None}).collect()}
+    assert found == {1: (1, 1.0), 2: (1, None), 3: (0, None)}
 
 
 def test_group_rollup_gives_the_lists_back(spark):

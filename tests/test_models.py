@@ -45,11 +45,11 @@ def test_kmeans_assigns_the_nearest_center(spark, sf_dir):
     )
 
 
-def test_too_many_centers_is_an_error(spark):
-    points = spark.createDataFrame([([0.0],)], "v array<double>")
-    centers = spark.createDataFrame([(1, [0.0]), (2, [1.0])], "id int, centroid array<double>")
-    with pytest.raises(Exception, match="more than 1 centroids"):
-        cluster.nearest_centroid(points, "v", centers, "id", max_centers=1).collect()
+def test_many_centers(spark):
+    points = spark.createDataFrame([([float(i) + 0.2],) for i in range(50)], "v array<double>")
+    centers = spark.createDataFrame([(i, [float(i)]) for i in range(1500)], "id int, centroid array<double>")
+    found = cluster.nearest_centroid(points, "v", centers, "id").collect()
+    assert sorted(r["nearest"] for r in found) == list(range(50))
 
 
 @pytest.mark.parametrize("name, least", [("lr_classify", 0.65), ("rf_classify", 0.8), ("lr_text_classify", 0.9)])

@@ -46,6 +46,20 @@ def test_document_terms_are_not_shuffled(spark):
         assert not re.search(r"Exchange (hash|range|Single)", plan(df))
 
 
-def test_attached_predictions_are_cut_down_by_the_sample(spark, sf_dir):
-    text = plan(BUILD["attach_predictions"](spark, sf_dir))
-    assert re.search(r"BroadcastHashJoin.*LeftSemi", text)
+def test_attached_predictions_read_each_side_once(spark, sf_dir):
+    assert plan(BUILD["attach_predictions"](spark, sf_dir)).count("FileScan") == 2
+
+
+def test_metrics_read_the_predictions_once(spark, sf_dir):
+    assert plan(BUILD["classification_metrics"](spark, sf_dir)).count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["weekly_moving_avg", "cumulative_share", "elbow_rule", "step_delta"])
+def test_a_series_writes_nothing(name, spark, sf_dir, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def no_write(df):
+        raise AssertionError("written")
+
+    monkeypatch.setattr(DataFrame, "write", property(no_write))
+    assert BUILD[name](spark, sf_dir).columns

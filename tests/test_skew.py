@@ -4,11 +4,12 @@ import math
 import random
 
 import numpy as np
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from casewise.operators import metrics, totals
-from casewise.operators.lookup import attach_group_facts
+from casewise.operators.lookup import fold_rare
 from casewise.operators.ordered import (
     approximate_percentiles,
     exact_percentiles,
@@ -16,6 +17,7 @@ from casewise.operators.ordered import (
     value_ranges,
     with_position,
 )
+from casewise.operators.series import cumulative_share, moving_average, step_delta
 from checking import plan
 
 POINTS = {"p00": "0.00", "p25": "0.25", "p50": "0.50", "p75": "0.75", "p99": "0.99", "p100": "1.00"}
@@ -41,19 +43,69 @@ def test_percentiles_with_a_hot_value(spark):
     assert abs(close - found["p50"]) < 1.0
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(st.integers(-5, 5), min_size=1, max_size=40), edges=st.sets(st.integers(-6, 6), max_size=5))
-def test_percentiles_do_not_depend_on_the_ranges(spark, values, edges):
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.integers(-5, 5), min_size=1, max_size=40), accuracy=st.sampled_from([2, 5, 100]))
+def test_percentiles_do_not_depend_on_the_sketch(spark, values, accuracy):
     df = spark.createDataFrame([(v,) for v in values], "v int")
-    found = exact_percentiles(df, "v", POINTS, edges=sorted(map(float, edges))).first().asDict()
+    found = exact_percentiles(df, "v", POINTS, accuracy=accuracy).first().asDict()
     assert found == {name: discrete(values, float(point)) for name, point in POINTS.items()}
 
 
-def test_percentiles_shuffle_only_ranges_with_a_rank(spark):
-    df = spark.range(10_000).select(F.col("id").cast("double").alias("v"))
-    text = plan(exact_percentiles(df, "v", {"p50": "0.5"}))
-    assert "BroadcastHashJoin [_range" in text
-    assert "partial_count" in text
+def test_percentiles_of_many_values_by_a_rough_sketch(spark):
+    values = skewed(20_000, seed=4)
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(7)
+    found = exact_percentiles(df, "v", POINTS, accuracy=50).first().asDict()
+    assert found == {name: discrete(values, float(point)) for name, point in POINTS.items()}
+
+
+def test_percentiles_read_the_table_once_after_the_sketch(spark, tmp_path):
+    spark.range(10_000).selectExpr("id as v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    text = plan(exact_percentiles(df, "v", {"p25": "0.25", "p50": "0.5"}))
+    assert text.count("FileScan") - text.count("ReusedExchange") <= 1
+
+
+def test_percentiles_without_values(spark):
+    df = spark.createDataFrame([(None,)], "v double")
+    assert exact_percentiles(df, "v", {"p50": "0.5"}).collect()[0].asDict() == {"p50": None}
+
+
+KEY = st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 1.0, 2.5, float("nan")]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(KEY, min_size=1, max_size=25), edges=st.sets(st.sampled_from([-1.0, 0.0, 0.5, 1.0, 3.0]), max_size=4))
+def test_running_totals_do_not_depend_on_the_edges(spark, keys, edges):
+    df = spark.createDataFrame([(k, f"n{i % 5}é" if i % 6 else None, i) for i, k in enumerate(keys)], "o double, t string, x int")
+
+    def found(**options):
+        rows = running_totals(df, "o", ["x"], then_by=["t", "x"], **options).collect()
+        return sorted((r["x"], r["upto_x"]) for r in rows)
+
+    def place(row):
+        o, t, x = row
+        return (o is not None, o is not None and math.isnan(o), 0.0 if o is None or math.isnan(o) else o, t is not None, (t or "").encode(), x)
+
+    total, want = 0, []
+    for row in sorted((tuple(r) for r in df.collect()), key=place):
+        total += row[2]
+        want.append((row[2], total))
+    assert found(edges=[]) == found(edges=sorted(edges)) == found() == sorted(want)
+
+
+def test_one_total_in_half_of_the_groups(spark):
+    data = [(f"g{i:05d}", 7 if i % 2 else i) for i in range(4000)]
+    df = spark.createDataFrame(data, "g string, total long")
+    found = {r["g"]: r["rank"] for r in cumulative_share(df, "g", "total").collect()}
+    assert found == {g: i for i, (g, _) in enumerate(sorted(data, key=lambda r: (-r[1], r[0])), 1)}
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_series_keep_rows_without_an_order(spark, parts):
+    data = [(i, i * 2) for i in range(16)] + [(None, 5)]
+    df = spark.createDataFrame(data, "week int, total int").repartition(parts)
+    assert moving_average(df, "week", "total").count() == 17
+    assert {r["week"] for r in step_delta(df, "week", "total").collect()} == {w for w, _ in data}
 
 
 def test_running_totals_per_group(spark):
@@ -106,14 +158,11 @@ def test_metrics_equal_the_evaluator(spark):
         assert math.isclose(MulticlassClassificationEvaluator(metricName=metric).evaluate(df), found[name])
 
 
-def test_group_facts_reach_hot_and_small_groups(spark):
-    data = [("hot",)] * 500 + [(f"k{i % 400}",) for i in range(800)]
+def test_fold_rare_keeps_hot_small_and_null_groups(spark):
+    data = [("hot",)] * 500 + [(f"k{i % 400}",) for i in range(800)] + [(None,)] * 12
     df = spark.createDataFrame(data, "k string")
-    sizes = df.groupBy("k").agg(F.count("*").alias("n"))
-    found = attach_group_facts(df, "k", sizes, "n", heavy=10)
-    assert found.groupBy("k").agg(F.min("n"), F.max("n"), F.count("*")).where("k = 'hot'").first()[1:] == (500, 500, 500)
-    assert found.count() == 1300
-    assert found.where("k <> 'hot'").select("n").distinct().collect()[0][0] == 2
+    found = {r["k"]: r["count"] for r in fold_rare(df, "k", 10).groupBy("k").count().collect()}
+    assert found == {"hot": 500, "": 12, "Otros": 800}
 
 
 def test_top_k_per_group_of_a_hot_group(spark):

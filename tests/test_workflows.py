@@ -24,6 +24,10 @@ def test_models(spark, sf_dir):
         noti, codes=codes, ks=range(2, 5), trees=3, depth=3, grid_depths=(2, 3), grid_trees=(2, 3)
     )
     assert found["comparison"].count() == 3
+    assert all(0 < r["weighted_auc"] <= 1 for r in found["comparison"].collect())
+    tested = found["split"].where("not train").first()["n"]
+    for name in ("confusion_logistic", "confusion_forest"):
+        assert sum(x for r in found[name].collect() for x in r[1:]) == tested
     assert found["grid"].count() == 4
     assert {r["source"] for r in found["importance"].collect()} == {"week", "dept", "cases"}
     assert found["cluster_sizes"].agg({"n": "sum"}).first()[0] == noti.where("dept <> 0").count()
@@ -33,14 +37,29 @@ def test_models(spark, sf_dir):
 
 def test_texts(spark, sf_dir):
     docs = bindings.documents(spark, sf_dir).selectExpr("doc_id", "text", "lang as category")
-    found = workflows.analyse_texts(docs, vocabulary_size=300, sample_rows=50, phrases=["todo grave"])
-    assert found["sample"].count() == 50
+    found = workflows.analyse_texts(docs, vocabulary_size=300, phrases=["todo grave"])
+    assert found["sample"].count() == docs.count()
+    assert found["sentiments"].agg({"n": "sum"}).first()[0] == docs.count()
+    cells = found["category_by_sentiment"].selectExpr("sum(NEG + NEU + POS + other)").first()[0]
+    assert cells == docs.count()
     assert found["sample"].where("prediction is null").count() == 0
     assert found["metrics"].first()["accuracy"] > 0.6
     assert found["phrases"].first()["sentiment"] == "NEG"
     assert found["corpus_stats"].first()["documents"] == docs.count()
 
 
+def test_texts_by_another_scorer_with_rare_categories(spark, sf_dir):
+    def load():
+        return lambda texts: [("LONG" if len(t) > 2000 else "SHORT", 0.5) for t in texts]
+
+    docs = bindings.documents(spark, sf_dir).selectExpr("doc_id", "text", "if(doc_id < 3, concat('rare', doc_id), lang) as category")
+    found = workflows.analyse_texts(docs, vocabulary_size=300, sample_rows=50, phrases=["todo grave"], load_scorer=load)
+    assert found["sample"].count() == 50
+    assert {r["sentiment"] for r in found["sentiments"].collect()} <= {"LONG", "SHORT"}
+    assert found["phrases"].first()["sentiment"] == "SHORT"
+    assert "Otros" in {r["category"] for r in found["labels"].collect()}
+
+
 def test_generated_documents(spark, sf_dir):
     noti = bindings.notifications(spark, sf_dir)
     found = workflows.documents_of_notifications(noti)
