@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casewise.operators.totals import top_k, top_k_per_group
 from casewise.sources.readers import literal_table
@@ -55,7 +55,7 @@ def term_statistics(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 
 def eligible_terms(
-    df: DataFrame, documents: int, tokens: str = "tokens", min_df: int = 2, max_df: float = 0.9, size: int = 3000
+    df: DataFrame, documents: int | Column, tokens: str = "tokens", min_df: int = 2, max_df: float = 0.9, size: int = 3000
 ) -> DataFrame:
     """The ``size`` most frequent terms in at least ``min_df`` documents and at most ``max_df`` of them."""
     usual = (F.col("df") >= min_df) & (F.col("df") <= max_df * documents)

@@ -7,6 +7,7 @@ from casewise.functions.domain import STOP_WORDS_ES
 from casewise.functions.text import tokens
 from casewise.operators import classify, features, metrics, tfidf
 from casewise.plans.registry import REGISTRY
+from casewise.plans.scoring import DRAW
 from casewise.sources import bindings
 from casewise.sources.readers import table
 from casewise.sources.storage import staged, staged_for_rounds
@@ -52,6 +53,123 @@ def rf_classify(spark, sf_dir):
     return _scored(classify.forest().fit(train).transform(test), len(labels))
 
 
+# An unpenalised intercept makes the mean probability of each class on the train rows its share.
+SHARES_SQL = f"""with split as (select lang, {DRAW} < 80 as train from documents)
+select lang, count(*) as n, round(count(*)::double / sum(count(*)) over (), 6) as share, true as met from split where train group by lang"""
+
+
+def _mean_probabilities(model, train, labels):
+    """Rows and share of each class, and whether the mean probability is within a thousandth of it."""
+    spread, names = classify.with_class_scores(model.transform(train), len(labels))
+    found = spread.agg(
+        F.count("*").cast("double").alias("rows"),
+        *[F.avg(name).alias(name) for name in names.values()],
+        *[F.count_if(F.col("label") == i).alias(f"n_{i}") for i in names],
+    )
+
+    def row(i, label):
+        share = F.col(f"n_{i}") / F.col("rows")
+        met = F.abs(F.col(names[i]) - share) < 1e-3
+        return F.struct(F.lit(label).alias("lang"), F.col(f"n_{i}").alias("n"), F.round(share, 6).alias("share"), met.alias("met"))
+
+    return found.select(F.inline(F.array(*[row(i, label) for i, label in enumerate(labels)])))
+
+
+@REGISTRY.add("lr_mean_probability", SHARES_SQL)
+def lr_mean_probability(spark, sf_dir):
+    train, _, labels = _numbers(spark, sf_dir)
+    return _mean_probabilities(classify.logistic().setTol(1e-9).fit(train), train, labels)
+
+
+@REGISTRY.add("lr_text_mean_probability", SHARES_SQL)
+def lr_text_mean_probability(spark, sf_dir):
+    model, _, kept, labels = _text_model(spark, sf_dir, tol=1e-9)
+    return _mean_probabilities(model, kept.where("train"), labels)
+
+
+@REGISTRY.add(
+    "lr_text_coefficient_sums",
+    f"select distinct lang, true as centered, true as ordered from (select lang, {DRAW} < 80 as train from documents) where train",
+)
+def lr_text_coefficient_sums(spark, sf_dir):
+    """Weights of a penalised multinomial fit add up to 0 over the classes, and listed terms are in order."""
+    model, vocabulary, _, labels = _text_model(spark, sf_dir)
+    sums = model.coefficientMatrix.toArray().sum(axis=0)
+    terms = classify.strongest_terms(model, vocabulary.terms, labels, 5, spark)
+    by_class = terms.groupBy(F.col("class").alias("lang")).agg(
+        (F.min(F.when(F.col("side") == "for", F.col("weight"))) >= F.max(F.when(F.col("side") == "against", F.col("weight")))).alias("ordered")
+    )
+    return by_class.select("lang", F.lit(bool(abs(sums).max() < 1e-6)).alias("centered"), "ordered")
+
+
+def _decided(spark, sf_dir):
+    """Sales lines whose label is decided by one of two features."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.xxhash64("l_orderkey", "l_linenumber").alias("row_key"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_discount").alias("discount"),
+        (F.col("l_quantity") > 25).cast("double").alias("label"),
+    )
+    return VectorAssembler(inputCols=["quantity", "discount"], outputCol="scaled").transform(lines)
+
+
+def _small_forest():
+    return classify.forest(trees=5, depth=6).setFeatureSubsetStrategy("all")
+
+
+@REGISTRY.add(
+    "rf_decided_label",
+    "select (l_quantity > 25)::int as label, count(*) as n, count(*) as hits from lineitem group by 1",
+)
+def rf_decided_label(spark, sf_dir):
+    """A forest on a feature that decides the label is right for every row."""
+    rows = staged_for_rounds(_decided(spark, sf_dir), "decided")
+    found = _small_forest().fit(rows).transform(rows)
+    return found.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("prediction") == F.col("label")).alias("hits")
+    )
+
+
+@REGISTRY.add(
+    "rf_decided_importance",
+    "select 'discount' as source, 0.0::double as importance union all select 'quantity', 1.0::double",
+)
+def rf_decided_importance(spark, sf_dir):
+    """All importance lies on the feature that decides the label; it adds up to 1."""
+    rows = staged_for_rounds(_decided(spark, sf_dir), "decided")
+    model = _small_forest().fit(rows)
+    found = classify.importance_by_source(model, ["quantity", "discount"], ["quantity", "discount"], spark)
+    return found.select("source", F.round("importance", 6).alias("importance"))
+
+
+@REGISTRY.add(
+    "cv_decided_grid",
+    """select depth as max_depth, trees as num_trees, 1.0::double as f1, depth = 3 and trees = 2 as best
+from (values (3), (4)) as d(depth), (values (2), (3)) as t(trees)""",
+)
+def cv_decided_grid(spark, sf_dir):
+    """Every setting of the grid is right on a decided label, and the first of equals wins."""
+    rows = staged_for_rounds(_decided(spark, sf_dir).drop("discount"), "decided")
+    only = VectorAssembler(inputCols=["quantity"], outputCol="features").transform(rows)
+    search = classify.cross_validate(only, "row_key", depths=(3, 4), trees=(2, 3), features="features")
+    return _rounded(classify.grid_results(search, spark))
+
+
+@REGISTRY.add(
+    "model_comparison_decided",
+    """select model, 1.0::double as accuracy, 1.0::double as f1, 1.0::double as weighted_precision,
+       1.0::double as weighted_recall, 1.0::double as weighted_auc
+from (values ('logistic regression'), ('random forest')) as m(model)
+where (select count(*) from lineitem) > 0""",
+)
+def model_comparison_decided(spark, sf_dir):
+    """Both kinds of model are right on a decided label."""
+    rows = staged_for_rounds(_decided(spark, sf_dir), "decided")
+    models = {"logistic regression": classify.logistic(reg=0.0).fit(rows), "random forest": _small_forest().fit(rows)}
+    scored = {name: classify.evaluation_rows(model.transform(rows), 2) for name, model in models.items()}
+    return _rounded(classify.compare_models(scored))
+
+
 @REGISTRY.add("rf_importance")
 def rf_importance(spark, sf_dir):
     train, _, _ = _numbers(spark, sf_dir)
@@ -97,8 +215,8 @@ def lr_single_binary(spark, sf_dir):
     )
 
 
-def _text_model(spark, sf_dir):
-    """Train and test documents as weighted terms, and the model fitted on the train part.
+def _text_model(spark, sf_dir, tol=1e-6):
+    """The model fitted on the train part, its vocabulary, all documents as weighted terms, and the languages.
 
     Vocabulary and weights come from the train rows only.
     """
@@ -110,14 +228,14 @@ def _text_model(spark, sf_dir):
     vocabulary = tfidf.fit_vocabulary(docs.where("train"), size=TERMS)
     counted = tfidf.weighed(tfidf.term_vectors(labels.transform(docs), vocabulary), vocabulary)
     kept = staged_for_rounds(counted.select("doc_id", "lang", "label", "features", "train"), "term-vectors")
-    model = classify.logistic("features", family="multinomial").fit(kept.where("train"))
-    return model, vocabulary, kept.where(~F.col("train")), list(labels.labels)
+    model = classify.logistic("features", family="multinomial").setTol(tol).fit(kept.where("train"))
+    return model, vocabulary, kept, list(labels.labels)
 
 
 @REGISTRY.add("lr_text_classify")
 def lr_text_classify(spark, sf_dir):
-    model, _, test, labels = _text_model(spark, sf_dir)
-    return _scored(model.transform(test), len(labels))
+    model, _, kept, labels = _text_model(spark, sf_dir)
+    return _scored(model.transform(kept.where(~F.col("train"))), len(labels))
 
 
 @REGISTRY.add("lr_text_coefficients")

@@ -1,6 +1,6 @@
 """Components and clusters of vectors."""
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from casewise.operators import cluster, features, series
@@ -28,6 +28,73 @@ def pca_variance(spark, sf_dir):
     )
 
 
+SPREAD_SQL = "with dims as (select i, embedding[i]::double as x from embeddings, unnest(range(1, 65)) as d(i))"
+
+
+@REGISTRY.add(
+    "pca_total_variance",
+    f"""{SPREAD_SQL}, variances as (select var_samp(x) as v from dims group by i)
+select 64 as components, round(sum(v), 6) as total, 1.0::double as shares from variances""",
+)
+def pca_total_variance(spark, sf_dir):
+    """All components keep the variance of all dimensions, and their shares add up to 1."""
+    vectors = _vectors(spark, sf_dir)
+    model = cluster.fit_pca(vectors, "features", DIMENSIONS)
+    projected = cluster.project(model, vectors)
+    kept = projected.agg(*[F.var_samp(F.get("components", F.lit(i))).alias(f"v{i}") for i in range(DIMENSIONS)])
+    total = sum((F.col(f"v{i}") for i in range(DIMENSIONS)), F.lit(0.0))
+    shares = sum(float(s) for s in model.explainedVariance.toArray())
+    return kept.select(F.lit(DIMENSIONS).alias("components"), F.round(total, 6).alias("total"), F.round(F.lit(shares), 6).alias("shares"))
+
+
+@REGISTRY.add(
+    "pca_keeps_lengths",
+    """select vec_id, label, round(list_sum(list_transform(embedding, lambda x: x::double * x::double)), 5) as sq_length
+from embeddings""",
+)
+def pca_keeps_lengths(spark, sf_dir):
+    """Projected on all components, every vector keeps its length."""
+    vectors = _vectors(spark, sf_dir)
+    projected = cluster.project(cluster.fit_pca(vectors, "features", DIMENSIONS), vectors)
+    length = F.aggregate("components", F.lit(0.0), lambda total, x: total + x * x)
+    return projected.select("vec_id", "label", F.round(length, 5).alias("sq_length"))
+
+
+@REGISTRY.add(
+    "kmeans_covers_all",
+    "select label, count(*) as n, 0::bigint as not_nearest from embeddings group by label",
+)
+def kmeans_covers_all(spark, sf_dir):
+    """Every row is counted and lies in the cluster of its nearest center."""
+    vectors = staged_for_rounds(_vectors(spark, sf_dir), "vectors")
+    model = cluster.fit_kmeans(vectors, "features", CLUSTERS)
+    placed = model.transform(vectors).select("label", "cluster", vector_to_array("features").alias("point"))
+    found = cluster.nearest_centroid(placed, "point", cluster.kmeans_centroids(model, spark), "cluster")
+    return found.groupBy("label").agg(
+        F.count("*").alias("n"), F.count_if(F.col("nearest") != F.col("cluster")).alias("not_nearest")
+    )
+
+
+@REGISTRY.add(
+    "kmeans_two_spots",
+    """select 2 as k, 0.0::double as wcss, count(*) filter (l_quantity > 25) as larger, count(*) filter (l_quantity <= 25) as smaller
+from lineitem""",
+)
+def kmeans_two_spots(spark, sf_dir):
+    """Rows on two spots: two clusters cost nothing and hold the rows of one spot each."""
+    spot = F.when(F.col("l_quantity") > 25, 100.0).otherwise(0.0)
+    lines = table(spark, sf_dir, "lineitem").select(array_to_vector(F.array(spot)).alias("features"), spot.alias("spot"))
+    rows = staged_for_rounds(lines, "spots")
+    placed = cluster.fit_kmeans(rows, "features", 2).transform(rows)
+    sizes = placed.groupBy("cluster").agg(F.count("*").alias("n"), F.min("spot").alias("low"), F.max("spot").alias("high"))
+    counts = sizes.where("low = high").agg(
+        F.max(F.when(F.col("low") == 100, F.col("n"))).alias("larger"), F.max(F.when(F.col("low") == 0, F.col("n"))).alias("smaller")
+    )
+    costs = cluster.elbow_costs(rows, "features", [2])
+    found = counts.select(F.struct("larger", "smaller")).scalar()
+    return costs.select("k", F.round("wcss", 4).alias("wcss"), found["larger"].alias("larger"), found["smaller"].alias("smaller"))
+
+
 @REGISTRY.add(
     "pca_two_feature",
     """with found as (select abs(corr(l_quantity, l_extendedprice)) as r from lineitem)

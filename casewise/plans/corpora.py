@@ -109,7 +109,7 @@ def token_histogram(spark, sf_dir):
 @REGISTRY.add("count_vectorize", f"{VOCAB} select term, n, df from vocab")
 def count_vectorize(spark, sf_dir):
     docs = _tokenised(spark, sf_dir)
-    return tfidf.eligible_terms(docs, docs.count(), size=VOCABULARY)
+    return tfidf.eligible_terms(docs, docs.agg(F.count("*")).scalar(), size=VOCABULARY)
 
 
 @REGISTRY.add("idf_weights", f"{VOCAB} select term, df, round(idf, 6) as idf from vocab")

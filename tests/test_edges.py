@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from casewise.functions import cleaning
 from casewise.functions.domain import (
     CATEGORY_LABELS,
-    EVENT_CATEGORY_CODES,
+    EVENT_CATEGORIES,
     RELIEF_WORDS,
     SEVERITY_WORDS,
     STOP_WORDS_ES,
@@ -29,7 +29,7 @@ def rows(df):
 
 
 def test_fixed_values():
-    assert sum(len(codes) for codes in EVENT_CATEGORY_CODES.values()) == 69
+    assert len(EVENT_CATEGORIES) == 69
     assert len({code for code, _, _ in event_category_rows()}) == 69
     assert sorted(CATEGORY_LABELS.values()) == list(range(7))
     assert len(STOP_WORDS_ES) == len(set(STOP_WORDS_ES)) == 117
