@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from casewise.operators.ordered import ranges_for, running_totals, value_ranges
+from casewise.operators.ordered import range_edges, running_totals
 from casewise.operators.totals import top_k
 
 
@@ -97,7 +97,7 @@ def auc_one_vs_rest(df: DataFrame, scores: Mapping[int, str | None], label: str
     known = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("_label"), *[F.col(c).cast("double").alias(c) for c in columns]
     )
-    edges = value_ranges(known, columns, max(2, ranges_for(known.count()) // len(columns)))
+    edges = sorted({edge for found in range_edges(known, [F.col(c) for c in columns]) for edge in found})
     used_by = F.create_map(
         *[item for c in columns for item in (F.lit(c), F.array(*[F.lit(k) for k, own in scores.items() if own == c]))]
     )

@@ -14,26 +14,26 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: 1 / relative rank error of the sketch that brackets a percentile.
 BRACKET = 100_000
+#: Ranges that a first sketch cuts; more follow from the number of rows.
+FIRST_RANGES = 512
 _PREFIX = 6  # bytes of a text that a double holds exactly
 
 
-def ranges_for(rows: int) -> int:
-    """As many ranges as rows in a range."""
-    return max(1, math.isqrt(max(0, rows)))
+def range_edges(df: DataFrame, numbers: Sequence[Column]) -> list[list[float]]:
+    """Per number, inner edges that cut its values into ranges of about equal row count.
 
+    There are about as many ranges as rows in a range, and at least ``FIRST_RANGES``. The edges come from
+    quantile sketches in one pass over the table, or two if the rows ask for more ranges.
+    """
 
-def value_ranges(df: DataFrame, columns: str | Sequence[str], ranges: int) -> list[float]:
-    """At most ``ranges`` - 1 inner edges per column that cut its values into ranges of about equal row count.
+    def sketch(ranges: int):
+        wanted = [step / ranges for step in range(1, ranges)]
+        return df.agg(F.count("*"), *[F.percentile_approx(n.cast("double"), wanted, 2 * ranges) for n in numbers]).first()
 
-    They come from a quantile sketch in one pass.
-    """
-    if ranges <= 1:
-        return []
-    columns = [columns] if isinstance(columns, str) else columns
-    wanted = [step / ranges for step in range(1, ranges)]
-    sketches = [F.percentile_approx(F.col(c).cast("double"), wanted, 2 * ranges) for c in columns]
-    edges = {edge for found in df.agg(*sketches).first() for edge in found or []}
-    return sorted(edge for edge in edges if math.isfinite(edge))
+    found = sketch(FIRST_RANGES)
+    if math.isqrt(found[0]) > FIRST_RANGES:
+        found = sketch(math.isqrt(found[0]))
+    return [sorted({edge for edge in edges or [] if math.isfinite(edge)}) for edges in found[1:]]
 
 
 def _place_of(values: Column, edges: Sequence[float], df: DataFrame, name: str) -> DataFrame:
@@ -90,11 +90,11 @@ def running_totals(
     """
     tie_edges: list[float] = []
     if edges is None:
-        ranges = ranges_for(df.count())
-        edges = value_ranges(df, order_by, ranges)
-        if then_by and edges:
-            number = _tie_number(F.col(then_by[0]), dict(df.dtypes)[then_by[0]])
-            tie_edges = value_ranges(df.select(number.alias("_number")), "_number", ranges)
+        numbers = [F.col(order_by)]
+        if then_by and not with_ties:
+            numbers.append(_tie_number(F.col(then_by[0]), dict(df.dtypes)[then_by[0]]))
+        edges, *more = range_edges(df, numbers)
+        tie_edges = more[0] if more else []
     ranged = _with_range(df, order_by, edges, () if with_ties else then_by, tie_edges)
     group = [*by, "_range", "_tie"]
     earlier = Window.partitionBy(*by).orderBy("_range", "_tie").rowsBetween(Window.unboundedPreceding, -1)
