@@ -25,7 +25,7 @@ from casewise.sources.storage import staged
 INDEX_BLOCK = 8192  # rows
 QUERY_BLOCK = 256
 _GROUP = 32  # queries per step
-_LIMIT = 1 << 24  # largest size of a quantised component
+_LIMIT = 1 << 26  # largest size of a quantised component: scores of a thousand dimensions still fit a long
 
 
 def quantised(embedding: str | Column, scale: int) -> Column:
