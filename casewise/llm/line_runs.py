@@ -52,21 +52,32 @@ def shortest_runs(counts: np.ndarray, min_words: int) -> tuple[np.ndarray, np.nd
 def _lines(min_words: int):
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts, rows = [], 0
-            for key, text, stamp in zip(batch["key"], batch["text"], batch["print"], strict=True):
-                if not text:
-                    continue
-                lines, _, counts = split_lines(text)
-                last, first = shortest_runs(counts, min_words)
-                ids = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, lines)), np.int64).reshape(-1, 2)
-                part = {"id1": ids[:, 0], "id2": ids[:, 1], "at": np.arange(len(lines)), "last": last, "first": first}
-                parts.append(pd.DataFrame({"key": pd.Series([key] * len(lines), dtype=batch["key"].dtype), "print": stamp, **part}))
-                rows += len(lines)
-                if rows > _ROWS:
-                    yield pd.concat(parts)
-                    parts, rows = [], 0
-            if parts:
-                yield pd.concat(parts)
+            first_doc, digests, counts = 0, [], []
+            last_doc = len(batch) - 1
+            for doc, text in enumerate(batch["text"]):
+                lines, _, words = split_lines(text) if text else ([], None, np.zeros(0, np.int64))
+                digests.extend(map(xxhash.xxh3_128_digest, lines))
+                counts.append(words)
+                if digests and (len(digests) > _ROWS or doc == last_doc):
+                    yield table(batch.iloc[first_doc : doc + 1], digests, counts)
+                    first_doc, digests, counts = doc + 1, [], []
+
+    def table(docs: pd.DataFrame, digests: list[bytes], counts: list[np.ndarray]) -> pd.DataFrame:
+        ids = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        sizes = [len(c) for c in counts]
+        runs = [shortest_runs(c, min_words) for c in counts]
+        of = np.repeat(np.arange(len(docs)), sizes)
+        return pd.DataFrame(
+            {
+                "id1": ids[:, 0],
+                "id2": ids[:, 1],
+                "at": np.concatenate([np.arange(size) for size in sizes]),
+                "last": np.concatenate([last for last, _ in runs]),
+                "first": np.concatenate([first for _, first in runs]),
+                "key": docs["key"].take(of).to_numpy(),
+                "print": docs["print"].to_numpy()[of],
+            }
+        )
 
     return explode
 
@@ -85,8 +96,9 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     at most, and may overlap.
     """
     kind = docs.schema["key"].dataType.simpleString()
-    schema = f"id1 long, id2 long, at int, last int, first int, key {kind}, print long"
-    lines = docs.select("key", "text", "print").mapInPandas(_lines(min_words), schema)
+    schema = "id1 long, id2 long, at int, last int, first int, key string, print long"
+    named = docs.select(F.col("key").cast("string").alias("key"), "text", "print")  # pandas has no null in numbers
+    lines = staged(named.mapInPandas(_lines(min_words), schema).withColumn("key", F.col("key").cast(kind)), "lines")
     level = _ranked(lines, ["id1", "id2"], [*_DOC, "at", "last", "first"])
     runs = level.select(
         *_DOC,

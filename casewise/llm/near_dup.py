@@ -213,7 +213,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     spark = docs.sparkSession
     named = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("text_hash"))
     kind = named.schema["key"].dataType.simpleString()
-    rows = staged(named.mapInPandas(sketched, f"key {kind}, text_hash long, n long, fp1 long, fp2 long, sketch array<int>"), "sketches")
+    written = named.withColumn("key", F.col("key").cast("string"))  # pandas has no null in numbers
+    sketches = written.mapInPandas(sketched, "key string, text_hash long, n long, fp1 long, fp2 long, sketch array<int>")
+    rows = staged(sketches.withColumn("key", F.col("key").cast(kind)), "sketches")
     same = rows.where("n > 0").groupBy("fp1", "fp2").agg(
         F.min("key").alias("first_key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )

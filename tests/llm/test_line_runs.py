@@ -75,3 +75,11 @@ def test_repeated_rows_are_one_document(spark):
 
 def test_empty_table(spark):
     assert drop_repeated_runs(spark.createDataFrame([], "doc_id long, text string"), "doc_id", "text").collect() == []
+
+
+def test_large_keys_beside_a_null_one(spark):
+    text = "a line of ten words that comes again and again"
+    rows = [(2**62 + 1, text), (2**62 + 2, text), (None, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {r.row.doc_id: r.n_removed for r in drop_repeated_runs(df, "doc_id", "text", 10).collect()}
+    assert found == {2**62 + 1: 0, 2**62 + 2: 1, None: 0}

@@ -82,6 +82,13 @@ def test_equals_all_pairs(spark, seed):
     assert len(kept) == len({(want[r.n]) if sets[r.n] else ("empty", r.n) for r in kept}) == len(groups)
 
 
+def test_large_keys_beside_a_null_one(spark):
+    rows = [(2**62 + 1, "one two three"), (2**62 + 2, "one two three"), (None, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = {(r.key, r.component_id) for r in near_duplicates(df).collect()}
+    assert found == {(2**62 + 1, 2**62 + 1), (2**62 + 2, 2**62 + 1), (None, None)}
+
+
 def test_small_tables(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(df).collect() == [] and drop_near_duplicates(df).collect() == []
