@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def indexer(category: str, output: str) -> StringIndexer:
-    """Index by falling frequency, ties alphabetical; unseen values get one extra index."""
+    """Index by falling frequency, ties alphabetical; unseen values get one extra index.
+
+    The model holds every distinct value on the driver: it is for class labels and codes, not for keys.
+    """
     return StringIndexer(
         inputCol=category, outputCol=output, handleInvalid="keep", stringOrderType="frequencyDesc"
     )

@@ -54,6 +54,13 @@ def test_metrics_read_the_predictions_once(spark, sf_dir):
     assert plan(BUILD["classification_metrics"](spark, sf_dir)).count("FileScan") == 1
 
 
+@pytest.mark.parametrize("name", ["auc_ovr", "percentiles"])
+def test_one_scan_follows_the_sketch(name, spark, sf_dir):
+    df = BUILD[name](spark, sf_dir)
+    df.collect()
+    assert plan(df).split("== Initial Plan ==")[0].count("FileScan") == 1
+
+
 @pytest.mark.parametrize("name", ["weekly_moving_avg", "cumulative_share", "elbow_rule", "step_delta"])
 def test_a_series_writes_nothing(name, spark, sf_dir, monkeypatch):
     from pyspark.sql.classic.dataframe import DataFrame
