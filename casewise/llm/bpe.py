@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Regex, normalizers
 
 NO_PAIR = np.int32(2**31 - 1)
-CACHED_PIECES = 250_000  # encoded pieces kept per generation and task
+CACHED_PIECES = 100_000  # encoded pieces kept per generation and task
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 _SYMBOLS_AT_ONCE = 1 << 16
 
@@ -72,6 +72,7 @@ class Vocabulary:
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
         self.merged = np.append(merged, 0)
+        self.numbers = list(range(1 + max(self.tokens)))
 
     @staticmethod
     def _normaliser(rule: dict):
@@ -154,6 +155,7 @@ class Vocabulary:
         kept = symbol >= 0
         ends = np.cumsum(kept.sum(axis=1)).tolist()
         ids = symbol[kept].tolist()
+        ids = list(map(self.numbers.__getitem__, ids))  # one object per id, as encoded words are kept
         return (tuple(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True))
 
     def _update(self, tree: np.ndarray, rows: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
@@ -187,9 +189,8 @@ class Codec:
         self.cached = cached
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
-        size = 1 + max(vocabulary.tokens)
-        self.numbers = [str(i) for i in range(size)]
-        self.names = [vocabulary.tokens.get(i, "") for i in range(size)]
+        self.numbers = list(map(str, vocabulary.numbers))
+        self.names = [vocabulary.tokens.get(i, "") for i in vocabulary.numbers]
 
     def _words(self, piece: str) -> list[str | int]:
         v = self.vocabulary
@@ -284,11 +285,14 @@ def code_texts(df: DataFrame, text: str, vocabulary: str, outputs: Sequence[str]
     def convert(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = Codec(Vocabulary(file.value))
         for batch in batches:
-            columns: dict[str, list] = {name: [] for name in makers}
-            for ids in codec.encode([t if isinstance(t, str) else None for t in batch]):
-                for name, make in makers.items():
-                    columns[name].append(make(codec, ids))
-            yield pd.DataFrame(columns)
+            texts = [t if isinstance(t, str) else None for t in batch]
+            del batch
+            for at, last in _portions(texts):  # results leave the task in parts, not as a batch
+                columns: dict[str, list] = {name: [] for name in makers}
+                for ids in codec.encode(texts[at:last]):
+                    for name, make in makers.items():
+                        columns[name].append(make(codec, ids))
+                yield pd.DataFrame(columns)
 
     packed = df.select(F.struct("*").alias("row"), convert(F.col(f"`{text}`")).alias("out"))
     return packed.select("row", "out.*")

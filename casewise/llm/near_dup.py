@@ -37,7 +37,7 @@ PERCENT = 75
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
 _MASK = (1 << 64) - 1
-_BLOCK = 1 << 20  # bytes hashed at a time, in whole texts
+_BLOCK = 1 << 18  # bytes hashed at a time, in whole texts
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
