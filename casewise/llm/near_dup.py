@@ -181,23 +181,6 @@ def _tables(scouts: bool):
     return rows
 
 
-def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        linked = np.zeros(len(batch), bool)
-        for i, (a, b) in enumerate(zip(batch["left"], batch["right"], strict=True)):
-            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-            shared = len(np.intersect1d(a, b, assume_unique=True))
-            linked[i] = 100 * shared >= PERCENT * (len(a) + len(b) - shared)
-        yield batch.loc[linked, ["u", "v"]]
-
-
-def _exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for node, raw in zip(batch["node"], batch["shingles"], strict=True):
-            found = np.frombuffer(raw, np.int64)
-            yield pd.DataFrame({"node": np.full(len(found), node, np.int64), "n": np.full(len(found), len(found)), "shingle": found})
-
-
 def _near_sizes(left: str, right: str):
     return F.least(left, right) * 100 >= F.greatest(left, right) * PERCENT
 
@@ -328,25 +311,32 @@ def _node_sets(named: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFra
     """(node, shingles) of the needed nodes, from the text of one row of each."""
     wanted = nodes.join(needed, "node", "left_semi").select("node", "fp1", "fp2", "first_key")
     texts = named.join(wanted, F.col("key").eqNullSafe(F.col("first_key")))
-    found = texts.select("node", "fp1", "fp2", "text").mapInPandas(_checked_sets, "node long, shingles binary")
+    found = texts.select("node", "fp1", "fp2", "text").mapInPandas(_checked_sets, "node long, shingles array<long>")
     return staged(found.dropDuplicates(["node"]), "sets")
 
 
 def _checked_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sets of rows that really are of the node: other rows may share the key."""
     for batch in batches:
-        keep, out = [], []
-        for i, found in enumerate(text_sets(batch["text"])):
-            if len(found) and int(found.sum(dtype=np.uint64).astype(np.int64)) == batch["fp1"].iat[i]:
-                keep.append(i)
-                out.append(found.tobytes())
-        yield pd.DataFrame({"node": batch["node"].iloc[keep].to_numpy(), "shingles": out})
+        nodes, out, size = [], [], 0
+        for node, fp1, found in zip(batch["node"], batch["fp1"], text_sets(batch["text"]), strict=True):
+            if len(found) and int(found.sum(dtype=np.uint64).astype(np.int64)) == fp1:
+                nodes.append(node)
+                out.append(found.view(np.int64))
+                size += len(found)
+            if size > _BLOCK:
+                yield pd.DataFrame({"node": nodes, "shingles": out})
+                nodes, out, size = [], [], 0
+        yield pd.DataFrame({"node": np.array(nodes, np.int64), "shingles": out})
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("right"))
-    return pairs.join(left, "u").join(right, "v").mapInPandas(_confirmed, "u long, v long")
+    both = pairs.join(left, "u").join(right, "v").select(
+        "u", "v", (F.size("left") + F.size("right")).alias("sizes"), F.size(F.array_intersect("left", "right")).alias("shared")
+    )
+    return both.where(F.col("shared") * (100 + PERCENT) >= F.col("sizes") * PERCENT).select("u", "v")
 
 
 def _prefix_links(rest: DataFrame, sets: DataFrame) -> DataFrame:
@@ -356,7 +346,7 @@ def _prefix_links(rest: DataFrame, sets: DataFrame) -> DataFrame:
     among their first n - ceil(0.75 n) + 1, so only these are joined, and only shingles that lie in
     more than one component.
     """
-    rows = staged(sets.mapInPandas(_exploded, "node long, n long, shingle long"), "shingles")
+    rows = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     common = rows.groupBy("shingle").agg(F.count("*").alias("df"))
     ordered = rows.join(common, "shingle")
     place = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle"))

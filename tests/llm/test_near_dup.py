@@ -133,11 +133,11 @@ def test_prefix_links_find_what_tables_do_not(spark):
 
     def raw_sets(batches):
         for batch in batches:
-            yield batch.assign(shingles=[s.tobytes() for s in text_sets(batch["text"])])[["node", "shingles"]]
+            yield batch.assign(shingles=[s.view("int64") for s in text_sets(batch["text"])])[["node", "shingles"]]
 
     rows = corpus(7)[:200]
     named = spark.createDataFrame(rows, "node long, text string")
-    sets = near_dup.staged(named.mapInPandas(raw_sets, "node long, shingles binary"), "sets")
+    sets = near_dup.staged(named.mapInPandas(raw_sets, "node long, shingles array<long>"), "sets")
     rest = named.selectExpr("node", "node as component")
     links = {(r.u, r.v) for r in near_dup._prefix_links(rest, sets).collect()}
     want = set()
