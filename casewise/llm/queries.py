@@ -1,7 +1,6 @@
 """The dealt operators bound to the shared tables, each with its SQL twin where SQL can say it."""
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casewise.llm import sql
@@ -21,7 +20,7 @@ from casewise.sources.readers import table
 
 QUERIES = Registry()
 
-VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
+VOCABULARY = "word_bpe_49k.json"
 SHARDS = 24
 WEIGHTS = (3, 1, 2)
 # The rules of the url query.
@@ -36,14 +35,7 @@ URL_RULES = [
 
 def vocabulary_file(path: str | None = None) -> str:
     """The content of the vocabulary, from ``path`` or where the package of public vocabularies keeps it."""
-    if path is None:
-        try:
-            import public_tokenizers
-
-            path = public_tokenizers.path(os.path.basename(VOCABULARY))
-        except ImportError:
-            path = VOCABULARY
-    with open(path, encoding="utf-8") as file:
+    with open(path or public_tokenizers.path(VOCABULARY), encoding="utf-8") as file:
         return file.read()
 
 
