@@ -119,26 +119,25 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         step = 1 << k
         along = Window.partitionBy(*_DOC).orderBy("at")
         pairs = level.select(
-            *_DOC, "at", F.col("rank").alias("head"), F.lead("rank", step).over(along).alias("tail"), F.lead("at", step).over(along).alias("next")
+            *_DOC,
+            "at",
+            F.col("rank").alias("head"),
+            F.lead("rank", step).over(along).alias("tail"),
+            F.lead("at", step).over(along).alias("next"),
         ).where(F.col("next") == F.col("at") + step)
         level = _ranked(pairs.drop("next"), ["head", "tail"], [*_DOC, "at"])
         ranks = ranks.unionByName(level.select(*_DOC, "at", "rank", F.lit(k + 1).alias("level")))
-    head = ranks.withColumnsRenamed({"key": "hkey", "print": "hprint", "at": "hat", "level": "hlevel", "rank": "head"})
-    tail = ranks.withColumnsRenamed({"key": "tkey", "print": "tprint", "at": "tat", "level": "tlevel", "rank": "tail"})
+
+    def with_rank(df: DataFrame, place: str, name: str) -> DataFrame:
+        """Add the rank of the suffix at ``place``, to the depth of the run's level."""
+        found = ranks.select(*[F.col(c).alias(f"_{c}") for c in (*_DOC, "level", "at")], F.col("rank").alias(name))
+        same = F.col("key").eqNullSafe(F.col("_key")) & (F.col("print") == F.col("_print"))
+        here = (F.col("level") == F.col("_level")) & (F.col(place) == F.col("_at"))
+        return df.join(found, same & here).drop("_key", "_print", "_level", "_at")
+
     cover = F.col("end") + 1 - F.expr("shiftleft(1, level)")
-    named = staged(
-        runs.join(
-            head,
-            F.col("key").eqNullSafe(F.col("hkey")) & (F.col("print") == F.col("hprint")) & (F.col("level") == F.col("hlevel")) & (F.col("start") == F.col("hat")),
-        )
-        .withColumn("cover", cover)
-        .join(
-            tail,
-            F.col("key").eqNullSafe(F.col("tkey")) & (F.col("print") == F.col("tprint")) & (F.col("level") == F.col("tlevel")) & (F.col("cover") == F.col("tat")),
-        )
-        .select(*_DOC, "start", "end", "size", "head", "tail"),
-        "named",
-    )
+    covered = with_rank(with_rank(runs, "start", "head").withColumn("cover", cover), "cover", "tail")
+    named = staged(covered.select(*_DOC, "start", "end", "size", "head", "tail"), "named")
     place = F.struct(*_DOC, "start")
     firsts = named.groupBy("size", "head", "tail").agg(F.min(place).alias("copy"), F.count("*").alias("n")).where("n > 1")
     later = named.join(firsts.drop("n"), ["size", "head", "tail"]).where(~place.eqNullSafe(F.col("copy")))
@@ -156,7 +155,8 @@ def without_spans(text: str, spans: list) -> tuple[str, list[tuple[int, int]], i
         gone[span["last"] + 1] -= 1
     out = np.cumsum(gone)[:-1] > 0
     edges = np.diff(np.concatenate([[0], out.astype(np.int8), [0]]))
-    runs = [(int(numbers[a]), int(numbers[b - 1])) for a, b in zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True)]
+    bounds = zip(np.flatnonzero(edges == 1), np.flatnonzero(edges == -1), strict=True)
+    runs = [(int(numbers[a]), int(numbers[b - 1])) for a, b in bounds]
     removed = set(numbers[out].tolist())
     return "\n".join([line for i, line in enumerate(lines) if i not in removed]), runs, len(removed)
 
@@ -168,7 +168,10 @@ def drop_repeated_runs(df: DataFrame, key: str, text: str, min_words: int = MIN_
     text as it is. Blank lines are never taken out.
     """
     packed = df.select(
-        F.struct("*").alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("print")
+        F.struct("*").alias("row"),
+        F.col(f"`{key}`").alias("key"),
+        F.col(f"`{text}`").alias("text"),
+        F.xxhash64(f"`{text}`").alias("print"),
     )
     spans = repeated_spans(packed.select("key", "text", "print"), min_words)
     spans = spans.withColumnsRenamed({"key": "of", "print": "of_print"})
