@@ -64,7 +64,8 @@ class IndexBlock:
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query id, id, score) of the k best other rows of each query."""
-        found = [self._search(query_ids[i : i + _GROUP], queries[i : i + _GROUP].astype(np.int64), k) for i in range(0, len(queries), _GROUP)]
+        groups = [slice(i, i + _GROUP) for i in range(0, len(queries), _GROUP)]
+        found = [self._search(query_ids[group], queries[group].astype(np.int64), k) for group in groups]
         return tuple(np.concatenate(part) for part in zip(*found, strict=True))
 
     def _search(self, query_ids: np.ndarray, queries: np.ndarray, k: int):

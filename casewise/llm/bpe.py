@@ -21,8 +21,9 @@ import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Regex, normalizers
+from tokenizers import Regex, normalizers, pre_tokenizers
 
+_OLD_SCRIPTS = "\u0500"
 NO_PAIR = np.int32(2**31 - 1)
 CACHED_PIECES = 100_000  # encoded pieces kept per generation and task
 _CONTROLS = regex.compile("[\x1c-\x1f]")
@@ -42,8 +43,8 @@ class Vocabulary:
     def __init__(self, file: str):
         model = json.loads(file)
         bpe = model["model"]
-        plain = {"dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
-        if bpe["type"] != "BPE" or any(bpe.get(k) not in (v, "", False) for k, v in plain.items()) or model["decoder"]:
+        plain = ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges")
+        if bpe["type"] != "BPE" or any(bpe.get(option) for option in plain) or model["decoder"]:
             raise ValueError("this kind of vocabulary file is not supported")
         self.ids: dict[str, int] = bpe["vocab"]
         self.ends = bpe["end_of_word_suffix"] or ""
@@ -59,7 +60,9 @@ class Vocabulary:
         if split["behavior"] != "Removed" or not split["invert"] or byte_level["use_regex"] or byte_level["add_prefix_space"]:
             raise ValueError("this way to split text is not supported")
         # white space by its Unicode property, without the control characters that Python adds
-        self.words = regex.compile(split["pattern"]["Regex"].replace("\\s", "\\p{White_Space}")).findall
+        pattern = split["pattern"]["Regex"]
+        self._findall = regex.compile(pattern.replace("\\s", "\\p{White_Space}")).findall
+        self._library_split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
         self.first = np.array([self.ids[c] for c in byte_characters()], np.int32)
         self.last = np.array([self.ids[c + self.ends] for c in byte_characters()], np.int32)
         pairs = np.empty((len(bpe["merges"]), 2), np.int64)
@@ -85,6 +88,12 @@ class Vocabulary:
                 return normalizers.Replace(Regex(rule["pattern"]["Regex"]), rule["content"])
         raise ValueError(f"normaliser {rule['type']} is not supported")
 
+    def words(self, text: str) -> list[str]:
+        """The words of normalised text. What is a letter beyond old scripts depends on the library's Unicode version."""
+        if text.isascii() or max(text) < _OLD_SCRIPTS:
+            return self._findall(text)
+        return [word for word, _ in self._library_split(text)]
+
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of symbols, ``NO_PAIR`` where none merges; -1 is no symbol."""
         keys = left.astype(np.int64) << 32 | np.maximum(right, 0).astype(np.int64)

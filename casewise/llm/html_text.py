@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame, functions as F
 
 # Elements of the HTML standard by their role here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("script style noscript template iframe object canvas svg math head title textarea select button datalist audio video map".split())
+SILENT = set(
+    "script style noscript template iframe object canvas svg math head title textarea select button datalist audio video map".split()
+)
 ASIDE = set("nav aside footer form dialog menu".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
@@ -36,7 +38,10 @@ ASIDE_WORDS = set(
 )
 # An open element ends before these, as the HTML standard has it.
 CLOSED_BY = {
-    "p": set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd".split()),
+    "p": set(
+        "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
+        "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd".split()
+    ),
     "li": {"li"},
     "dt": {"dt", "dd"},
     "dd": {"dt", "dd"},
@@ -45,7 +50,15 @@ CLOSED_BY = {
     "th": {"td", "th", "tr", "tbody", "tfoot"},
     "option": {"option", "optgroup"},
 }
-SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "p": {"table", "td", "th", "button", "object"}}
+SCOPES = {
+    "p": {"table", "td", "th", "button", "object"},
+    "li": {"ul", "ol", "menu"},
+    "dt": {"dl"},
+    "dd": {"dl"},
+    "tr": {"table"},
+    "td": {"table"},
+    "th": {"table"},
+}
 BLOCK = -1  # a text item that ends a block
 
 

@@ -194,7 +194,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     component. A null key is a ``component_id`` only where links reach no other.
     """
     spark = docs.sparkSession
-    named = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("text_hash"))
+    named = docs.select(
+        F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("text_hash")
+    )
     kind = named.schema["key"].dataType.simpleString()
     written = named.withColumn("key", F.col("key").cast("string"))  # pandas has no null in numbers
     sketches = written.mapInPandas(sketched, "key string, text_hash long, n long, fp1 long, fp2 long, sketch array<int>")
