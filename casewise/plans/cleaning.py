@@ -40,6 +40,21 @@ def scan_csv(spark, sf_dir):
     )
 
 
+@REGISTRY.add(
+    "scan_csv_texts",
+    """select doc_id, length(text)::int + 6 as letters, md5('so "' || text || '",') as digest from documents""",
+)
+def scan_csv_texts(spark, sf_dir):
+    """Texts with line breaks, commas and quotes come back from a CSV file as they were."""
+    path = fresh_path(spark, "texts-csv")
+    quoted = F.concat(F.lit('so "'), F.col("text"), F.lit('",'))
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string"), quoted.alias("text"))
+    written = {"header": True, "escape": '"', "quoteAll": True}
+    texts.write.options(**written, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    read = read_text_columns(spark, path, ["doc_id", "text"])
+    return read.select(F.col("doc_id").cast("long"), F.length("text").alias("letters"), F.md5("text").alias("digest"))
+
+
 # Test data has no event codes of the domain, so a part number is folded into their range.
 def _part_code():
     return (F.col("p_partkey") % 800 + 100).cast("int")
