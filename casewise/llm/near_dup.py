@@ -288,10 +288,9 @@ def _meetings(tables: DataFrame) -> tuple[DataFrame, DataFrame]:
     two = F.array(pair(F.col("low"), F.col("high")))
     three = F.array(pair(F.col("low"), F.col("high")), pair(F.col("low"), middle), pair(middle, F.col("high")))
     few = met.where("size <= 3").select(F.explode(F.when(F.col("size") == 2, two).otherwise(three)).alias("pair"))
-    large = staged(tables.join(met.where("size > 3").select("table"), "table"), "large")
-    heads = large.groupBy("table", "component").agg(F.min("node").alias("node"))
-    center = heads.groupBy("table").agg(F.min("node").alias("u"))
-    star = heads.join(center, "table").where("node <> u").select("u", F.col("node").alias("v"))
+    large = staged(tables.join(met.where("size > 3").select("table", "low"), "table"), "large")
+    heads = large.groupBy("table", "component").agg(F.min("node").alias("v"), F.min("low").alias("u"))
+    star = heads.where("u <> v").select("u", "v")
     return few.select("pair.*").unionByName(star).distinct(), large
 
 
