@@ -8,7 +8,9 @@ threshold: every child of the body that is at least as dense has main text, and
 with the largest sum is taken.
 
 Elements that never hold main text (menus, headers and footers of the page, sidebars, forms, scripts,
-notices, adverts, reader comments, by element, role or class words) do not count and are left out.
+by element or role) do not count and are left out. Classes and ids made of nothing but such words (sidebar,
+cookie-notice, but not no-sidebar) only mark an element: it is left out as long as the rest of the page has
+text to compare with it, and counts where its density sum is far above all that is left.
 """
 
 import math
@@ -36,6 +38,9 @@ ASIDE_WORDS = set(
     "sidenav footer masthead comment comments disqus respond replies share sharing social related recommended trending widget "
     "pagination pager toolbar skip hidden".split()
 )
+READER_WORDS = set("comment comments disqus respond replies".split())
+# A marked element counts if its density sum is more than so many times that of the rest; readers write more than authors.
+ABOVE, READERS_ABOVE = 4, 32
 # An open element ends before these, as the HTML standard has it.
 CLOSED_BY = {
     "p": set(
@@ -70,6 +75,7 @@ class Page(HTMLParser):
         self.tags = ["#page"]
         self.parents = [-1]
         self.left_out = [False]
+        self.marks: list[str | None] = [None]
         self.links = [False]
         self.articles = [False]
         self.texts: list[tuple[int, str]] = []
@@ -80,7 +86,7 @@ class Page(HTMLParser):
     def _add(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         parent = self.open[-1]
         named = dict(attrs)
-        words = set(re.split(r"[^a-z]+", f"{named.get('class') or ''} {named.get('id') or ''}".lower()))
+        names = f"{named.get('class') or ''} {named.get('id') or ''}".lower().split()
         aside = (
             tag in SILENT
             or tag in ASIDE
@@ -88,11 +94,12 @@ class Page(HTMLParser):
             or (named.get("role") or "").lower() in ASIDE_ROLES
             or "hidden" in named
             or (named.get("aria-hidden") or "").lower() == "true"
-            or (tag not in ("html", "body", "main", "article") and not words.isdisjoint(ASIDE_WORDS))
         )
+        marks = [] if tag in ("html", "body", "main", "article") else [mark for name in names if (mark := _mark(name))]
         self.tags.append(tag)
         self.parents.append(parent)
         self.left_out.append(self.left_out[parent] or aside)
+        self.marks.append(next((mark for mark in marks if mark in READER_WORDS), marks[0] if marks else None))
         self.links.append(self.links[parent] or tag == "a")
         self.articles.append(self.articles[parent] or tag in ("article", "main"))
 
@@ -134,6 +141,14 @@ class Page(HTMLParser):
                 return
 
 
+def _mark(name: str) -> str | None:
+    """The first word of a class or id of which every word is one of ``ASIDE_WORDS``, a word of readers before others."""
+    words = re.findall(r"[^\W\d_]+", name)
+    if not words or not ASIDE_WORDS.issuperset(words):
+        return None
+    return next((word for word in words if word in READER_WORDS), words[0])
+
+
 def _size(text: str) -> int:
     return len("".join(text.split()))
 
@@ -168,8 +183,57 @@ def densities(page: Page) -> tuple[list[float], list[float]]:
     return density, total
 
 
+def leave_marked_out(page: Page) -> None:
+    """Add the marked subtrees to ``left_out``, but for those whose text is far denser than what the page has without them.
+
+    Subtrees of one word side by side are weighed together. One that counts does so with the way to its node of the
+    largest density sum; marked elements beside that way stay out unless they are as far above the rest. Where the rest
+    has an article or main element with text, only marked elements inside such elements are weighed.
+    """
+    silent, marks = page.left_out, list(page.marks)
+
+    def without(considered) -> list[bool]:
+        out = list(silent)
+        for node in range(1, len(out)):
+            out[node] = out[node] or out[page.parents[node]] or considered(marks[node])
+        return out
+
+    for weighed, above in ((ASIDE_WORDS - READER_WORDS, ABOVE), (ASIDE_WORDS, READERS_ABOVE)):
+        if weighed.isdisjoint(marks):
+            continue
+        page.left_out = without(lambda mark: mark is not None and mark not in weighed)
+        density, total = densities(page)
+        while True:
+            page.left_out = without(lambda mark: mark is not None)
+            rest_density, rest_total = densities(page)
+            stated = any(page.articles[node] and not page.left_out[node] and text.strip() for node, text in page.texts)
+            # topmost marked element of each node, and its node of the largest sum, the last of equal ones
+            tops, best = [0] * len(marks), {}
+            groups: dict[tuple, list[int]] = {}
+            for node in range(1, len(marks)):
+                parent = page.parents[node]
+                if tops[parent]:
+                    tops[node] = tops[parent]
+                elif marks[node] in weighed and (page.articles[parent] or not stated):
+                    tops[node] = best[node] = node
+                    groups.setdefault((parent, marks[node]), []).append(node)
+                if tops[node] and total[node] >= total[best[tops[node]]]:
+                    best[tops[node]] = node
+            weights = {key: max(sum(density[n] for n in group), *(total[best[n]] for n in group)) for key, group in groups.items()}
+            heaviest = max(weights, key=weights.get, default=None)
+            if heaviest is None or weights[heaviest] <= above * max(rest_density[0], *rest_total):
+                break
+            for node in groups[heaviest]:
+                marks[node] = None
+            at = best[max(groups[heaviest], key=lambda n: total[best[n]])]
+            while at != heaviest[0]:
+                marks[at] = None
+                at = page.parents[at]
+
+
 def main_nodes(page: Page) -> set[int]:
     """The roots of the subtrees that hold the main text."""
+    leave_marked_out(page)
     density, total = densities(page)
     children: list[list[int]] = [[] for _ in page.tags]
     for node in range(1, len(page.tags)):

@@ -44,6 +44,33 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+ARTICLE = f"<p>{LONG}</p>" * 3
+TEXT = "\n\n".join([LONG] * 3)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><div class='elementor-widget elementor-widget-text-editor'>{ARTICLE}</div></article>", TEXT),
+        (f"<body><div id='page' class='site no-sidebar'>{ARTICLE}</div>", TEXT),
+        (f"<body><div class='col hidden-xs'>{ARTICLE}</div>", TEXT),
+        (f"<body><div class='post-content has-comments'>{ARTICLE}</div>", TEXT),
+        (f"<body><h1>Title</h1><div class='widget'>{ARTICLE}</div><div class='sidebar'><p>{LONG}</p></div>", TEXT),
+        (f"<body><div>{f'<div class=widget><p>{LONG}</p></div>' * 3}</div><div class='cookie-notice'>{LONG}</div>", TEXT),
+        (f"<body><div class='hidden'><div class='related'>{ARTICLE}<div class='ad'>buy</div></div></div>", TEXT),
+        (f"<div id=comments>{f'<div class=comment><p>{LONG}</p></div>' * 3}</div>", TEXT),
+        (f"<div class='comments'><div class='widget'>{ARTICLE}</div></div>", TEXT),
+        ("<div class='widget'>" * 2000 + "deep", "deep"),
+        # what must stay out, also where it is longer than the article
+        (f"<body><div class='ad'>{LONG}</div><article><h1>T</h1></article>", "T"),
+        (f"<body><div class='post'>{ARTICLE}</div><div id=comments>{f'<div class=comment><p>{LONG}</p></div>' * 40}</div>", TEXT),
+        (f"<body><div class='post'>{ARTICLE}</div><div class='cookie-notice'>{ARTICLE * 2}</div><div class='ad ad-300x250'>{LONG}</div>", TEXT),
+    ],
+)
+def test_marked_elements_lose_no_article(page, text):
+    assert main_text(page) == text
+
+
 def test_links_lower_the_density():
     plain, _ = densities(Page(f"<body><div>{LONG}</div><div>x</div>"))
     linked, _ = densities(Page(f"<body><div><a>{LONG}</a></div><div>x</div>"))
