@@ -3,7 +3,8 @@
 Two histograms describe a text: characters by class, and common function words against all others.
 The references are the same histograms summed over all typical texts of each language. A text
 whose Jensen-Shannon distances to the nearest references, of both histograms together, are too large
-does not look like running text. Texts with fewer words than the guard are not compared, as their histograms
+does not look like running text. A text of a named language without a reference is not compared with those of
+others, whose words, letters and case it need not share; one of no named language is. Texts with fewer words than the guard are not compared, as their histograms
 say nothing yet. Everything is DataFrame expressions; a text is never exploded or shuffled, and only the
 sums per language, one short row each, leave a task.
 """
@@ -149,7 +150,7 @@ def fit_references(features: DataFrame, language: str, languages: Sequence[str],
     name = F.col("row").getField(language)
     listed = F.when(name.isin(list(languages)) & (F.col("n_words") >= rules.min_words), name)
     first = _sum_histograms(features, listed, bins)
-    near = judge(features, first, rules)
+    near = judge(features, first, rules, language, languages)
     return _sum_histograms(near, F.when(~_strange(rules), listed), bins) if first else first
 
 
@@ -173,19 +174,22 @@ def js_distance(counts: str, reference: Sequence[float]) -> Column:
     return F.when(F.col("_total") > 0, F.sqrt(F.greatest(F.lit(0.0), terms / 2))).otherwise(0.0)
 
 
-def judge(features: DataFrame, references: Sequence[tuple], rules: Rules) -> DataFrame:
+def judge(
+    features: DataFrame, references: Sequence[tuple], rules: Rules, language: str, languages: Sequence[str]
+) -> DataFrame:
     """``features`` with ``base_failed``, ``class_distance``, ``word_distance`` and ``kept``.
 
-    The distances are those to the nearest reference, and null if there is none or the text is below
-    the length guard; such a text is judged by the base rules alone.
+    The distances are those to the nearest reference, and null if there is none, the text is below the
+    length guard, or its language is neither null nor listed; such a text is judged by the base rules alone.
     """
     judged = features.withColumn("base_failed", base_failed(rules))
-    long_enough = F.col("n_words") >= rules.min_words
+    named = F.col("row").getField(language)
+    compared = (F.col("n_words") >= rules.min_words) & (named.isNull() | named.isin(list(languages)))
     for name, counts, which in (("class_distance", "class_counts", 0), ("word_distance", "word_counts", 1)):
         judged = judged.withColumn("_total", F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b))
         found = [js_distance(counts, reference[which]) for reference in references]
         nearest = F.array_min(F.array(*found)) if found else F.lit(None).cast("double")
-        judged = judged.withColumn(name, F.when(long_enough, nearest))
+        judged = judged.withColumn(name, F.when(compared, nearest))
     # always true, but opaque: else a filter on the verdict would drag copies of all expressions below it
     fence = F.monotonically_increasing_id() >= 0
     return judged.withColumn("kept", ~F.col("base_failed") & ~_strange(rules) & fence).drop("_total")
@@ -208,4 +212,5 @@ def quality_verdicts(
     bins, keep = word_bins(words), list(df.columns if keep is None else keep)
     counted = staged(with_features(df, text, bins, [language] if text in keep else keep), "features")
     references = fit_references(counted, language, sorted(words), len(bins), rules)
-    return judge(with_features(df, text, bins, keep) if text in keep else counted, references, rules)
+    features = with_features(df, text, bins, keep) if text in keep else counted
+    return judge(features, references, rules, language, sorted(words))

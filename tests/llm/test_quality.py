@@ -58,6 +58,22 @@ def test_no_reference_leaves_the_base_rules(spark):
     assert quality_verdicts(df.limit(0)).collect() == []
 
 
+def spaced(letters, n=300):
+    return " ".join("".join(RNG.choices(letters, k=RNG.randint(1, 4))) for _ in range(n)) + "\u3002"
+
+
+@pytest.mark.parametrize("keep", [["doc_id", "lang"], None])
+def test_languages_without_a_reference_are_judged_by_the_base_rules(spark, keep):
+    scripts = {"zh": "\u7684\u4e00\u662f\u4e0d\u4e86\u4eba\u6211\u5728", "ko": "\uac00\ub098\ub2e4\ub77c\ub9c8", "ar": "\u0627\u0644\u0645\u0648\u064a", "hi": "\u0915\u0930\u0928\u0924\u0938"}
+    rows = [(prose(300), "en") for _ in range(40)] + [(spaced(letters), lang) for lang, letters in scripts.items()]
+    rows += [("a b c " * 100, "zh"), ("short", "ko")]
+    rows += [(prose(300).replace(" ", "### "), "en"), (prose(300).replace(" ", "### "), None)]
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "doc_id long, text string, lang string")
+    found = {r.row.doc_id: r for r in quality_verdicts(df, keep=keep).collect()}
+    assert {i for i, r in found.items() if r.kept} == set(range(44))
+    assert all(found[i].class_distance is None for i in range(40, 46)) and found[46].class_distance is not None
+
+
 def test_guard_for_short_texts(spark):
     rules = Rules(min_words=5, short_words=50, max_distance=0.0, max_short_distance=1.0)
     df = spark.createDataFrame([(1, prose(20), "en"), (2, prose(200), "en")], "doc_id long, text string, lang string")
