@@ -201,9 +201,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     written = named.withColumn("key", F.col("key").cast("string"))  # pandas has no null in numbers
     sketches = written.mapInPandas(sketched, "key string, text_hash long, n long, fp1 long, fp2 long, sketch array<int>")
     rows = staged(sketches.withColumn("key", F.col("key").cast(kind)), "sketches")
+    place = F.struct(F.col("key").isNull().alias("unnamed"), F.col("key"), F.col("text_hash"))
     same = rows.where("n > 0").groupBy("fp1", "fp2").agg(
-        F.min("key").alias("first_key"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+        F.min(place).alias("first"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
     )
+    same = same.select("fp1", "fp2", F.col("first.key").alias("first_key"), F.col("first.text_hash").alias("first_hash"), "n", "sketch")
     nodes = staged(same.withColumn("node", F.monotonically_increasing_id()), "nodes")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spread = nodes.select("node", "sketch").repartition(parts, "node")  # a node has a row per table from here on
@@ -310,14 +312,15 @@ def _links(pairs: DataFrame, named: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _node_sets(named: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
     """(node, shingles) of the needed nodes, from the text of one row of each."""
-    wanted = nodes.join(needed, "node", "left_semi").select("node", "fp1", "fp2", "first_key")
-    texts = named.join(wanted, F.col("key").eqNullSafe(F.col("first_key")))
+    wanted = nodes.join(needed, "node", "left_semi").select("node", "fp1", "fp2", "first_key", "first_hash")
+    same = F.col("key").eqNullSafe(F.col("first_key")) & (F.col("text_hash") == F.col("first_hash"))
+    texts = named.join(wanted, same)
     found = texts.select("node", "fp1", "fp2", "text").mapInPandas(_checked_sets, "node long, shingles array<long>")
     return staged(found.dropDuplicates(["node"]), "sets")
 
 
 def _checked_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sets of rows that really are of the node: other rows may share the key."""
+    """Sets of rows that really are of the node: other texts may share the key and the hash."""
     for batch in batches:
         nodes, out, size = [], [], 0
         for node, fp1, found in zip(batch["node"], batch["fp1"], text_sets(batch["text"]), strict=True):

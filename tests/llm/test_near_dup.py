@@ -154,3 +154,25 @@ def test_components_of_a_chain_and_a_hub(spark):
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(300)}
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_rows_of_one_key_meet_only_their_own_node(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = []
+    for i in range(60):  # one key, and no key, for many pairs of near copies
+        text = rng.choices(WORDS, k=150)
+        rows += [(key, " ".join(words)) for key, words in ((7, text), (None, [*text[:-1], "end"]))]
+    read, whole = spark.sparkContext.accumulator(0), near_dup._checked_sets
+
+    def counted(batches):
+        def passed():
+            for batch in batches:
+                read.add(len(batch))
+                yield batch
+
+        return whole(passed())
+
+    monkeypatch.setattr(near_dup, "_checked_sets", counted)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 120 and len({r.component for r in found}) == 60 and {r.component_id for r in found} == {7}
+    assert 0 < read.value <= 2 * len(rows)  # once for each of the two rounds
