@@ -31,12 +31,15 @@ _LIMIT = 1 << 26  # largest size of a quantised component: scores of a thousand
 def quantised(embedding: str | Column, scale: int) -> Column:
     """floor(scale * x) of every component as array<int>; null where a vector takes no part.
 
-    A vector takes no part if it is null or has a null, NaN, infinite or oversized component.
+    A vector takes no part if it is null or has a null, NaN or infinite component. A finite component
+    too large for the search is an error, as the vector would be missing from the result.
     """
     vector = (F.col(embedding) if isinstance(embedding, str) else embedding).cast("array<double>")
     scaled = F.transform(vector, lambda x: F.floor(x * scale))
-    sound = F.forall(vector, lambda x: F.coalesce(F.abs(x) <= _LIMIT // scale, F.lit(False)) & ~F.isnan(x))
-    return F.when(sound, scaled.cast("array<int>"))
+    sound = F.forall(vector, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
+    fits = F.forall(vector, lambda x: F.abs(x) <= _LIMIT // scale)
+    oversized = F.raise_error(F.lit(f"a vector has a component above {_LIMIT // scale}")).cast("array<int>")
+    return F.when(sound & fits, scaled.cast("array<int>")).when(sound, oversized)
 
 
 class IndexBlock:

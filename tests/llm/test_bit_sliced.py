@@ -51,6 +51,14 @@ def test_odd_vectors_take_no_part(spark):
     assert found[1, 6] == 32 * 64 - 32 * 64 and found[6, 8] == 64 * 64 and found[6, 9] == 0
 
 
+def test_oversized_vectors_are_an_error_and_not_left_out(spark):
+    rows = [(1, [0.5]), (2, [2.0e6]), (3, [float("nan")]), (4, [float("-inf")]), (5, None)]
+    vectors = spark.createDataFrame(rows, "id long, e array<double>").select("id", quantised("e", 64).alias("vector"))
+    assert [r.vector for r in vectors.where("id <> 2").orderBy("id").collect()] == [[32], None, None, None]
+    with pytest.raises(Exception, match="component above"):
+        top_k_search(vectors, vectors, 3).collect()
+
+
 @pytest.mark.parametrize("rows", [[], [(1, [1, 2])]])
 def test_nothing_to_find(spark, rows):
     vectors = spark.createDataFrame(rows, "id long, vector array<int>")
