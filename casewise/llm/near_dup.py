@@ -142,6 +142,8 @@ def minhashes(found: np.ndarray) -> np.ndarray:
 def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(key, text_hash, n, fp1, fp2, sketch) of (key, text, text_hash)."""
     for batch in batches:
+        if batch.empty:
+            continue
         n, fp, sketches = [], [], []
         for found in text_sets(batch["text"]):
             n.append(len(found))
@@ -331,7 +333,8 @@ def _checked_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if size > _BLOCK:
                 yield pd.DataFrame({"node": nodes, "shingles": out})
                 nodes, out, size = [], [], 0
-        yield pd.DataFrame({"node": np.array(nodes, np.int64), "shingles": out})
+        if nodes:  # an empty frame has no arrays to tell the type of its column by
+            yield pd.DataFrame({"node": nodes, "shingles": out})
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:

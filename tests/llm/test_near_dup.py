@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -176,3 +177,17 @@ def test_rows_of_one_key_meet_only_their_own_node(spark, monkeypatch):
     found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(found) == 120 and len({r.component for r in found}) == 60 and {r.component_id for r in found} == {7}
     assert 0 < read.value <= 2 * len(rows)  # once for each of the two rounds
+
+
+def test_two_very_long_near_copies(spark):
+    rng = random.Random(8)
+    words = rng.choices(WORDS, k=300_000)
+    near = words[:150_000] + ["other"] + words[150_000:]
+    docs = spark.createDataFrame([(5, " ".join(words)), (3, " ".join(near)), (9, "short and alone here now")], "doc_id long, text string")
+    assert {r["key"]: r["component_id"] for r in near_duplicates(docs).collect()} == {5: 3, 3: 3, 9: 9}
+
+
+def test_no_frame_for_a_batch_without_sets_of_its_nodes():
+    batch = pd.DataFrame({"node": [1, 2], "fp1": [0, 0], "fp2": [0, 0], "text": ["a b c d e f", None]})
+    assert list(near_dup._checked_sets(iter([batch]))) == []
+    assert list(near_dup.sketched(iter([batch.iloc[:0]]))) == []
