@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from casewise.llm import sql
 from casewise.llm.bit_sliced import quantised, top_k_search
 from casewise.llm.bpe import code_texts
+from casewise.llm.chunk_dedup import exact_duplicates
 from casewise.llm.frames import n_words
 from casewise.llm.html_text import extract_text
 from casewise.llm.line_runs import drop_repeated_runs
+from casewise.llm.merkle import verified_rows
 from casewise.llm.mixing import mix_sources
 from casewise.llm.near_dup import near_duplicates
 from casewise.llm.quality import quality_verdicts
@@ -151,3 +153,30 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = extract_text(pages, "html")
     return found.select(F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text", "n_chars")
+
+
+@QUERIES.add("op12_merkle_manifest", sql.MERKLE)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, and the root it leads to with its line breaks deleted in about half of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 2 == 0
+    changed = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    found = verified_rows(docs, "doc_id", "source", ["doc_id", "source", "lang", "n_chars", "text"], changed, tampered)
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.col("proof").alias("proof_sha256"),
+        F.col("version_root").alias("folded_root"),
+        "verified",
+    )
+
+
+@QUERIES.add("op13_exact_copies", sql.COPIES)
+def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the one of equal texts that stays."""
+    found = exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"), F.col("keep_key").alias("keep_id"), "group_size", "kept", F.col("digest").alias("text_sha256")
+    )

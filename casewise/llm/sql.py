@@ -231,3 +231,73 @@ select page_id, payload_bytes, payload_digest, case when page_id = first then 'r
        case when page_id <> first then first end as refers_to
 from coded
 """
+
+COPIES = """
+with even as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') as t, row_number() over () as n from documents
+)
+select doc_id, first_value(doc_id) over same as keep_id, count(*) over (partition by t) as group_size,
+       row_number() over same = 1 as kept, sha256(t) as text_sha256
+from even window same as (partition by t order by doc_id nulls last, n)
+"""
+
+
+def _merkle(depth: int = 20, forest_depth: int = 12) -> str:
+    """The tree level by level: a tree of one node stays as it is on all further levels."""
+
+    def climb(name: str, depth: int) -> str:
+        steps = []
+        for k in range(depth):
+            steps.append(f"""
+{name}{k + 1} as materialized (
+  select tree, case when max(nodes) = 1 then 0 else pos // 3 end as pos,
+         case when max(nodes) = 1 then min(h) else sha256(string_agg(h, '' order by pos)) end as h,
+         ((max(nodes) + 2) // 3)::bigint as nodes
+  from {name}{k} group by tree, pos // 3
+)""")
+        return ",".join(steps)
+
+    def path(leaves: str, name: str, depth: int, start: str) -> str:
+        steps = [start]
+        for k in range(depth):
+            steps.append(f"""
+{leaves}{k + 1} as materialized (
+  select p.row, p.tree, p.pos // 3 as pos,
+         p.proof || coalesce(string_agg(n.h, '' order by n.pos) filter (n.pos <> p.pos), '') as proof,
+         case when max(n.nodes) = 1 then p.h else sha256(string_agg(case when n.pos = p.pos then p.h else n.h end, '' order by n.pos)) end as h
+  from {leaves}{k} p join {name}{k} n on p.tree is not distinct from n.tree and p.pos // 3 = n.pos // 3
+  group by p.row, p.tree, p.pos, p.proof, p.h
+)""")
+        return ",".join(steps)
+
+    def value(column: str) -> str:
+        return f"coalesce(octet_length(encode({column}::varchar))::varchar || ':' || {column}::varchar, '-')"
+
+    fields = " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    changed = " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars", "replace(text, chr(10), '')"))
+    steps = "flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))"
+    crc = (
+        f"xor(list_reduce(list_concat([4294967295::bigint], {steps}), lambda s, e: "
+        "xor(xor(s, e) >> 1, case when xor(s, e) & 1 = 1 then 3988292384::bigint else 0 end)), 4294967295)"
+    )
+    return f"""
+with leaves as materialized (
+  select row_number() over () as row, doc_id, source, sha256({fields}) as leaf,
+         case when {crc} % 2 = 0 then sha256({changed}) end as tampered
+  from documents
+), t0 as materialized (
+  select source as tree, row, leaf as h, count(*) over (partition by source) as nodes, tampered,
+         row_number() over (partition by source order by doc_id nulls first, leaf, row) - 1 as pos
+  from leaves
+), {climb("t", depth)},
+f0 as materialized (
+  select 0 as tree, tree as name, h, row_number() over (order by tree nulls first) - 1 as pos, count(*) over () as nodes from t{depth}
+), {climb("f", forest_depth)},
+{path("p", "t", depth, "p0 as materialized (select row, tree, pos, '' as proof, coalesce(tampered, h) as h from t0)")},
+{path("q", "f", forest_depth, f"q0 as materialized (select p.row, 0 as tree, f.pos, p.proof, p.h from p{depth} p join f0 f on p.tree is not distinct from f.name)")}
+select l.doc_id, l.leaf, s.h as subroot, r.h as root, sha256(q.proof) as proof_sha256, q.h as folded_root, q.h = r.h as verified
+from leaves l join q{forest_depth} q on l.row = q.row join t{depth} s on l.source is not distinct from s.tree cross join f{forest_depth} r
+"""
+
+
+MERKLE = _merkle()
