@@ -13,6 +13,7 @@ from casewise.llm.line_runs import drop_repeated_runs
 from casewise.llm.merkle import verified_rows
 from casewise.llm.mixing import mix_sources
 from casewise.llm.near_dup import near_duplicates
+from casewise.llm.phrase_index import collocations
 from casewise.llm.quality import quality_verdicts
 from casewise.llm.shard_shuffle import shuffle_into_shards
 from casewise.llm.url_glob import Rule, judge_urls
@@ -180,3 +181,10 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("key").alias("doc_id"), F.col("keep_key").alias("keep_id"), "group_size", "kept", F.col("digest").alias("text_sha256")
     )
+
+
+@QUERIES.add("op11_phrase_collocations", sql.PHRASES)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two to five words of every language."""
+    found = collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

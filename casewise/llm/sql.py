@@ -301,3 +301,38 @@ from leaves l join q{forest_depth} q on l.row = q.row join t{depth} s on l.sourc
 
 
 MERKLE = _merkle()
+
+PHRASES = """
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents
+), worded as (
+  select lang, w, len(w) as size from (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces)
+), totals as (
+  select lang, sum(size)::bigint as n from worded group by lang
+), starts as (
+  select lang, w, size, unnest(range(1, size + 1)) as i from worded
+), counts as (
+  select lang, length, array_to_string(w[i : i + length - 1], ' ') as phrase, count(*) as f
+  from starts, (values (1), (2), (3), (4), (5)) as lengths(length) where i + length - 1 <= size
+  group by all having count(*) >= 100
+), longer as (
+  select lang, length, phrase, f, string_split(phrase, ' ') as w from counts where length > 1
+), covered as (
+  select distinct s.lang, s.phrase from longer s join longer b
+  on s.lang = b.lang and s.length < b.length and contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ') and 100 * b.f >= 100 * s.f
+), cuts as (
+  select lang, phrase, f as a, k, array_to_string(w[1 : k], ' ') as head, array_to_string(w[k + 1 :], ' ') as tail
+  from (select *, unnest(range(1, length)) as k from longer) anti join covered using (lang, phrase)
+), scored as (
+  select c.lang, c.phrase, c.a, c.k, h.f as l, t.f as r, n.n,
+         ((1000::hugeint * c.a * n.n) // (h.f::hugeint * t.f))::bigint as score
+  from cuts c join counts h on h.lang = c.lang and h.phrase = c.head join counts t on t.lang = c.lang and t.phrase = c.tail
+  join totals n on n.lang = c.lang
+), best as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from best qualify rank <= 2000
+"""
