@@ -148,12 +148,12 @@ class Manifest:
         return stages
 
     def _ways(self, stages: list[DataFrame], above: DataFrame) -> DataFrame:
-        """(tree, position, way) of the blocks of the lowest stage: the way from a block's top to the root.
+        """(of, top, way) of the blocks of the lowest stage: their tree and number, and the way from the top to the root.
 
         ``above`` has the way of each tree's top (name, way). The last stage has one node per tree, its top.
         """
         tops = stages[-1].select("tree", "position").join(above, F.col("tree").eqNullSafe(F.col("name")))
-        ways = tops.select("tree", "position", "way")
+        ways = tops.select(F.col("tree").alias("of"), F.col("position").alias("top"), "way")
         for stage in reversed(stages[1:-1]):
             ways = staged(self._down(stage, ways), "ways")
         return ways
@@ -166,17 +166,17 @@ class Manifest:
         def run(nodes: pa.Table, above: pa.Table) -> pa.Table:
             nodes, found, way = _block_of(nodes, above, height)
             own = [packed(way_up(found, i)) + way for i in range(nodes.num_rows)]
-            return nodes.select(["tree", "position"]).append_column("way", pa.array(own, pa.binary()))
+            return nodes.select(["tree", "position"]).rename_columns(["of", "top"]).append_column("way", pa.array(own, pa.binary()))
 
         blocks = stage.select("tree", "block", "position", "n_nodes", "digest").groupBy("tree", "block")
-        return blocks.cogroup(ways.groupBy("tree", "position")).applyInArrow(run, f"tree {kind}, position long, way binary")
+        return blocks.cogroup(ways.groupBy("of", "top")).applyInArrow(run, f"of {kind}, top long, way binary")
 
     def _forest_ways(self) -> DataFrame:
         """(name, way) of every subroot to the root."""
         last = self.forest[-1].select(F.col("tree").alias("name"), F.lit(b"").alias("way"))
         found = staged(self._down(self.forest[0], self._ways(self.forest, last)), "ways")
         named = self.forest[0].select("name", F.col("position").alias("_at"))
-        return named.join(found, F.col("_at") == F.col("position")).select("name", "way")
+        return named.join(found, F.col("_at") == F.col("top")).select("name", "way")
 
     def versions(self, changed: str, keep: str) -> DataFrame:
         """``keep``, leaf, subroot, proof, version_root and copied for every leaf.
@@ -206,7 +206,7 @@ class Manifest:
 
         wanted = self.leaves.select("tree", "block", "position", "n_nodes", "digest", F.col(changed).alias("changed"), F.col(keep).alias("kept"))
         schema = f"kept {kinds[keep]}, tree {kinds['tree']}, leaf string, proof string, version_root string, copied long"
-        found = wanted.groupBy("tree", "block").cogroup(ways.groupBy("tree", "position")).applyInArrow(run, schema)
+        found = wanted.groupBy("tree", "block").cogroup(ways.groupBy("of", "top")).applyInArrow(run, schema)
         roots = self.roots.select(F.col("tree").alias("_tree"), "subroot")
         joined = found.join(roots, F.col("tree").eqNullSafe(F.col("_tree")))
         return joined.select(F.col("kept").alias(keep), "tree", "leaf", "subroot", "proof", "version_root", "copied")
