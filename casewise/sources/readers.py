@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from casewise.functions.cleaning import blank_to_null, dotted_year, to_int
+from casewise.sources.split_csv import csv_records
 
 # Columns of a notification file, all text on disk.
 NOTIFICATION_COLUMNS = ["COD_EVE", "Nombre", "ANO", "SEMANA", "COD_DPTO_O", "COD_MUN_O", "nom_mun", "conteo_casos"]
@@ -26,16 +27,21 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def read_text_columns(
-    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True
+    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True, by_ranges: bool = True
 ) -> DataFrame:
     """CSV with a header, every column kept as text and blanks kept as ``''``.
 
     Columns are matched by name through the header, in whatever order the file has them. A quote
-    inside a quoted cell is doubled, and line breaks inside quotes belong to the cell. Each file is then
-    read by one task; ``multi_line=False`` splits large files whose cells have no line breaks.
+    inside a quoted cell is doubled, and line breaks inside quotes belong to the cell. Files are read by ranges, in as
+    many tasks as they have splits. ``by_ranges=False`` reads each file in one task, which bears a
+    stray quote inside an unquoted cell; ``multi_line=False`` is for files whose cells have no line breaks.
     """
     options = {"header": True, "inferSchema": False, "encoding": "UTF-8", "escape": '"', "multiLine": multi_line}
     found = spark.read.options(**options).csv(path)
+    if multi_line and by_ranges:
+        cells = ", ".join(f"c{i} string" for i in range(len(found.columns)))
+        parsed = F.from_csv("record", cells, {"escape": '"', "multiLine": "true"})
+        found = csv_records(spark, path).select(parsed.alias("row")).select("row.*").toDF(*found.columns)
     return found.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns])
 
 
