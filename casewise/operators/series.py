@@ -1,41 +1,48 @@
 """Operations along an ordered series of group totals.
 
-Neighbours are found by row position and brought together by an equi-grouping on that position,
-so a series of any length is handled without one sorted task. A null in the order comes first.
+Neighbours are found by row position and brought together by an equi-grouping on that position or
+on ranges of it, so a series of any length is handled without one sorted task. A null in the order comes first. The series is
+written once, as it is small next to the rows it sums up, and read for its edges and for its values.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from casewise.functions.cleaning import percent
 from casewise.operators.ordered import running_totals, with_position
+from casewise.sources.storage import staged
+
+RANGE = 4096  # positions in a range of a moving average
+
+
+def with_halo(placed: DataFrame, before: int, after: int) -> DataFrame:
+    """Rows with a ``position`` in ranges of it, ``_range``, where ``_own`` is the row's own; rows near an edge also in the range beyond.
+
+    Ranges are at least as long as a frame, so a row is in two at most, or three of a very short one.
+    """
+    length = max(RANGE, before + after + 1)
+    reach = [F.floor((F.col("position") + shift) / length) for shift in (-after, 0, before)]
+    return placed.withColumn("_own", reach[1]).withColumn("_range", F.explode(F.array_distinct(F.array(*reach))))
 
 
 def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2, after: int = 1) -> DataFrame:
     """Mean of each row with its neighbours; null where the frame is not full.
 
     The default frame is a centred window of four rows. Gaps in ``order_by`` do not matter: the
-    frame counts rows.
+    frame counts rows. Each range of positions is gone through on its own, so a wide frame costs no more copies of
+    a row than a narrow one.
     """
-    frame = before + after + 1
-    series = series.select(order_by, value)
-    reach = F.explode(F.sequence(F.lit(-after), F.lit(before))).alias("shift")
-    spread = with_position(series, order_by).select(order_by, value, "position", reach)
-    own = F.col("shift") == 0
-    gathered = spread.groupBy((F.col("position") + F.col("shift")).alias("target")).agg(
-        F.max(F.when(own, F.col(order_by))).alias(order_by),
-        F.max(F.when(own, F.col(value))).alias(value),
-        F.avg(value).alias("mean"),
-        F.count(value).alias("present"),
-        F.max(own).alias("real"),
-    )
-    return gathered.where("real").select(
-        order_by, value, F.when(F.col("present") == frame, F.col("mean")).alias("moving_avg")
+    placed = with_position(staged(series.select(order_by, value), "series"), order_by)
+    around = Window.partitionBy("_range").orderBy("position").rowsBetween(-before, after)
+    found = with_halo(placed, before, after).select(
+        "_own", "_range", order_by, value, F.avg(value).over(around).alias("_mean"), F.count(value).over(around).alias("_present")
     )
+    full = F.col("_present") == before + after + 1
+    return found.where(F.col("_own") == F.col("_range")).select(order_by, value, F.when(full, F.col("_mean")).alias("moving_avg"))
 
 
 def step_delta(series: DataFrame, order_by: str, value: str) -> DataFrame:
     """Drop from the previous row, relative to the first value of the series."""
-    series = series.select(order_by, value)
+    series = staged(series.select(order_by, value), "series")
     first = series.agg(F.min_by(value, order_by)).scalar()
     spread = with_position(series, order_by).select(
         order_by, value, "position", F.explode(F.array(F.lit(0), F.lit(1))).alias("shift")
@@ -56,7 +63,7 @@ def cumulative_share(groups: DataFrame, name: str, total: str) -> DataFrame:
 
     Groups of equal total go by name.
     """
-    groups = groups.select(name, total)
+    groups = staged(groups.select(name, total), "series")
     whole = groups.agg(F.sum(total)).scalar()
     falling = groups.withColumn("_falling", -F.col(total)).withColumn("_one", F.lit(1))
     ranked = running_totals(falling, "_falling", [total, "_one"], then_by=[name])

@@ -1,10 +1,9 @@
 """Feature preparation of notifications."""
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import functions as F
 
-from casewise.operators import features
+from casewise.operators import encode, features
 from casewise.plans import views
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
@@ -20,9 +19,8 @@ NOTI = f"with {views.NOTIFICATIONS}"
 select brand, n, (row_number() over (order by n desc, brand) - 1)::double as brand_idx from sizes""",
 )
 def string_index(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("brand"))
-    indexed = features.indexer("brand", "brand_idx").fit(parts).transform(parts)
-    return indexed.groupBy("brand", "brand_idx").agg(F.count("*").alias("n"))
+    codes = encode.dictionary(table(spark, sf_dir, "part"), "p_brand")
+    return codes.select(F.col("value").alias("brand"), "n", F.col("code").cast("double").alias("brand_idx"))
 
 
 @REGISTRY.add(
@@ -34,16 +32,47 @@ select p_partkey, slot, width::int as width from named join slots using (brand)"
 )
 def one_hot(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("brand"))
-    indexed = features.indexer("brand", "brand_idx").fit(parts).transform(parts)
-    encoder = OneHotEncoder(inputCols=["brand_idx"], outputCols=["hot"], dropLast=False)
-    sparse = F.unwrap_udt("hot")
-    return (
-        encoder.fit(indexed)
-        .transform(indexed)
-        .select("p_partkey", F.explode(sparse["indices"]).alias("slot"), sparse["size"].alias("width"))
+    codes = encode.dictionary(parts, "brand")
+    hot = encode.encoded(parts, "brand", codes, "code").withColumn("hot", encode.one_hot("code", codes))
+    return hot.select(
+        "p_partkey", F.explode(F.col("hot.indices").cast("array<int>")).alias("slot"), F.col("hot.size").cast("int").alias("width")
     )
 
 
+CLIENTS = """with orders_of as (
+  select o_orderkey, 'client ' || o_custkey as client, month(o_orderdate) as month, length(o_orderpriority) as letters from orders),
+sizes as (select client, count(*) as n from orders_of group by 1),
+codes as (select client, n, row_number() over (order by n desc, client) - 1 as code from sizes)"""
+
+
+def _orders_of(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.concat(F.lit("client "), F.col("o_custkey").cast("string")).alias("client"),
+        F.month("o_orderdate").alias("month"),
+        F.length("o_orderpriority").alias("letters"),
+    )
+
+
+@REGISTRY.add("dictionary_codes", f"{CLIENTS} select o_orderkey, code from orders_of join codes using (client)")
+def dictionary_codes(spark, sf_dir):
+    orders = _orders_of(spark, sf_dir)
+    return encode.encoded(orders, "client", encode.dictionary(orders, "client"), "code").select("o_orderkey", "code")
+
+
+@REGISTRY.add(
+    "sparse_features",
+    f"""{CLIENTS} select 0::bigint as position, count(*) as nonzero, sum(month)::double as total from orders_of
+union all select code + 1, n, n::double from codes
+union all select (select count(*) + 2 from codes), count(*), sum(letters)::double from orders_of""",
+)
+def sparse_features(spark, sf_dir):
+    orders = _orders_of(spark, sf_dir)
+    codes = encode.dictionary(orders, "client")
+    hot = encode.encoded(orders, "client", codes, "code").withColumn("hot", encode.one_hot("code", codes))
+    return encode.sparse_slots(hot.select(encode.assembled(["month"], "hot", ["letters"]).alias("features")), "features")
+
+
 def _known(spark, sf_dir):
     known = bindings.notifications(spark, sf_dir, heavy=True).where(F.col("dept") != 0)
     return known.select("week", F.col("dept").cast("string").alias("dept"), "cases")
