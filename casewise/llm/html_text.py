@@ -5,7 +5,9 @@ tag, adjusted by links: text in links counts against it, the more so the more of
 The density sum of a node adds up its children's densities, so it peaks where dense blocks are
 side by side. From the node with the largest sum, the smallest density on the path up to the body is the
 threshold: every child of the body that is at least as dense has main text, and of it the subtree
-with the largest sum is taken.
+with the largest sum is the place of the main text. From there the way goes up as long as what stands beside it
+belongs to the same text: in an article or main element all does, elsewhere headings, paragraphs and the like with few
+links, and elements at least as dense as the threshold. Lists of links beside the way stay out.
 
 Elements that never hold main text (menus, headers and footers of the page, sidebars, forms, scripts,
 by element or role) do not count and are left out. Classes and ids made of nothing but such words (sidebar,
@@ -15,6 +17,7 @@ text to compare with it, and counts where its density sum is far above all that
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -64,7 +67,10 @@ SCOPES = {
     "td": {"table"},
     "th": {"table"},
 }
-BLOCK = -1  # a text item that ends a block
+# Elements of the HTML standard that are part of a text, not a section of a page.
+TEXT_LEVEL = INLINE | set("p h1 h2 h3 h4 h5 h6 hgroup header blockquote pre ul ol dl table figure figcaption address hr details".split())
+# A list of links: at least so many, with more than this share of its characters.
+LIST_LINKS, LIST_SHARE = 2, 2 / 3
 
 
 class Page(HTMLParser):
@@ -80,6 +86,7 @@ class Page(HTMLParser):
         self.articles = [False]
         self.texts: list[tuple[int, str]] = []
         self.open = [0]
+        self.open_names: Counter[str] = Counter()
         self.feed(html)
         self.close()
 
@@ -114,6 +121,7 @@ class Page(HTMLParser):
         self._add(tag, attrs)
         if tag not in VOID:
             self.open.append(len(self.tags) - 1)
+            self.open_names[tag] += 1
 
     def handle_endtag(self, tag):
         if tag not in VOID:
@@ -130,11 +138,14 @@ class Page(HTMLParser):
 
     def _end(self, tag: str, scope: set[str]) -> None:
         """Close the innermost open element of that name, and all in it, unless a scope lies between."""
+        if not self.open_names[tag]:
+            return
         for at in range(len(self.open) - 1, 0, -1):
             name = self.tags[self.open[at]]
             if name == tag:
                 if any(self.tags[i] not in INLINE for i in self.open[at:]):
                     self._break()
+                self.open_names.subtract([self.tags[i] for i in self.open[at:]])
                 del self.open[at:]
                 return
             if name in scope:
@@ -153,8 +164,8 @@ def _size(text: str) -> int:
     return len("".join(text.split()))
 
 
-def densities(page: Page) -> tuple[list[float], list[float]]:
-    """Composite density and density sum of every node; 0 for those left out, and for inline ones, which are their parent's text."""
+def sizes(page: Page) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Characters, characters in links, tags and links of every subtree, without what is left out."""
     n = len(page.tags)
     chars, link_chars, tags, link_tags = ([0] * n for _ in range(4))
     for node, text in page.texts:
@@ -170,6 +181,13 @@ def densities(page: Page) -> tuple[list[float], list[float]]:
             link_chars[parent] += link_chars[node]
             tags[parent] += tags[node] + (page.tags[node] == "a" or page.tags[node] not in INLINE)
             link_tags[parent] += link_tags[node] + (page.tags[node] == "a")
+    return chars, link_chars, tags, link_tags
+
+
+def densities(page: Page) -> tuple[list[float], list[float]]:
+    """Composite density and density sum of every node; 0 for those left out, and for inline ones, which are their parent's text."""
+    n = len(page.tags)
+    chars, link_chars, tags, link_tags = sizes(page)
     body = next((i for i, tag in enumerate(page.tags) if tag == "body"), 0)
     share = link_chars[body] / chars[body] if chars[body] else 0.0
     density, total = [0.0] * n, [0.0] * n
@@ -263,7 +281,45 @@ def main_nodes(page: Page) -> set[int]:
             found.add(node if total[node] >= total[best[node]] or not children[node] else best[node])
         else:
             waiting += children[node]
-    return found
+    beside = _Beside(page, children, density, threshold)
+    return {beside.top(node) for node in found}
+
+
+class _Beside:
+    """What stands beside the main text, element by element."""
+
+    def __init__(self, page: Page, children: list[list[int]], density: list[float], threshold: float):
+        self.page, self.children, self.density, self.threshold = page, children, density, threshold
+        self.chars, self.link_chars, _, self.link_tags = sizes(page)
+        self.known: dict[int, tuple[list[int], list[int]]] = {}
+
+    def parts(self, parent: int) -> tuple[list[int], list[int]]:
+        """Of an element's children with text, the lists of links and those of another text."""
+        if parent not in self.known:
+            lists, others = [], []
+            for child in self.children[parent]:
+                if self.page.left_out[child] or not self.chars[child]:
+                    continue
+                linked = self.link_chars[child] / self.chars[child]
+                tag = self.page.tags[child]
+                if tag != "p" and self.link_tags[child] >= LIST_LINKS and linked > LIST_SHARE:
+                    lists.append(child)
+                elif not self.page.articles[parent] and self.density[child] < self.threshold and (tag not in TEXT_LEVEL or linked > 0.5):
+                    others.append(child)
+            self.known[parent] = lists, others
+        return self.known[parent]
+
+    def top(self, node: int) -> int:
+        """The topmost node on the way up whose other children are all of the same text; lists of links among them are left out."""
+        page = self.page
+        while page.parents[node] > 0 and page.tags[page.parents[node]] not in ("html", "body"):
+            lists, others = self.parts(page.parents[node])
+            if any(child != node for child in others[:2]):
+                break
+            for child in lists:
+                page.left_out[child] = page.left_out[child] or child != node
+            node = page.parents[node]
+        return node
 
 
 def main_text(html: str | None) -> str:
@@ -287,7 +343,8 @@ def main_text(html: str | None) -> str:
 def extract_text(df: DataFrame, html: str) -> DataFrame:
     """``df`` packed as ``row``, with the main ``text`` of its whole page and its ``n_chars``.
 
-    Null, empty and textless pages have an empty text. Broken markup is read as browsers do in the usual
+    Null, empty and textless pages have an empty text. Every row is taken by itself, so repeated rows are as any others, and an empty
+    table gives no rows. Broken markup is read as browsers do in the usual
     cases (unclosed paragraphs, list items and cells); the rest of a page after an open script is silent.
     """
 

@@ -1,7 +1,11 @@
 """Main text of pages."""
 
 import html
+import math
+import random
 import re
+import time
+from xml.etree import ElementTree
 
 import pytest
 
@@ -71,6 +75,94 @@ def test_marked_elements_lose_no_article(page, text):
     assert main_text(page) == text
 
 
+NAV = "<nav><a href=x>menu</a></nav>"
+LINKS = "<ul><li><a>one link here</a><li><a>two links here</a></ul>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body>{NAV}<article><h1>T</h1><div>{ARTICLE}</div></article><footer>f</footer>", f"T\n\n{TEXT}"),
+        (f"<body>{NAV}<article><h1>T</h1><p>lead</p><div>{ARTICLE}</div><p>last</p></article>", f"T\n\nlead\n\n{TEXT}\n\nlast"),
+        (f"<article><section>{ARTICLE}</section><section>{ARTICLE}</section></article>", f"{TEXT}\n\n{TEXT}"),
+        (f"<body><main><h1>T</h1><section>{ARTICLE}</section><section>{ARTICLE}</section></main>{NAV}", f"T\n\n{TEXT}\n\n{TEXT}"),
+        (f"<body><div><h1>T</h1><div>{ARTICLE}</div></div><div>Copyright</div>", f"T\n\n{TEXT}"),
+        (f"<article><h1>T</h1><div>{ARTICLE}</div>{LINKS}</article>", f"T\n\n{TEXT}"),
+        (f"<article><div><div>{ARTICLE}</div><figure><figcaption>cap</figcaption></figure><div>{ARTICLE}</div></div></article>", f"{TEXT}\n\ncap\n\n{TEXT}"),
+        (f"<body><div>{LINKS}<div>{ARTICLE}</div><div>Copyright</div></div>", TEXT),
+    ],
+)
+def test_the_article_is_whole(page, text):
+    assert main_text(page) == text
+
+
+def plain_densities(root, link_share):
+    """(density, sum) of every element in document order, from the tree itself."""
+
+    def size(text):
+        return len("".join((text or "").split()))
+
+    def counts(e, linked):
+        linked = linked or e.tag == "a"
+        chars = size(e.text) + sum(size(c.tail) for c in e)
+        found = [chars, chars if linked else 0, 0, 0]
+        for c in e:
+            below = counts(c, linked)
+            found = [x + y for x, y in zip(found, below)]
+            found[2] += c.tag not in ("b",)
+            found[3] += c.tag == "a"
+        return found
+
+    def density(e, linked=False):
+        c, lc, t, lt = counts(e, linked)
+        if not c or e.tag in ("a", "b"):
+            return 0.0
+        inner = math.log(c / max(1, c - lc) * lc + link_share(root, counts) * c + math.e)
+        return c / max(1, t) * math.log(c / max(1, lc) * max(1, t) / max(1, lt) + 1) / math.log(inner + 1)
+
+    out = []
+
+    def visit(e, linked):
+        out.append((density(e, linked), sum(density(c, linked or e.tag == "a") for c in e)))
+        for c in e:
+            visit(c, linked or e.tag == "a")
+
+    visit(root, False)
+    return out
+
+
+def test_densities_against_the_definition():
+    rng = random.Random(6)
+
+    def element(depth):
+        tag = rng.choice(["div", "section", "div", "a", "b"]) if depth else "body"
+        inner = "".join(rng.choice(["word and word ", "", "x"]) + (element(depth + 1) if depth < 5 and rng.random() < 0.6 else "") for _ in range(3))
+        return f"<{tag}>{inner}</{tag}>"
+
+    def share(root, counts):
+        c, lc, *_ = counts(root, False)
+        return lc / c if c else 0.0
+
+    for _ in range(60):
+        page = element(0)
+        want = plain_densities(ElementTree.fromstring(page), share)
+        density, total = densities(Page(page))
+        assert [(round(d, 9), round(s, 9)) for d, s in zip(density[1:], total[1:])] == [(round(d, 9), round(s, 9)) for d, s in want]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100 + "</span>" * 50_000 + "x", "<b><i>" * 25_000 + "</u>" * 50_000 + "x", "<p><a>" * 30_000 + "x"])
+def test_broken_pages_take_no_square_of_time(page):
+    begun = time.perf_counter()
+    assert main_text(page) == "x"
+    assert time.perf_counter() - begun < 20
+
+
+def test_repeated_rows(spark):
+    rows = [(1, f"<p>{LONG}"), (1, f"<p>{LONG}"), (None, None)]
+    found = extract_text(spark.createDataFrame(rows, "row int, html string"), "html").collect()
+    assert sorted(r.text for r in found) == ["", LONG, LONG]
+
+
 def test_links_lower_the_density():
     plain, _ = densities(Page(f"<body><div>{LONG}</div><div>x</div>"))
     linked, _ = densities(Page(f"<body><div><a>{LONG}</a></div><div>x</div>"))
