@@ -25,21 +25,21 @@ from casewise.sources.storage import staged
 INDEX_BLOCK = 8192  # rows
 QUERY_BLOCK = 256
 _GROUP = 32  # queries per step
-_LIMIT = 1 << 26  # largest size of a quantised component: scores of a thousand dimensions still fit a long
+_LIMIT = 1 << 60  # largest size of a quantised component
 
 
 def quantised(embedding: str | Column, scale: int) -> Column:
-    """floor(scale * x) of every component as array<int>; null where a vector takes no part.
+    """floor(scale * x) of every component as array<long>; null where a vector takes no part.
 
-    A vector takes no part if it is null or has a null, NaN or infinite component. A finite component
-    too large for the search is an error, as the vector would be missing from the result.
+    A vector takes no part if it is null or has a null, NaN or infinite component. A finite component whose
+    quantised size passes 2 to the 60 is an error, as the vector would be missing from the result.
     """
     vector = (F.col(embedding) if isinstance(embedding, str) else embedding).cast("array<double>")
     scaled = F.transform(vector, lambda x: F.floor(x * scale))
     sound = F.forall(vector, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x))
     fits = F.forall(vector, lambda x: F.abs(x) <= _LIMIT // scale)
-    oversized = F.raise_error(F.lit(f"a vector has a component above {_LIMIT // scale}")).cast("array<int>")
-    return F.when(sound & fits, scaled.cast("array<int>")).when(sound, oversized)
+    oversized = F.raise_error(F.lit(f"a vector has a component above {_LIMIT // scale}")).cast("array<bigint>")
+    return F.when(sound & fits, scaled.cast("array<bigint>")).when(sound, oversized)
 
 
 class IndexBlock:
@@ -47,29 +47,54 @@ class IndexBlock:
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, rows = ids[order], rows[order].astype(np.int64)
-        self.words = -(-len(ids) // 64)
-        self.low = rows.min(axis=0) if rows.size else np.zeros(rows.shape[1], np.int64)
-        above = rows - self.low
-        self.bits = [int(top).bit_length() for top in (above.max(axis=0) if rows.size else self.low)]
-        padded = np.zeros((self.words * 64, rows.shape[1]), np.int64)
+        rows = rows[order].astype(np.int64)
+        low = rows.min(axis=0) if rows.size else np.zeros(rows.shape[1], np.int64)
+        above = rows - low
+        bits = [int(top).bit_length() for top in (above.max(axis=0) if rows.size else low)]
+        words = -(-len(ids) // 64)
+        padded = np.zeros((words * 64, rows.shape[1]), np.int64)
         padded[: len(ids)] = above
-        slices = [_bitmap((padded[:, d] >> bit) & 1) for d, bits in enumerate(self.bits) for bit in range(bits)]
-        zero = np.zeros((1, self.words), np.uint64)
-        real = np.stack(slices) if slices else zero[:0]
+        slices = [_bitmap((padded[:, d] >> bit) & 1) for d, n in enumerate(bits) for bit in range(n)]
+        self._set(ids[order], low, np.array(bits, np.int64), np.stack(slices) if slices else np.zeros((0, words), np.uint64))
+
+    def _set(self, ids: np.ndarray, low: np.ndarray, bits: np.ndarray, real: np.ndarray) -> None:
+        self.ids, self.low, self.bits, self.real = ids, low, bits, real
+        self.words = -(-len(ids) // 64)
         # slice 0 is empty; then all slices, then their complements
-        self.slices = np.concatenate([zero, real, ~real])
-        self.first = np.concatenate([[1], 1 + np.cumsum(self.bits)])[:-1].astype(np.int64)
+        self.slices = np.concatenate([np.zeros((1, self.words), np.uint64), real, ~real])
+        self.first = np.concatenate([[1], 1 + np.cumsum(bits)])[:-1].astype(np.int64)
         self.complement = len(real)
         valid = np.zeros(self.words * 64, np.int64)
         valid[: len(ids)] = 1
         self.valid = _bitmap(valid)
 
+    def packed(self) -> dict:
+        """The block as a row of the index."""
+        parts = {"ids": self.ids, "low": self.low, "bits": self.bits, "slices": self.real}
+        return {"n": [len(self.ids)], **{name: [part.tobytes()] for name, part in parts.items()}}
+
+    @classmethod
+    def unpacked(cls, n: int, ids: bytes, low: bytes, bits: bytes, slices: bytes) -> "IndexBlock":
+        block = cls.__new__(cls)
+        widths = np.frombuffer(bits, np.int64)
+        real = np.frombuffer(slices, np.uint64).reshape(int(widths.sum()), -(-n // 64))
+        block._set(np.frombuffer(ids, np.int64), np.frombuffer(low, np.int64), widths, real)
+        return block
+
+    def fitted(self, dims: int) -> "IndexBlock":
+        """The block with at least so many dimensions: shorter vectors have zeros at their end."""
+        more = max(0, dims - len(self.low))
+        if more:
+            zeros = np.zeros(more, np.int64)
+            self._set(self.ids, np.concatenate([self.low, zeros]), np.concatenate([self.bits, zeros]), self.real)
+        return self
+
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query id, id, score) of the k best other rows of each query."""
+        """(query, id, score) of the k best rows of other ids; a query is its place in ``queries``."""
         groups = [slice(i, i + _GROUP) for i in range(0, len(queries), _GROUP)]
         found = [self._search(query_ids[group], queries[group].astype(np.int64), k) for group in groups]
-        return tuple(np.concatenate(part) for part in zip(*found, strict=True))
+        queried = [query + group.start for group, (query, _, _) in zip(groups, found, strict=True)]
+        return np.concatenate(queried), *(np.concatenate(part) for part in list(zip(*found, strict=True))[1:])
 
     def _search(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
         score, offset = self.scores(queries)
@@ -94,15 +119,20 @@ class IndexBlock:
         resolved = turn < (wanted - have)[edge_query]
         query = np.concatenate([taken_query, edge_query[resolved]])
         row = np.concatenate([taken_row, edge_row[resolved]])
-        value = np.zeros(len(query), np.int64)
+        value = offset[query]
         for bit, bitmap in enumerate(score):
-            value += ((bitmap[query, row // 64] >> (row % 64).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << bit
-        return query_ids[query], self.ids[row], value + offset[query]
+            value = value + ((bitmap[query, row // 64] >> (row % 64).astype(np.uint64)) & np.uint64(1)).astype(value.dtype) * (1 << bit)
+        if value.dtype == object and len(value) and max(abs(int(v)) for v in value) >= 1 << 63:
+            raise OverflowError("a score passes 64 bits")
+        return query, self.ids[row], value.astype(np.int64)
 
     def scores(self, queries: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
         """The scores as slices from the lowest bit, each (query, word), less an offset per query."""
         n, dims = queries.shape
-        offset = queries @ self.low[:dims]
+        tops = [max(abs(int(low)), abs(int(low) + (1 << int(bits)))) for low, bits in zip(self.low, self.bits)]
+        largest = sum(int(q) * top for q, top in zip(np.abs(queries).max(axis=0, initial=0), tops))
+        # sums that could pass 64 bits are made of Python's whole numbers; slices are as wide as the sums need
+        offset = (queries.astype(object) if largest >> 60 else queries) @ self.low[:dims]
         piles: dict[int, list[list[int]]] = {}
         sizes = np.abs(queries)
         for power, digit in _signed_digits(sizes):
@@ -111,8 +141,8 @@ class IndexBlock:
                 if not self.bits[d] or not digit[:, d].any():
                     continue
                 # -x is the complement of x, less the largest value the slices can hold
-                offset -= np.where(digit[:, d] < 0, ((1 << self.bits[d]) - 1) << power, 0)
-                for bit in range(self.bits[d]):
+                offset = offset - (digit[:, d] < 0).astype(offset.dtype) * (((1 << int(self.bits[d])) - 1) << power)
+                for bit in range(int(self.bits[d])):
                     at = int(self.first[d]) + bit
                     pile = piles.setdefault(power + bit, [[] for _ in range(n)])
                     for q in np.flatnonzero(digit[:, d]):
@@ -159,15 +189,22 @@ def _signed_digits(sizes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         power += 1
 
 
-def _packed(ids: list, rows: list) -> dict:
-    width = max(map(len, rows), default=0)
-    table = np.zeros((len(rows), width), np.int32)  # a shorter vector has zeros at its end
+def _table(rows: list) -> np.ndarray:
+    table = np.zeros((len(rows), max(map(len, rows), default=0)), np.int64)  # a shorter vector has zeros at its end
     for i, row in enumerate(rows):
         table[i, : len(row)] = row
-    return {"n": [len(ids)], "ids": [np.array(ids, np.int64).tobytes()], "rows": [table.tobytes()]}
+    return table
+
 
+def _packed(ids: list, rows: list) -> dict:
+    return {"n": [len(ids)], "ids": [np.array(ids, np.int64).tobytes()], "rows": [_table(rows).tobytes()]}
 
-def _blocks(size: int):
+
+def _sliced(ids: list, rows: list) -> dict:
+    return IndexBlock(np.array(ids, np.int64), _table(rows)).packed()
+
+
+def _blocks(size: int, packed):
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids: list = []
         rows: list = []
@@ -176,28 +213,26 @@ def _blocks(size: int):
                 ids += batch["id"].iloc[at : at + size].tolist()
                 rows += batch["vector"].iloc[at : at + size].tolist()
                 while len(ids) >= size:
-                    yield pd.DataFrame(_packed(ids[:size], rows[:size]))
+                    yield pd.DataFrame(packed(ids[:size], rows[:size]))
                     del ids[:size], rows[:size]
         if ids:
-            yield pd.DataFrame(_packed(ids, rows))
+            yield pd.DataFrame(packed(ids, rows))
 
     return pack
 
 
-def _unpacked(n: int, ids: bytes, rows: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, np.int64), np.frombuffer(rows, np.int32).reshape(n, -1)
-
-
 def _searcher(k: int):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                ids, rows = _unpacked(row.n, row.ids, row.rows)
-                query_ids, queries = _unpacked(row.query_n, row.query_ids, row.queries)
-                width = max(rows.shape[1], queries.shape[1])
-                rows, queries = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (rows, queries))
-                query, found, score = IndexBlock(ids, rows).search(query_ids, queries, k)
-                yield pd.DataFrame({"query_id": query, "vec_id": found, "score": score})
+                query_ids = np.frombuffer(row.query_ids, np.int64)
+                queries = np.frombuffer(row.queries, np.int64).reshape(row.query_n, -1)
+                block = IndexBlock.unpacked(row.n, row.ids, row.low, row.bits, row.slices).fitted(queries.shape[1])
+                queries = np.pad(queries, ((0, 0), (0, len(block.low) - queries.shape[1])))
+                query, found, score = block.search(query_ids, queries, k)
+                yield pd.DataFrame(
+                    {"query_no": row.query_no, "query_row": query, "query_id": query_ids[query], "vec_id": found, "score": score}
+                )
 
     return search
 
@@ -207,14 +242,17 @@ def top_k_search(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows of ``vectors`` with the largest inner product to each query.
 
-    Both tables have ``id`` (long) and ``vector`` (array<int>); rows with a null in either take no part.
-    A query never finds rows of its own id. Ties go to the smaller id; a query has fewer than k
-    rows if there are fewer others. Shorter vectors count as filled up with zeros.
+    Both tables have ``id`` (long) and ``vector`` (array<int> or array<long>); rows with a null in either take no part, extra
+    columns do not count, and an empty table on either side gives no rows. A query never finds rows of its own id. Ties go to the smaller
+    id; a query has fewer than k rows if there are fewer others. Shorter vectors count as filled up with zeros.
+    Every row is a query, or a row to find, of its own: an id that two queries share has two lists of k,
+    and one that two rows of ``vectors`` share can be found twice. A score past 64 bits is an error.
     """
-    shape = "n long, ids binary, rows binary"
     whole = "id is not null and vector is not null"
-    index = staged(vectors.where(whole).select("id", "vector").mapInPandas(_blocks(index_block), shape), "index")
-    asked = staged(queries.where(whole).select("id", "vector").mapInPandas(_blocks(query_block), shape), "queries")
+    cut, shape = _blocks(index_block, _sliced), "n long, ids binary, low binary, bits binary, slices binary"
+    index = staged(vectors.where(whole).select("id", "vector").mapInPandas(cut, shape), "index")
+    cut, shape = _blocks(query_block, _packed), "n long, ids binary, rows binary"
+    asked = staged(queries.where(whole).select("id", "vector").mapInPandas(cut, shape), "queries")
     index = staged(index.withColumn("index_no", F.monotonically_increasing_id()), "index")
     asked = staged(asked.withColumn("query_no", F.monotonically_increasing_id()), "queries")
     # numbers of the blocks of the other side: one number for thousands of rows
@@ -228,7 +266,9 @@ def top_k_search(
     right = asked.select(
         "query_no", F.col("n").alias("query_n"), F.col("ids").alias("query_ids"), F.col("rows").alias("queries")
     ).withColumn("index_no", F.explode(index_numbers)).repartition(parts, "index_no", "query_no")
-    best = left.join(right, ["index_no", "query_no"]).mapInPandas(_searcher(k), "query_id long, vec_id long, score long")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    best = left.join(right, ["index_no", "query_no"]).mapInPandas(
+        _searcher(k), "query_no long, query_row long, query_id long, vec_id long, score long"
+    )
+    place = F.row_number().over(Window.partitionBy("query_no", "query_row").orderBy(F.desc("score"), "vec_id"))
     ranked = best.withColumn("rank", place).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
