@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from casewise.functions.domain import STOP_WORDS_ES
 from casewise.functions.text import tokens
-from casewise.operators import corpus, profile, tfidf
+from casewise.operators import corpus, heavy, profile, tfidf
 from casewise.plans import views
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
@@ -75,6 +75,12 @@ def ttr(spark, sf_dir):
     return corpus.type_token_ratio(_counts(spark, sf_dir)).withColumn("ttr", F.round("ttr", 9))
 
 
+@REGISTRY.add("heavy_hitters", f"{COUNTS} select token, n from counts order by n desc, token limit 25")
+def heavy_hitters(spark, sf_dir):
+    """The same tokens from summaries of bounded size."""
+    return heavy.heavy_hitters(_tokenised(spark, sf_dir), "tokens", 25)
+
+
 @REGISTRY.add("top_tokens", f"{COUNTS} select token, n from counts order by n desc, token limit 25")
 def top_tokens(spark, sf_dir):
     return corpus.top_tokens(_counts(spark, sf_dir), 25)

@@ -2,12 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from casewise.operators import metrics, sentiment
+from casewise.operators import metrics, patterns, sentiment
 from casewise.operators.features import in_train, sample_n
 from casewise.operators.lookup import attach_predictions
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
-from casewise.sources.readers import table
+from casewise.sources.readers import literal_table, table
 
 # The test texts are invented words, so the lists are frequent words of two of their languages.
 SEVERITY = ["der", "the", "ist", "ing"]
@@ -44,6 +44,37 @@ def batch_score(spark, sf_dir):
     return sentiment.score_batches(bindings.documents(spark, sf_dir, heavy=True), "doc_id", "text", load)
 
 
+@REGISTRY.add("lexicon_sentiment", f"{RULED} select doc_id, sentiment from ruled")
+def lexicon_sentiment_of_documents(spark, sf_dir):
+    """The rule by one pass over each text, whatever the lists."""
+    docs = bindings.documents(spark, sf_dir).select("doc_id", "text")
+    return patterns.lexicon_sentiment(docs, "text", SEVERITY, RELIEF).select("doc_id", "sentiment")
+
+
+@REGISTRY.add(
+    "many_patterns",
+    """with named as (
+  select p_partkey, p_name || ' of size ' || p_size as label, p_name || ' of size ' || p_size || p_size % 7 || ', ' || p_brand as line from part),
+listed as (select distinct label from named),
+hits as (select line, count(*)::int as n_found, min(listed.label) as first_found, max(listed.label) as last_found
+  from (select distinct line from named) join listed on contains(line, listed.label) group by line)
+select p_partkey, coalesce(n_found, 0) as n_found, first_found, last_found from named left join hits using (line)""",
+)
+def many_patterns(spark, sf_dir):
+    """All labels of parts, some thousands, in every part's line."""
+    part = table(spark, sf_dir, "part")
+    size = F.col("p_size").cast("string")
+    label = F.concat("p_name", F.lit(" of size "), size)
+    line = F.concat(label, (F.col("p_size") % 7).cast("string"), F.lit(", "), "p_brand")
+    listed = patterns.word_list(part.select(label.alias("label")), "label")
+    found = patterns.patterns_found(part.select("p_partkey", line.alias("line")), "line", listed)
+    names = literal_table(spark, list(enumerate(listed)), "number int, label string")
+    hits = found.select("p_partkey", F.explode_outer("found").alias("number")).join(names, "number", "left")
+    return hits.groupBy("p_partkey").agg(
+        F.count("label").cast("int").alias("n_found"), F.min("label").alias("first_found"), F.max("label").alias("last_found")
+    )
+
+
 @REGISTRY.add("sample_n", f"with {SAMPLED} select * from sampled")
 def sample_of_documents(spark, sf_dir):
     return sample_n(bindings.documents(spark, sf_dir).select("doc_id", "lang"), "doc_id", SAMPLE)
