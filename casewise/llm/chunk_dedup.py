@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from casewise.sources.storage import staged
 
@@ -25,6 +25,7 @@ LEAST, MOST = 512, 16_384  # bytes in a chunk, but for the last of a text
 CUT_BITS = 11  # a cut every 2,048 bytes beyond the least size, on average
 NAME_BYTES = 16
 BROADCAST_KEYS = 1 << 18  # keys of documents, with a hash each, that are broadcast at most: some 8 MB
+_RECIPE = ["n_bytes", "recipe"]
 _BLOCK = 1 << 20  # bytes worked on at a time, in whole texts
 _BASE = 0x5851F42D4C957F2D
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -139,14 +140,30 @@ def text_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", name_b
     return named.mapInArrow(_contents(name_bytes), f"key {kind}, text_hash long, at int, name binary, content binary")
 
 
-def name_variants(docs: DataFrame, recipes: DataFrame, key: str, text: str, name_bytes: int) -> tuple[DataFrame, DataFrame] | None:
+def _groups(rows: DataFrame, same_text: list[str]) -> DataFrame:
+    """(head, group_size) of every group of several rows, written: joins can then split a group that fills many tasks."""
+    place = F.struct(F.col("key").isNull().alias("unnamed"), F.col("key"), F.col("row"))
+    groups = rows.groupBy(*same_text).agg(F.min(place).alias("head"), F.count("*").alias("group_size")).where("group_size > 1")
+    return staged(groups.select(*[F.col(c).alias(f"_{c}") for c in same_text], "head", "group_size"), "groups")
+
+
+def _same(same_text: list[str]) -> Column:
+    same = F.lit(True)
+    for c in same_text:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return same
+
+
+def name_variants(
+    docs: DataFrame, recipes: DataFrame, groups: DataFrame, key: str, text: str, name_bytes: int
+) -> tuple[DataFrame, DataFrame] | None:
     """(name, content, variant) of names with several contents, and all chunks that may hold them; None if every name is verified.
 
-    Only documents whose recipes meet are verified where there are at most ``BROADCAST_KEYS``. Beyond that, picking
-    them out would move every text, so chunks of all texts are verified; that gives the same groups.
+    Only documents whose recipes meet, those of ``groups``, are verified where there are at most ``BROADCAST_KEYS``. Beyond that,
+    picking them out would move every text, so chunks of all texts are verified; that gives the same groups.
     """
-    meeting = recipes.groupBy("n_bytes", "recipe").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    suspects = staged(recipes.join(meeting, ["n_bytes", "recipe"], "left_semi").select(F.col("key").alias("of"), "text_hash").distinct(), "suspects")
+    meeting = recipes.join(groups, _same(_RECIPE), "left_semi").select(F.col("key").alias("of"), "text_hash")
+    suspects = staged(meeting.distinct(), "suspects")
     n_suspects = suspects.count()
     if not n_suspects:
         return None
@@ -177,19 +194,12 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n
     kind = named.schema["key"].dataType.simpleString()
     schema = f"key {kind}, text_hash long, n_bytes long, recipe binary, digest string"
     recipes = staged(named.mapInArrow(_recipes(name_bytes), schema).withColumn("row", F.monotonically_increasing_id()), "recipes")
-    found = name_variants(docs, recipes, key, text, name_bytes)
-    if found is None:
-        rows = recipes.withColumn("variants", F.lit(None).cast("array<int>"))
-    else:
-        rows = _with_variants(recipes, *found)
-    same_text = ["n_bytes", "recipe", "variants"]
-    place = F.struct(F.col("key").isNull().alias("unnamed"), F.col("key"), F.col("row"))
-    groups = rows.groupBy(*same_text).agg(F.min(place).alias("head"), F.count("*").alias("group_size")).where("group_size > 1")
-    groups = groups.select(*[F.col(c).alias(f"_{c}") for c in same_text], "head", "group_size")
-    same = F.lit(True)
-    for c in same_text:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    joined = rows.join(groups, same, "left")
+    groups, same = _groups(recipes, _RECIPE), _same(_RECIPE)
+    found = name_variants(docs, recipes, groups, key, text, name_bytes)
+    if found is not None:
+        recipes = _with_variants(recipes, *found)
+        groups, same = _groups(recipes, [*_RECIPE, "variants"]), _same([*_RECIPE, "variants"])
+    joined = recipes.join(groups, same, "left")
     alone = F.col("head").isNull()
     return joined.select(
         "key",
