@@ -9,7 +9,7 @@ from casewise.operators import classify, features, metrics, tfidf
 from casewise.plans.registry import REGISTRY
 from casewise.plans.scoring import DRAW
 from casewise.sources import bindings
-from casewise.sources.readers import table
+from casewise.sources.readers import literal_table, table
 from casewise.sources.storage import staged, staged_for_rounds
 
 NUMBERS = ["n_chars", "n_tokens", "non_ascii_share"]
@@ -89,7 +89,8 @@ def lr_text_mean_probability(spark, sf_dir):
 
 @REGISTRY.add(
     "lr_text_coefficient_sums",
-    f"select distinct lang, true as centered, true as ordered from (select lang, {DRAW} < 80 as train from documents) where train",
+    f"""select lang, true as centered, true as ordered, count(*) as rows from (select lang, {DRAW} < 80 as train from documents)
+where train group by lang""",
 )
 def lr_text_coefficient_sums(spark, sf_dir):
     """Weights of a penalised multinomial fit add up to 0 over the classes, and listed terms are in order."""
@@ -99,7 +100,14 @@ def lr_text_coefficient_sums(spark, sf_dir):
     by_class = terms.groupBy(F.col("class").alias("lang")).agg(
         (F.min(F.when(F.col("side") == "for", F.col("weight"))) >= F.max(F.when(F.col("side") == "against", F.col("weight")))).alias("ordered")
     )
-    return by_class.select("lang", F.lit(bool(abs(sums).max() < 1e-6)).alias("centered"), "ordered")
+    names = literal_table(spark, list(enumerate(labels)), "place int, lang string")
+    fitted = _fitted_rows(model).join(names, F.col("label") == F.col("place")).select("lang", "rows")
+    return by_class.join(fitted, "lang").select("lang", F.lit(bool(abs(sums).max() < 1e-6)).alias("centered"), "ordered", "rows")
+
+
+def _fitted_rows(model):
+    """(label, rows): what a model was really fitted on."""
+    return model.summary.predictions.groupBy("label").agg(F.count("*").alias("rows"))
 
 
 def _decided(spark, sf_dir):
@@ -132,19 +140,25 @@ def rf_decided_label(spark, sf_dir):
 
 @REGISTRY.add(
     "rf_decided_importance",
-    "select 'discount' as source, 0.0::double as importance union all select 'quantity', 1.0::double",
+    """select source, importance, count(*) filter (l_quantity <= 25) as low_rows, count(*) filter (l_quantity > 25) as high_rows
+from lineitem, (values ('discount', 0.0::double), ('quantity', 1.0::double)) as f(source, importance) group by source, importance""",
 )
 def rf_decided_importance(spark, sf_dir):
     """All importance lies on the feature that decides the label; it adds up to 1."""
     rows = staged_for_rounds(_decided(spark, sf_dir), "decided")
     model = _small_forest().fit(rows)
     found = classify.importance_by_source(model, ["quantity", "discount"], ["quantity", "discount"], spark)
-    return found.select("source", F.round("importance", 6).alias("importance"))
+    rows = _fitted_rows(model).agg(
+        F.sum(F.when(F.col("label") == 0, F.col("rows"))).alias("low_rows"), F.sum(F.when(F.col("label") == 1, F.col("rows"))).alias("high_rows")
+    )
+    counts = [rows.select(name).scalar().alias(name) for name in rows.columns]
+    return found.select("source", F.round("importance", 6).alias("importance"), *counts)
 
 
 @REGISTRY.add(
     "cv_decided_grid",
-    """select depth as max_depth, trees as num_trees, 1.0::double as f1, depth = 3 and trees = 2 as best
+    """select depth as max_depth, trees as num_trees, 1.0::double as f1, depth = 3 and trees = 2 as best,
+       (select count(*) from lineitem) as rows, (select count(*) from lineitem where l_quantity > 25) as high_rows
 from (values (3), (4)) as d(depth), (values (2), (3)) as t(trees)""",
 )
 def cv_decided_grid(spark, sf_dir):
@@ -152,22 +166,31 @@ def cv_decided_grid(spark, sf_dir):
     rows = staged_for_rounds(_decided(spark, sf_dir).drop("discount"), "decided")
     only = VectorAssembler(inputCols=["quantity"], outputCol="features").transform(rows)
     search = classify.cross_validate(only, "row_key", depths=(3, 4), trees=(2, 3), features="features")
-    return _rounded(classify.grid_results(search, spark))
+    fitted = _fitted_rows(search.bestModel)
+    counts = fitted.agg(F.sum("rows").alias("rows"), F.sum(F.col("rows") * F.col("label").cast("long")).alias("high_rows"))
+    counts = [counts.select(name).scalar().alias(name) for name in counts.columns]
+    return _rounded(classify.grid_results(search, spark)).select("*", *counts)
 
 
 @REGISTRY.add(
     "model_comparison_decided",
     """select model, 1.0::double as accuracy, 1.0::double as f1, 1.0::double as weighted_precision,
-       1.0::double as weighted_recall, 1.0::double as weighted_auc
-from (values ('logistic regression'), ('random forest')) as m(model)
-where (select count(*) from lineitem) > 0""",
+       1.0::double as weighted_recall, 1.0::double as weighted_auc, count(*) as fitted_rows, count(*) as scored_rows,
+       count(*) filter (l_quantity > 25) as high_hits
+from lineitem, (values ('logistic regression'), ('random forest')) as m(model) group by model""",
 )
 def model_comparison_decided(spark, sf_dir):
     """Both kinds of model are right on a decided label."""
     rows = staged_for_rounds(_decided(spark, sf_dir), "decided")
     models = {"logistic regression": classify.logistic(reg=0.0).fit(rows), "random forest": _small_forest().fit(rows)}
     scored = {name: classify.evaluation_rows(model.transform(rows), 2) for name, model in models.items()}
-    return _rounded(classify.compare_models(scored))
+    counted = None
+    for name, model in models.items():
+        hits = F.count_if((F.col("label") == 1) & (F.col("prediction") == 1)).alias("high_hits")
+        found = model.transform(rows).agg(F.count("*").alias("scored_rows"), hits).withColumn("model", F.lit(name))
+        found = found.withColumn("fitted_rows", _fitted_rows(model).agg(F.sum("rows")).scalar())
+        counted = found if counted is None else counted.unionByName(found)
+    return _rounded(classify.compare_models(scored)).join(counted, "model")
 
 
 @REGISTRY.add("rf_importance")

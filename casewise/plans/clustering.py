@@ -3,11 +3,12 @@
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from casewise.operators import cluster, features, series
+from casewise.functions.text import tokens
+from casewise.operators import cluster, features, series, subspace, tfidf
 from casewise.plans.exploring import CUMULATIVE_SQL, _cumulative
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
-from casewise.sources.readers import table
+from casewise.sources.readers import literal_table, table
 from casewise.sources.storage import staged_for_rounds
 
 DIMENSIONS = 64
@@ -47,6 +48,35 @@ def pca_total_variance(spark, sf_dir):
     return kept.select(F.lit(DIMENSIONS).alias("components"), F.round(total, 6).alias("total"), F.round(F.lit(shares), 6).alias("shares"))
 
 
+@REGISTRY.add(
+    "subspace_total_variance",
+    f"""{SPREAD_SQL}, variances as (select var_samp(x) as v from dims group by i)
+select 64 as components, (select count(*) from embeddings) as rows, round(sum(v), 6) as total, round(sum(v), 6) as kept,
+       true as as_fitted from variances""",
+)
+def subspace_total_variance(spark, sf_dir):
+    """A basis of all dimensions keeps their variance, and gives the shares of the fit over the full covariance."""
+    vectors = _vectors(spark, sf_dir)
+    found = subspace.leading_components(subspace.sparse_rows(vectors, "features"), DIMENSIONS, DIMENSIONS)
+    fitted = cluster.fit_pca(vectors, "features", DIMENSIONS).explainedVariance.toArray()
+    as_fitted = bool(abs(found.variances / found.total - fitted).max() < 1e-6)
+    row = (DIMENSIONS, found.rows, round(found.total, 6), round(float(found.variances.sum()), 6), as_fitted)
+    return literal_table(spark, [row], "components int, rows long, total double, kept double, as_fitted boolean")
+
+
+WIDE_TERMS = 20_000
+
+
+@REGISTRY.add("wide_components")
+def wide_components(spark, sf_dir):
+    """Ten components of TF-IDF over 20,000 terms."""
+    docs = bindings.documents(spark, sf_dir, heavy=True).select("doc_id", tokens("text").alias("tokens"))
+    vocabulary = tfidf.fit_vocabulary(docs, size=WIDE_TERMS)
+    weighed = tfidf.weighed(tfidf.term_vectors(docs, vocabulary), vocabulary)
+    rows = subspace.sparse_rows(weighed, "features")
+    return subspace.leading_components(rows, len(vocabulary.terms), 10).shares(spark)
+
+
 @REGISTRY.add(
     "pca_keeps_lengths",
     """select vec_id, label, round(list_sum(list_transform(embedding, lambda x: x::double * x::double)), 5) as sq_length

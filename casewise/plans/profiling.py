@@ -2,13 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from casewise.operators import profile
+from casewise.operators import profile, sketches
 from casewise.operators.ordered import exact_percentiles
 from casewise.operators.totals import top_k
 from casewise.plans import views
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
 from casewise.sources.readers import table
+from casewise.sources.storage import staged
 
 DESCRIBED = ["week", "dept", "cases"]
 NOTI_COLUMNS = ["event_code", "event", "year", "week", "dept", "town_code", "town", "cases"]
@@ -138,3 +139,33 @@ select event, town, week, cases from noti order by cases desc, event, town nulls
 def topk_values(spark, sf_dir):
     rows = bindings.notifications(spark, sf_dir).select("event", "town", "week", "cases")
     return top_k(rows, [F.desc("cases"), F.asc("event"), F.asc_nulls_first("town"), F.asc("week")], 10)
+
+
+POINTS = {"p50": 0.5, "p95": 0.95}
+
+
+@REGISTRY.add(
+    "merged_sketches",
+    """with sold as (select year(l_shipdate)::int as year, month(l_shipdate)::int as month, l_extendedprice, l_orderkey from lineitem)
+select year, count(*) as rows, count(distinct month) as states, true as p50_holds, true as p95_holds, true as distinct_holds
+from sold group by year""",
+)
+def merged_sketches(spark, sf_dir):
+    """Monthly states, written and merged to years: their answers keep their bounds against the rows."""
+    sold = table(spark, sf_dir, "lineitem").select(
+        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"), "l_extendedprice", "l_orderkey"
+    )
+    monthly = staged(sketches.group_states(sold, ["year", "month"], "l_extendedprice", "l_orderkey"), "states")
+    yearly = staged(sketches.answers(sketches.merged_states(monthly, ["year"]), ["year"], POINTS), "answers")
+    errors = sketches.rank_bounds(sold, ["year"], "l_extendedprice", yearly, POINTS)
+    exact = sold.groupBy("year").agg(F.count_distinct("l_orderkey").alias("exact"))
+    states = monthly.groupBy("year").agg(F.count("*").alias("states"))
+    joined = yearly.select("year", "rows", "distinct").join(errors, "year").join(exact, "year").join(states, "year")
+    return joined.select(
+        "year",
+        "rows",
+        "states",
+        (F.col("p50") <= 0.01).alias("p50_holds"),
+        (F.col("p95") <= 0.01).alias("p95_holds"),
+        (F.abs(F.col("distinct") - F.col("exact")) <= 0.05 * F.col("exact")).alias("distinct_holds"),
+    )

@@ -57,7 +57,48 @@ def drop_staged(spark: SparkSession, df: DataFrame) -> None:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def write_report(df: DataFrame, path: str) -> DataFrame:
-    """Write the table behind a figure and give it back as read from the file."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def _manifests(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{path.rstrip('/')}/_manifests")
+    return hadoop, folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def report_versions(spark: SparkSession, path: str) -> list[str]:
+    """The versions that were committed, the newest first."""
+    _, folder, files = _manifests(spark, path)
+    if not files.exists(folder):
+        return []
+    names = sorted((status.getPath().getName() for status in files.listStatus(folder)), reverse=True)
+    return [name.split("=")[1] for name in names if "=" in name]
+
+
+def write_report(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
+    """Write the table behind a figure as a new version and give it back as read from the files.
+
+    A version is read once it is committed: its name is in a manifest, which is made in one step after all files are
+    whole. So a write that fails, at whatever point, leaves the version before as it was. The newest ``keep`` versions stay, as
+    someone may be reading the one before.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    df.write.parquet(f"{path.rstrip('/')}/{version}")
+    hadoop, folder, files = _manifests(spark, path)
+    before = report_versions(spark, path)
+    files.mkdirs(folder)
+    # the number orders versions; of two writers at a time both commit, and the name of the version decides
+    number = 1 + max([int(status.getPath().getName().split("=")[0]) for status in files.listStatus(folder)], default=0)
+    files.createNewFile(hadoop.Path(folder, f"{number:012d}={version}"))
+    for old in before[keep - 1 :]:
+        for status in files.listStatus(folder):
+            if status.getPath().getName().endswith(f"={old}"):
+                files.delete(status.getPath(), False)
+        files.delete(hadoop.Path(f"{path.rstrip('/')}/{old}"), True)
+    return spark.read.schema(df.schema).parquet(f"{path.rstrip('/')}/{version}")
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed version of a report."""
+    versions = report_versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(path)
+    return spark.read.parquet(f"{path.rstrip('/')}/{versions[0]}")
