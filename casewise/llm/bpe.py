@@ -28,6 +28,7 @@ NO_PAIR = np.int32(2**31 - 1)
 CACHED_PIECES = 100_000  # encoded pieces kept per generation and task
 _CONTROLS = regex.compile("[\x1c-\x1f]")
 _SYMBOLS_AT_ONCE = 1 << 16
+_FEW, _LONG = 8, 64  # fewer words than that, of so many symbols, are merged one by one
 
 
 def byte_characters() -> list[str]:
@@ -76,6 +77,8 @@ class Vocabulary:
         self.keys = keys[self.order]
         self.merged = np.append(merged, 0)
         self.numbers = list(range(1 + max(self.tokens)))
+        self.rank_of = dict(zip(keys[::-1].tolist(), range(len(keys) - 1, -1, -1)))  # the first rank of a repeated pair
+        self.merged_list = merged.tolist()
 
     @staticmethod
     def _normaliser(rule: dict):
@@ -120,10 +123,54 @@ class Vocabulary:
             group = order[at : at + max(1, _SYMBOLS_AT_ONCE // width)]
             group = group[widths[group] == width]
             at += len(group)
-            for i, ids in zip(group.tolist(), self._merge(symbols, ends[group] - lengths[group], lengths[group], width), strict=True):
+            starts = ends[group] - lengths[group]
+            if len(group) < _FEW and width >= _LONG:
+                merged = (self._merge_one(symbols[a : a + n].tolist(), width) for a, n in zip(starts, lengths[group], strict=True))
+            else:
+                merged = self._merge(symbols, starts, lengths[group], width)
+            for i, ids in zip(group.tolist(), merged, strict=True):
                 out[i] = ids
         return out
 
+    def _merge_one(self, symbol: list[int], width: int) -> tuple[int, ...]:
+        """The same merges in one long word, a step at a time: there a step over arrays would serve a single merge."""
+        n, known, merged = len(symbol), self.rank_of, self.merged_list
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+        tree = [NO_PAIR] * (2 * width)
+        tree[width : width + n - 1] = [known.get(a << 32 | b, NO_PAIR) for a, b in zip(symbol, symbol[1:])]
+        for node in range(width - 1, 0, -1):
+            tree[node] = min(tree[2 * node], tree[2 * node + 1])
+
+        def update(place: int, rank: int) -> None:
+            node = place + width
+            tree[node] = rank
+            while node > 1:
+                least = min(tree[node], tree[node ^ 1])
+                node >>= 1
+                if tree[node] == least:
+                    return
+                tree[node] = least
+
+        while tree[1] < NO_PAIR:
+            rank, node = tree[1], 1
+            while node < width:
+                node *= 2
+                if tree[node] != rank:
+                    node += 1
+            here = node - width
+            there = after[here]
+            follows, previous = after[there], before[here]
+            symbol[here], symbol[there], after[here] = merged[rank], -1, follows
+            update(there, NO_PAIR)
+            if follows >= 0:
+                before[follows] = here
+                update(here, known.get(symbol[here] << 32 | symbol[follows], NO_PAIR))
+            else:
+                update(here, NO_PAIR)
+            if previous >= 0:
+                update(previous, known.get(symbol[previous] << 32 | symbol[here], NO_PAIR))
+        return tuple([self.numbers[i] for i in symbol if i >= 0])
+
     def _merge(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> Iterator[tuple[int, ...]]:
         """Merge words of at most ``width`` symbols, a power of two."""
         n = len(starts)

@@ -1,6 +1,7 @@
 """The codec against the public library, on documents and on odd texts."""
 
 import hashlib
+import time
 
 import numpy as np
 import pytest
@@ -35,6 +36,27 @@ def test_long_words(text):
     assert list(Codec(VOCABULARY).encode([text])) == [library(text)]
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "a", "the"])
+def test_a_word_of_131072_letters_takes_seconds(letters):
+    rng = np.random.default_rng(7)
+    word = "".join(rng.choice(list(letters), 131_072)) if letters != "the" else letters * 43_690
+    begun = time.perf_counter()
+    found = VOCABULARY.encode_words([word])
+    assert time.perf_counter() - begun < 30  # some 3 on an idle machine
+    assert list(found[0]) == library(word)
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.text(alphabet="abcthe", min_size=1, max_size=300))
+def test_one_word_is_merged_as_many_are(word):
+    raw = np.frombuffer(word.encode(), np.uint8)
+    symbols = VOCABULARY.first[raw]
+    symbols[-1] = VOCABULARY.last[raw[-1]]
+    width = max(2, 1 << (len(word) - 1).bit_length())
+    (many,) = VOCABULARY._merge(symbols, np.array([0]), np.array([len(word)]), width)
+    assert VOCABULARY._merge_one(symbols.tolist(), width) == many
+
+
 def test_cache_generations_do_not_change_results():
     texts = [f"word{i} and word{i % 7}, Word{i % 3}" for i in range(300)]
     codec = Codec(VOCABULARY, cached=5)
