@@ -1,9 +1,7 @@
 """Small helpers shared by the operators of this package."""
 
 import math
-from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: a word is a run of anything but the six ASCII white-space characters.
@@ -22,22 +20,17 @@ def root_buckets(rows: int) -> int:
 
 
 def counted_out(df: DataFrame, first: Column, copies: str, name: str, block: int = 65_536) -> DataFrame:
-    """Every row ``copies`` times with a number ``name`` from ``first`` on, in blocks: no array holds more than one."""
-    last = first + F.col(copies) - 1
-    blocks = df.withColumn("_block", F.explode(F.sequence(first, last, F.lit(block).cast("long"))))
-    return blocks.withColumn(
-        name, F.explode(F.sequence(F.col("_block"), F.least(F.col("_block") + block - 1, last)))
-    ).drop("_block")
-
+    """Every row ``copies`` times with a number ``name`` from ``first`` on, in blocks: no array holds more than one.
 
-def by_batch(
-    df: DataFrame, convert: Callable[[pd.DataFrame], pd.DataFrame], schema: str, setup: Callable | None = None
-) -> DataFrame:
-    """Apply ``convert`` to every Arrow batch of ``df``; ``setup`` runs once per task and its result is passed on."""
+    The blocks of a row with more copies than one are dealt out, so many tasks write a row that fills a large part of the table.
+    """
+    last = first + F.col(copies) - 1
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        extra = (setup(),) if setup else ()
-        for batch in batches:
-            yield convert(batch, *extra)
+    def counted(blocks: DataFrame) -> DataFrame:
+        numbers = F.sequence(F.col("_block"), F.least(F.col("_block") + block - 1, last))
+        return blocks.withColumn(name, F.explode(numbers)).drop("_block")
 
-    return df.mapInPandas(run, schema)
+    few = df.where(F.col(copies) <= block).withColumn("_block", first.cast("long"))
+    many = df.where(F.col(copies) > block).withColumn("_block", F.explode(F.sequence(first.cast("long"), last, F.lit(block).cast("long"))))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return counted(few).unionByName(counted(many.repartition(parts, "_block")))
