@@ -4,8 +4,8 @@ Two histograms describe a text: characters by class, and common function words a
 The references are the same histograms summed over all typical texts of each language. A text
 whose Jensen-Shannon distances to the nearest references, of both histograms together, are too large
 does not look like running text. A text of a named language without a reference is not compared with those of
-others, whose words, letters and case it need not share; one of no named language is. Texts with fewer words than the guard are not compared, as their histograms
-say nothing yet. Everything is DataFrame expressions; a text is never exploded or shuffled, and only the
+others, whose words, letters and case it need not share; one of no named language is. Texts with fewer words than
+the guard are not compared, as their histograms say nothing yet. Everything is DataFrame expressions; a text is never exploded or shuffled, and only the
 sums per language, one short row each, leave a task.
 """
 
@@ -14,14 +14,15 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from casewise.llm.frames import n_words
 from casewise.sources.storage import staged
 
 # Common function words of the languages that have a reference.
 COMMON_WORDS = {
-    "en": ["the", "of", "and", "to", "a", "in", "is", "that"],
-    "de": ["der", "die", "und", "in", "den", "von", "zu", "das"],
-    "fr": ["de", "la", "le", "et", "les", "des", "en", "un"],
-    "es": ["de", "la", "que", "el", "en", "y", "los", "se"],
+    "en": ["the", "of", "and", "to", "a", "in", "is", "that", "it", "for", "was", "on"],
+    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf"],
+    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est"],
+    "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por"],
 }
 # Character classes in the order in which they are taken out of the words of a text.
 CLASSES = [
@@ -52,12 +53,8 @@ def word_bins(words: Mapping[str, Sequence[str]] = COMMON_WORDS) -> list[str]:
     return sorted({word for listed in words.values() for word in listed})
 
 
-def with_features(df: DataFrame, text: str, words: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """(row, counts...): the columns to ``keep`` packed as ``row``, the base counts and both histograms.
-
-    Null and empty texts have zero counts. ``n_repeat_words`` counts the words that lie in a window
-    of three words found at least twice; windows are compared by a 64-bit hash inside one text.
-    """
+def with_histograms(df: DataFrame, text: str, words: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """(row, t, word_chars, n_symbols, class_counts, found): what the histograms are made of, and the text itself."""
     longer = f"\\p{{L}}{{{max(map(len, words)) + 1},}}"
     kept = F.struct(*[F.col(f"`{c}`") for c in keep])
     step = df.select(kept.alias("row"), F.coalesce(F.col(text), F.lit("")).alias("t"))
@@ -71,13 +68,42 @@ def with_features(df: DataFrame, text: str, words: Sequence[str], keep: Sequence
         F.length("left0").cast("long").alias("word_chars"),
         taken[3].cast("long").alias("n_symbols"),
         F.array(*taken, F.length(f"left{len(CLASSES)}")).alias("class_counts"),
-        F.filter(F.split("t", WHITE), lambda w: w != "").alias("words"),
-        F.filter(F.split("t", "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]")).alias("lines"),
         # only words short enough to be listed, each between two spaces
         F.concat(
             F.lit(" "), F.regexp_replace(F.regexp_replace(F.lower("t"), longer, ""), "[^\\p{L}]+", "  "), F.lit(" ")
         ).alias("spaced"),
     )
+    found = [(F.length("spaced") - F.length(F.replace("spaced", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2) for w in words]
+    return step.select("row", "t", "word_chars", "n_symbols", "class_counts", F.array(*[f.cast("int") for f in found]).alias("found"))
+
+
+def _word_counts() -> Column:
+    """The listed words and all others, as one histogram."""
+    listed = F.aggregate("found", F.lit(0), lambda a, b: a + b)
+    return F.concat("found", F.array(F.greatest(F.lit(0), F.col("n_words").cast("int") - listed)))
+
+
+def with_shares(df: DataFrame, text: str, words: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """(row, n_words, class_counts, word_counts): all that references are made of."""
+    step = with_histograms(df, text, words, keep).withColumn("n_words", n_words("t"))
+    return step.select("row", "n_words", "class_counts", _word_counts().alias("word_counts"))
+
+
+def with_features(df: DataFrame, text: str, words: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """(row, counts...): the columns to ``keep`` packed as ``row``, the base counts and both histograms.
+
+    Null and empty texts have zero counts. ``n_repeat_words`` counts the words that lie in a window
+    of three words found at least twice; windows are compared by a 64-bit hash inside one text.
+    """
+    step = with_histograms(df, text, words, keep).select(
+        "row",
+        "word_chars",
+        "n_symbols",
+        "class_counts",
+        "found",
+        F.filter(F.split("t", WHITE), lambda w: w != "").alias("words"),
+        F.filter(F.split("t", "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]")).alias("lines"),
+    )
     step = step.withColumn("n", F.size("words"))
     triples = F.when(
         F.col("n") >= 3,
@@ -85,7 +111,6 @@ def with_features(df: DataFrame, text: str, words: Sequence[str], keep: Sequence
             F.slice("words", 3, F.col("n")), lambda third, i: F.xxhash64(F.get("words", i), F.get("words", i + 1), third)
         ),
     )
-    found = [(F.length("spaced") - F.length(F.replace("spaced", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2) for w in words]
     step = step.select(
         "row",
         F.col("n").cast("long").alias("n_words"),
@@ -93,7 +118,7 @@ def with_features(df: DataFrame, text: str, words: Sequence[str], keep: Sequence
         "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "class_counts",
-        F.array(*[f.cast("int") for f in found]).alias("found"),
+        "found",
         triples.alias("triples"),
     )
     some_twice = F.size(F.array_distinct("triples")) < F.size("triples")
@@ -115,9 +140,7 @@ def with_features(df: DataFrame, text: str, words: Sequence[str], keep: Sequence
         "n_dup_lines",
         n_repeat.cast("long").alias("n_repeat_words"),
         "class_counts",
-        F.concat(
-            "found", F.array(F.greatest(F.lit(0), F.col("n_words").cast("int") - F.aggregate("found", F.lit(0), lambda a, b: a + b)))
-        ).alias("word_counts"),
+        _word_counts().alias("word_counts"),
     )
 
 
@@ -150,7 +173,7 @@ def fit_references(features: DataFrame, language: str, languages: Sequence[str],
     name = F.col("row").getField(language)
     listed = F.when(name.isin(list(languages)) & (F.col("n_words") >= rules.min_words), name)
     first = _sum_histograms(features, listed, bins)
-    near = judge(features, first, rules, language, languages)
+    near = with_distances(features, first, rules, language, languages)
     return _sum_histograms(near, F.when(~_strange(rules), listed), bins) if first else first
 
 
@@ -174,25 +197,32 @@ def js_distance(counts: str, reference: Sequence[float]) -> Column:
     return F.when(F.col("_total") > 0, F.sqrt(F.greatest(F.lit(0.0), terms / 2))).otherwise(0.0)
 
 
-def judge(
+def with_distances(
     features: DataFrame, references: Sequence[tuple], rules: Rules, language: str, languages: Sequence[str]
 ) -> DataFrame:
-    """``features`` with ``base_failed``, ``class_distance``, ``word_distance`` and ``kept``.
+    """``features`` with ``class_distance`` and ``word_distance``.
 
     The distances are those to the nearest reference, and null if there is none, the text is below the
-    length guard, or its language is neither null nor listed; such a text is judged by the base rules alone.
+    length guard, or its language is neither null nor listed.
     """
-    judged = features.withColumn("base_failed", base_failed(rules))
     named = F.col("row").getField(language)
     compared = (F.col("n_words") >= rules.min_words) & (named.isNull() | named.isin(list(languages)))
     for name, counts, which in (("class_distance", "class_counts", 0), ("word_distance", "word_counts", 1)):
-        judged = judged.withColumn("_total", F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b))
+        features = features.withColumn("_total", F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b))
         found = [js_distance(counts, reference[which]) for reference in references]
         nearest = F.array_min(F.array(*found)) if found else F.lit(None).cast("double")
-        judged = judged.withColumn(name, F.when(compared, nearest))
+        features = features.withColumn(name, F.when(compared, nearest))
+    return features.drop("_total")
+
+
+def judge(
+    features: DataFrame, references: Sequence[tuple], rules: Rules, language: str, languages: Sequence[str]
+) -> DataFrame:
+    """``features`` with ``base_failed``, both distances, and ``kept``. A text without distances is judged by the base rules alone."""
+    judged = with_distances(features, references, rules, language, languages).withColumn("base_failed", base_failed(rules))
     # always true, but opaque: else a filter on the verdict would drag copies of all expressions below it
     fence = F.monotonically_increasing_id() >= 0
-    return judged.withColumn("kept", ~F.col("base_failed") & ~_strange(rules) & fence).drop("_total")
+    return judged.withColumn("kept", ~F.col("base_failed") & ~_strange(rules) & fence)
 
 
 def quality_verdicts(
@@ -207,10 +237,10 @@ def quality_verdicts(
 
     Columns of ``df`` cannot clash with the results. An empty table gives an empty one. ``keep`` names
     the columns of ``df`` that are wanted, with the language. The counts are written to the shared folder for
-    the references; only if the text is among the columns to keep, it is read again for the verdicts.
+    the references. If the text is among the columns to keep, only the histograms are, and it is read again for the verdicts.
     """
     bins, keep = word_bins(words), list(df.columns if keep is None else keep)
-    counted = staged(with_features(df, text, bins, [language] if text in keep else keep), "features")
+    again = text in keep
+    counted = staged(with_shares(df, text, bins, [language]) if again else with_features(df, text, bins, keep), "features")
     references = fit_references(counted, language, sorted(words), len(bins), rules)
-    features = with_features(df, text, bins, keep) if text in keep else counted
-    return judge(features, references, rules, language, sorted(words))
+    return judge(with_features(df, text, bins, keep) if again else counted, references, rules, language, sorted(words))

@@ -1,6 +1,6 @@
 """DuckDB SQL that gives the rows of the queries."""
 
-from casewise.llm.quality import CLASSES, Rules, word_bins
+from casewise.llm.quality import CLASSES, COMMON_WORDS, Rules, word_bins
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -71,6 +71,7 @@ def _quality() -> str:
     classes = [f"length(left{i}) - length(left{i + 1})" for i in range(n)] + [f"length(left{n})"]
     found = [f"((length(spaced) - length(replace(spaced, ' {w} ', ''))) // {len(w) + 2})" for w in words]
     class_sums = ", ".join(f"sum(class_counts[{i + 1}])::double" for i in range(n + 1))
+    compared = f"lang is null or lang in ({', '.join(repr(name) for name in sorted(COMMON_WORDS))})"
     limit = f"case when n_words < {rules.short_words} then {rules.max_short_distance} else {rules.max_distance} end"
     word_sums = ", ".join(f"sum(word_counts[{i + 1}])::double" for i in range(len(words) + 1))
 
@@ -118,14 +119,16 @@ with base as (
   from (select [{class_sums}] as c, [{word_sums}] as w from features
         where lang in ('de', 'en', 'es', 'fr') and n_words >= {rules.min_words} group by lang)
 ), near as (
-  select *, {distance("class_counts", "c", "refs0")} + {distance("word_counts", "w", "refs0")} as distance from features f
+  select *, case when {compared} then {distance("class_counts", "c", "refs0")} + {distance("word_counts", "w", "refs0")} end as distance
+  from features f
 ), refs as (
   select list_transform(c, lambda x: x / list_sum(c)) as c, list_transform(w, lambda x: x / list_sum(w)) as w
   from (select [{class_sums}] as c, [{word_sums}] as w from near
         where lang in ('de', 'en', 'es', 'fr') and n_words >= {rules.min_words}
           and not coalesce(distance > {limit}, false) group by lang)
 ), judged as (
-  select *, {distance("class_counts", "c", "refs")} + {distance("word_counts", "w", "refs")} as distance from features f
+  select *, case when {compared} then {distance("class_counts", "c", "refs")} + {distance("word_counts", "w", "refs")} end as distance
+  from features f
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and not (n_words >= {rules.min_words} and coalesce(distance > {limit}, false)) as kept

@@ -3,9 +3,13 @@
 import random
 import re
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from casewise.llm.quality import Rules, quality_verdicts
+from casewise.llm.quality import Rules, quality_verdicts, with_features, with_shares, word_bins
+from casewise.llm.sql import QUALITY
+from checking import differences, plan
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 RNG = random.Random(5)
@@ -78,3 +82,24 @@ def test_guard_for_short_texts(spark):
     rules = Rules(min_words=5, short_words=50, max_distance=0.0, max_short_distance=1.0)
     df = spark.createDataFrame([(1, prose(20), "en"), (2, prose(200), "en")], "doc_id long, text string, lang string")
     assert {r.row.doc_id: r.kept for r in quality_verdicts(df, rules=rules).collect()} == {1: True, 2: False}
+
+
+def test_the_sql_twin_has_the_same_rule_for_other_languages(spark, tmp_path):
+    rows = [(prose(300), "en") for _ in range(30)] + [(prose(200).replace(" ", "### "), lang) for lang in ("it", "en", None, "")]
+    rows += [(spaced("的一是", 90), "zh"), (None, "it"), (prose(60), None)]
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "doc_id long, text string, lang string")
+    df.coalesce(1).write.parquet(str(tmp_path / "written"))
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from '{tmp_path}/written/*.parquet'")
+    found = quality_verdicts(df, keep=["doc_id", "lang"]).select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+    assert differences(found, connection, QUALITY) == []
+
+
+def test_the_first_pass_has_histograms_alone(spark):
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*TEXTS, prose(80)])], "doc_id long, text string, lang string")
+    bins = word_bins()
+    whole = with_features(df, "text", bins, ["doc_id"]).select("row.doc_id", "n_words", "class_counts", "word_counts")
+    assert sorted(with_shares(df, "text", bins, ["doc_id"]).select("row.doc_id", "n_words", "class_counts", "word_counts").collect()) == sorted(whole.collect())
+    assert "xxhash64" not in plan(with_shares(df, "text", bins, ["doc_id"]))
