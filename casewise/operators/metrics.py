@@ -97,7 +97,6 @@ def auc_one_vs_rest(df: DataFrame, scores: Mapping[int, str | None], label: str
     known = df.where(F.col(label).isNotNull()).select(
         F.col(label).alias("_label"), *[F.col(c).cast("double").alias(c) for c in columns]
     )
-    edges = sorted({edge for found in range_edges(known, [F.col(c) for c in columns]) for edge in found})
     used_by = F.create_map(
         *[item for c in columns for item in (F.lit(c), F.array(*[F.lit(k) for k, own in scores.items() if own == c]))]
     )
@@ -118,6 +117,8 @@ def auc_one_vs_rest(df: DataFrame, scores: Mapping[int, str | None], label: str
             F.when(F.col("_label") == F.col("class"), 0).otherwise(F.col("n")).alias("others"),
         )
     )
+    # cut from the counts, which are fewer than the rows: what is dealt into ranges are counts
+    (edges,) = range_edges(counts, [F.col("score")])
     ranked = running_totals(counts, "score", ["members", "others"], by=["class"], edges=edges, with_ties=True)
     members, others = F.col("members").cast("double"), F.col("others").cast("double")
     summed = ranked.groupBy("class").agg(

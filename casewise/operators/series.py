@@ -1,15 +1,13 @@
 """Operations along an ordered series of group totals.
 
 Neighbours are found by row position and brought together by an equi-grouping on that position or
-on ranges of it, so a series of any length is handled without one sorted task. A null in the order comes first. The series is
-written once, as it is small next to the rows it sums up, and read for its edges and for its values.
+on ranges of it, so a series of any length is handled without one sorted task. A null in the order comes first.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from casewise.functions.cleaning import percent
 from casewise.operators.ordered import running_totals, with_position
-from casewise.sources.storage import staged
 
 RANGE = 4096  # positions in a range of a moving average
 
@@ -31,7 +29,7 @@ def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2
     frame counts rows. Each range of positions is gone through on its own, so a wide frame costs no more copies of
     a row than a narrow one.
     """
-    placed = with_position(staged(series.select(order_by, value), "series"), order_by)
+    placed = with_position(series.select(order_by, value), order_by)
     around = Window.partitionBy("_range").orderBy("position").rowsBetween(-before, after)
     found = with_halo(placed, before, after).select(
         "_own", "_range", order_by, value, F.avg(value).over(around).alias("_mean"), F.count(value).over(around).alias("_present")
@@ -42,7 +40,7 @@ def moving_average(series: DataFrame, order_by: str, value: str, before: int = 2
 
 def step_delta(series: DataFrame, order_by: str, value: str) -> DataFrame:
     """Drop from the previous row, relative to the first value of the series."""
-    series = staged(series.select(order_by, value), "series")
+    series = series.select(order_by, value)
     first = series.agg(F.min_by(value, order_by)).scalar()
     spread = with_position(series, order_by).select(
         order_by, value, "position", F.explode(F.array(F.lit(0), F.lit(1))).alias("shift")
@@ -63,7 +61,7 @@ def cumulative_share(groups: DataFrame, name: str, total: str) -> DataFrame:
 
     Groups of equal total go by name.
     """
-    groups = staged(groups.select(name, total), "series")
+    groups = groups.select(name, total)
     whole = groups.agg(F.sum(total)).scalar()
     falling = groups.withColumn("_falling", -F.col(total)).withColumn("_one", F.lit(1))
     ranked = running_totals(falling, "_falling", [total, "_one"], then_by=[name])
