@@ -7,6 +7,7 @@ from casewise.plans import views
 from casewise.plans.cleaning import FOCUS_EVENT
 from casewise.plans.registry import REGISTRY
 from casewise.sources import bindings
+from casewise.streaming import kept
 
 NOTI = f"with {views.NOTIFICATIONS}"
 
@@ -242,3 +243,22 @@ def topk_per_group(spark, sf_dir):
 )
 def topk_resorted(spark, sf_dir):
     return total_by_event(spark, sf_dir).orderBy("total", "event")
+
+
+@REGISTRY.add(
+    "streamed_weekly_totals",
+    """select date_trunc('week', ts)::timestamp as week, event_type, count(*) as n, sum(round(value * 100)::bigint)::bigint as cents
+from events group by 1, 2""",
+)
+def streamed_weekly_totals(spark, sf_dir):
+    """Weekly totals of files that arrive in any order, over two runs of the stream."""
+    path = kept.scratch(spark)
+    cents = F.round(F.col("value") * 100).cast("long").alias("cents")
+    rows = bindings.events(spark, sf_dir).select(F.date_trunc("week", "ts").alias("week"), "event_type", cents, "event_id")
+    totals_now = None
+    for half in (0, 1):
+        arrived = rows.where(F.col("event_id") % 2 == half).repartition(3, "event_id").drop("event_id")
+        arrived.write.mode("append").parquet(f"{path}/in")
+        stream = kept.arriving(spark, f"{path}/in", arrived.schema, files_at_once=2)
+        totals_now = kept.keep_totals(stream, ["week", "event_type"], "cents", path)
+    return totals_now.withColumnRenamed("total", "cents")
