@@ -10,7 +10,7 @@ Nulls and urls without ``://`` have an empty host and path, which no rule fits.
 more than their host and the longest rule: a url leaves the batch when no bit can change any more.
 """
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -48,7 +48,7 @@ class GlobAutomaton:
         self.start = np.zeros(self.words, np.uint64)
         self.final = np.zeros(self.words, np.uint64)
         self.ends: list[tuple[int, np.uint64]] = []
-        at = 0
+        at, places = 0, []
         for glob in globs:
             self._set(self.start, at)  # the bit before the first symbol
             for symbol in glob:
@@ -61,8 +61,10 @@ class GlobAutomaton:
             for other in range(SYMBOLS):
                 self._set(self.stay[other], at)
             self._set(self.final, at)
+            places.append(at)
             self.ends.append((at // 64, _ONE << np.uint64(at % 64)))
             at += 1
+        self.places = np.array(places, np.int64)
 
     @staticmethod
     def _set(mask: np.ndarray, bit: int) -> None:
@@ -70,6 +72,20 @@ class GlobAutomaton:
 
     def run(self, texts: Sequence[Sequence[int]]) -> np.ndarray:
         """(text, glob) table of what matched."""
+        state = self._states(texts)
+        return np.stack([(state[:, word] & bit) != 0 for word, bit in self.ends], axis=1) if self.ends else np.zeros((len(texts), 0), bool)
+
+    def first(self, texts: Sequence[Sequence[int]]) -> np.ndarray:
+        """The first glob that matched each text, -1 if none did; no table of all globs is made."""
+        hits = self._states(texts) & self.final
+        word = (hits != 0).argmax(axis=1)
+        bits = hits[np.arange(len(hits)), word]
+        lowest = np.bitwise_count((bits & (~bits + _ONE)) - _ONE)
+        glob = np.searchsorted(self.places, word * 64 + lowest)
+        return np.where(bits != 0, glob, -1)
+
+    def _states(self, texts: Sequence[Sequence[int]]) -> np.ndarray:
+        """The masks after each whole text."""
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         lengths = np.array([len(texts[i]) for i in order], np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
@@ -89,10 +105,9 @@ class GlobAutomaton:
             state[live] = after
             live = live[(after & ~self.final).any(axis=1)]  # else only matches are left, and they stay
             at += 1
-        table = np.zeros((len(order), len(self.ends)), bool)
-        for glob, (word, bit) in enumerate(self.ends):
-            table[order, glob] = (state[:, word] & bit) != 0
-        return table
+        found = np.empty_like(state)
+        found[order] = state
+        return found
 
 
 def compile_rules(rules: Sequence[Rule]) -> GlobAutomaton:
@@ -120,11 +135,10 @@ def judge_urls(df: DataFrame, url: str, rules: Sequence[Rule], default: str = "a
     ranked = sorted(rules, key=lambda r: -len(r.text))  # stable: the first of equal length stays first
 
     @F.pandas_udf("int")
-    def fitting(host: pd.Series, path: pd.Series) -> pd.Series:
-        if not ranked:
-            return pd.Series(np.full(len(host), -1, np.int32))
-        table = compile_rules(ranked).run([canonical(h, p) for h, p in zip(host, path, strict=True)])
-        return pd.Series(np.where(table.any(axis=1), table.argmax(axis=1), -1).astype(np.int32))
+    def fitting(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        automaton = compile_rules(ranked)
+        for host, path in batches:
+            yield pd.Series(automaton.first([canonical(h, p) for h, p in zip(host, path, strict=True)]).astype(np.int32))
 
     parts = "(?s)^.*?://([^/?#]*)([^?#]*)"
     kept = [c for c in df.columns if c not in ("host", "path", "rule", "verdict")]

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from casewise.llm.queries import URL_RULES
-from casewise.llm.url_glob import Rule, canonical, compile_rules, judge_urls
+from casewise.llm.url_glob import GlobAutomaton, Rule, canonical, compile_rules, judge_urls
 
 PART = st.text("abé./*", max_size=8)
 
@@ -49,3 +49,12 @@ def test_no_rules_and_no_rows(spark):
     df = spark.createDataFrame([("http://x.com/",)], "url string")
     assert judge_urls(df, "url", []).first().verdict == "allow"
     assert judge_urls(df.limit(0), "url", URL_RULES).collect() == []
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.integers(97, 99), max_size=4), max_size=40), st.lists(st.lists(st.integers(97, 99), max_size=8), max_size=6))
+def test_the_first_match_is_that_of_the_table(globs, texts):
+    automaton = GlobAutomaton([[None, *glob] for glob in globs])
+    table = automaton.run(texts)
+    want = [int(row.argmax()) if row.any() else -1 for row in table]
+    assert automaton.first(texts).tolist() == want
