@@ -2,8 +2,10 @@
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from casewise.functions.domain import NEUTRAL_CODE, SENTIMENT_CODES
 from casewise.functions.text import rule_sentiment
@@ -57,6 +59,34 @@ def score_batches(df: DataFrame, key: str, text: str, load: Callable[[], Scorer]
     return df.select(key, F.col(text).alias("_text")).mapInPandas(run, schema)
 
 
+def score_by_length(
+    df: DataFrame, key: str, text: str, load: Callable[[], Scorer], batch_size: int = 32, max_tokens: int | None = None
+) -> DataFrame:
+    """(key, sentiment, score) with batches of texts of like length, for models that pad a batch to its longest text.
+
+    The rows of a task are sorted by length first; nothing is shuffled. ``load`` runs once per Python worker, which keeps the
+    model from task to task. ``max_tokens`` cuts a text after so many whitespace tokens, as models with a limited
+    input do by themselves; by default texts are scored whole. A null text is ``""``.
+    """
+
+    def make() -> Callable[[np.ndarray], dict[str, np.ndarray]]:
+        scorer = load()
+
+        def predict(texts: np.ndarray) -> dict[str, np.ndarray]:
+            scored = scorer([str(t) for t in texts])
+            return {"sentiment": np.array([label for label, _ in scored]), "score": np.array([float(s) for _, s in scored])}
+
+        return predict
+
+    kind = T.StructType([T.StructField("sentiment", T.StringType()), T.StructField("score", T.DoubleType())])
+    score = predict_batch_udf(make, return_type=kind, batch_size=batch_size)
+    whole = F.coalesce(F.col(text), F.lit(""))
+    if max_tokens is not None:
+        whole = F.regexp_extract(whole, f"^\\s*(?:\\S+\\s+){{0,{max_tokens - 1}}}\\S+", 0)
+    sorted_rows = df.select(key, whole.alias("_text")).sortWithinPartitions(F.length("_text"))
+    return sorted_rows.select(key, score("_text").alias("_found")).select(key, "_found.sentiment", "_found.score")
+
+
 def phrase_table(spark: SparkSession, phrases: Sequence[str]) -> DataFrame:
     """A handful of phrases typed in by hand, as a table with one column ``phrase``."""
     return literal_table(spark, [(p,) for p in phrases], "phrase string")
