@@ -192,14 +192,16 @@ def write_archives(pages: DataFrame, key: str, url: str, payload: str, folder: s
 
     ``payload`` is text, written as UTF-8; null is empty. Of rows with equal payloads of at least
     ``least_bytes``, those with the smallest key are responses and the others revisit it; null keys
-    come last. Only digests and keys are grouped. Rows join their digest's smallest key by an
-    equi-join, which adaptive execution splits where one payload fills a third of the rows.
+    come last; all rows that repeat the smallest key are responses. Only digests and keys are grouped. Rows join the smallest key of
+    digests that occur twice by an equi-join, which adaptive execution splits where one payload fills a third of the rows.
+    An empty table gives no archives. Other columns do not count.
     """
     body = F.encode(F.coalesce(F.col(f"`{payload}`"), F.lit("")), "UTF-8")
     rows = pages.select(
         F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").alias("url"), body.alias("body"), F.sha1(body).alias("sha1")
     )
     firsts = rows.groupBy("sha1").agg(F.min("key").alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    firsts = staged(firsts, "repeated")  # written, so Spark sees their size, and moves no body where it can broadcast them
     long_enough = F.octet_length("body") >= least_bytes
     revisits = long_enough & F.col("copies").isNotNull() & ~F.col("key").eqNullSafe(F.col("first"))
     ready = rows.join(firsts, "sha1", "left").select(
