@@ -7,10 +7,11 @@ are the words beside it, their counts are its extensions, and each extension is
 one length are extended at once, to the right and to the left in turn, so every phrase of the shard comes up once,
 with its count.
 
-Counts are summed across shards in three rounds, and each tells the shards what the next may pass over, as a phrase
-is never more frequent than what it is made of: words; then pairs, with breaks in place of rare words; then longer
-phrases, with a break in every rare pair. The rounds exchange (shard, word ids) rows; no dictionary is collected
-or broadcast.
+A phrase is never more frequent than what it is made of, so shards ask three times what can be frequent over all of
+them: which words; then which pairs, with breaks in place of rare words; then which longer phrases, with a break in
+every rare pair. They ask in sorted hashes, a few bytes a phrase: counts are summed up by hash, and each shard hears which of its own
+hashes have a sum that suffices. Phrases that share a hash only seem more frequent than they are. What is left is
+written out and summed up as text, exactly.
 
 A phrase is dropped if a longer one has it in all its places, which then holds for one of its extensions by one word.
 """
@@ -20,15 +21,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from casewise.sources.storage import staged
+from casewise.sources.storage import drop_staged, staged
 
 MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
+PART_WORDS = 1 << 21  # words of the corpus for each range of hashes that is summed up in one task
 _BREAK = b"\xff"  # never a byte of UTF-8
 # A piece ends at these, and at line breaks; a tab parts words as a space does.
 _TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", _BREAK * 10 + b" ")
@@ -122,12 +125,12 @@ class PhraseIndex:
         while known < depth:  # prefix doubling: twice the depth from the ranks of both halves
             pair = rank * (int(rank.max()) + 1) + np.roll(rank, -known)
             order = np.argsort(pair, kind="stable")
-            ordered = pair[order]
+            pair = pair[order]
             rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
+            rank[order] = np.cumsum(np.concatenate([[0], pair[1:] != pair[:-1]]))
             known *= 2
         before = ids[order - 1]
-        return before, np.sort(before * n + np.arange(n))
+        return before.astype(np.int32), np.sort(before * n + np.arange(n))
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Phrases of one word, as (ids, first row forward, first row backward, count)."""
@@ -185,76 +188,171 @@ def _dense(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(known, ids), known
 
 
-def _joined(words: pa.Array, ids: np.ndarray) -> pa.Array:
-    """Phrases as text; ids count the shard's words from 1."""
-    columns = [words.take(pa.array(column - 1)) for column in ids.T]
-    return pc.binary_join_element_wise(*columns, " ")
-
-
-_PAIRS = "shard long, lang string, first int, second int, phrase string, n long"
-_PHRASES = "lang string, length int, phrase string, n long"
-
-
-def _schema(ddl: str) -> pa.Schema:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in ddl.split(","))])
-
-
-def _pairs(shard: pa.Table, frequent: pa.Table) -> pa.Table:
-    """The pairs of a shard's frequent words."""
-    schema = _schema(_PAIRS)
-    if not shard.num_rows or not frequent.num_rows:
-        return schema.empty_table()
-    words = shard.column("words").combine_chunks().flatten()
-    keep = np.zeros(len(words) + 1, bool)
-    keep[frequent.column("number").to_numpy()] = True
-    tokens = _tokens(shard)
-    ids, known = _dense(_without_lone_words(np.where(keep[tokens], tokens, 0)))
-    if not len(ids):
-        return schema.empty_table()
-    tables = []
-    for found, counts in PhraseIndex(ids, 2).phrases(2):
-        own = known[found]
-        n = len(own)
-        columns = [
-            pa.array(np.full(n, shard.column("shard")[0].as_py())),
-            pa.array([shard.column("lang")[0].as_py()] * n, pa.string()),
-            pa.array(own[:, 0].astype(np.int32)),
-            pa.array(own[:, 1].astype(np.int32)),
-            _joined(words, own),
-            pa.array(counts),
-        ]
-        tables.append(pa.table(columns, schema=schema))
-    return pa.concat_tables(tables) if tables else schema.empty_table()
-
-
-def _phrases(max_words: int):
-    def run(shard: pa.Table, frequent: pa.Table) -> pa.Table:
-        """The phrases of three words and more of a shard, of frequent pairs."""
-        schema = _schema(_PHRASES)
-        if not shard.num_rows or not frequent.num_rows:
-            return schema.empty_table()
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Hashes:
+    """Hashes of a shard's phrases, of ``bits`` bits; they depend on the words and the language alone."""
+
+    def __init__(self, shard: pa.Table, bits: int):
+        self.lang = shard.column("lang")[0].as_py()
         words = shard.column("words").combine_chunks().flatten()
-        tokens = _tokens(shard).astype(np.int64)
-        size = len(words) + 1
-        pairs = np.sort(frequent.column("first").to_numpy().astype(np.int64) * size + frequent.column("second").to_numpy())
-        linked = np.isin(tokens[:-1] * size + tokens[1:], pairs)  # no frequent pair has a break in it
-        cut = np.flatnonzero(~linked) + 1
-        ids, known = _dense(_without_lone_words(np.insert(tokens, cut, 0)))
-        if not len(ids):
-            return schema.empty_table()
-        tables = []
-        lang = shard.column("lang")[0].as_py()
-        for found, counts in PhraseIndex(ids, max_words).phrases(max_words):
-            length, n = found.shape[1], len(found)
-            if length > 2:
-                columns = [pa.array([lang] * n, pa.string()), pa.array(np.full(n, length, np.int32)), _joined(words, known[found]), pa.array(counts)]
-                tables.append(pa.table(columns, schema=schema))
-        return pa.concat_tables(tables) if tables else schema.empty_table()
+        own = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
+        self.words = np.concatenate([[0], own ^ np.uint64(xxhash.xxh3_64_intdigest(self.lang))]).astype(np.uint64)
+        self.bits = np.uint64(64 - bits)
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """Hashes of phrases, a row of ids each."""
+        total = np.full(len(ids), ids.shape[1], np.uint64)
+        for column in ids.T:
+            total = _mix(total + self.words[column])
+        return total >> self.bits
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Rising numbers as the steps between them, byte by byte of their places."""
+    steps = np.diff(numbers, prepend=np.uint64(0))
+    return zstandard.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+_ASKED = pa.schema([("shard", pa.int64()), ("part", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
+_ASKED_DDL = "shard long, part int, hashes binary, counts binary"
+_HEARD = pa.schema([("of", pa.int64()), ("hashes", pa.binary())])
+
+
+def _asked(shard: int, hashes: np.ndarray, counts: np.ndarray, bits: int, parts: int) -> list[dict]:
+    """The hashes of a shard's phrases with their counts, cut by ranges of hashes."""
+    order = np.argsort(hashes)
+    hashes, counts = hashes[order], counts[order]
+    edges = np.searchsorted(hashes, np.array([(part << bits) // parts for part in range(1, parts)], np.uint64))
+    rows = []
+    for part, (own, n) in enumerate(zip(np.split(hashes, edges), np.split(counts, edges), strict=True)):
+        if len(own):
+            rows.append({"shard": shard, "part": part, "hashes": _packed(own), "counts": zstandard.compress(n.astype(np.int32).tobytes(), 1)})
+    return rows
+
+
+def _heard(min_count: int):
+    """What each shard hears about a range of hashes: which of its own have a sum that suffices."""
+
+    def run(table: pa.Table) -> pa.Table:
+        hashes = [_unpacked(h) for h in table.column("hashes").to_pylist()]
+        counts = [np.frombuffer(zstandard.decompress(n), np.int32) for n in table.column("counts").to_pylist()]
+        every, of = np.unique(np.concatenate(hashes), return_inverse=True)
+        frequent = np.bincount(of, np.concatenate(counts), len(every)) >= min_count
+        left = np.split(frequent[of], np.cumsum([len(h) for h in hashes])[:-1])
+        kept = [_packed(np.unique(own[stays])) for own, stays in zip(hashes, left, strict=True)]
+        return pa.table([table.column("shard"), pa.array(kept, pa.binary())], schema=_HEARD)
 
     return run
 
 
+def _frequent(heard: pa.Table) -> np.ndarray:
+    found = [_unpacked(h) for h in heard.column("hashes").to_pylist()]
+    return np.sort(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
+
+def _among(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(hashes), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)] == hashes
+
+
+def _word_hashes(bits: int, parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                shard = pa.Table.from_batches([batch.slice(i, 1)])
+                counts = shard.column("counts").combine_chunks().flatten().to_numpy()
+                hashes = _Hashes(shard, bits).of(np.arange(1, len(counts) + 1)[:, None])
+                yield pa.RecordBatch.from_pylist(_asked(shard.column("shard")[0].as_py(), hashes, counts, bits, parts), _ASKED)
+
+    return run
+
+
+def _pair_hashes(bits: int, parts: int):
+    """Of the pairs of a shard's frequent words."""
+
+    def run(shard: pa.Table, heard: pa.Table) -> pa.Table:
+        if not shard.num_rows or not heard.num_rows:
+            return _ASKED.empty_table()
+        hashes = _Hashes(shard, bits)
+        words = np.arange(len(hashes.words))
+        keep = _among(hashes.of(words[:, None]), _frequent(heard))
+        keep[0] = False
+        tokens = _tokens(shard)
+        ids, known = _dense(_without_lone_words(np.where(keep[tokens], tokens, 0)))
+        rows = []
+        if len(ids):
+            for found, counts in PhraseIndex(ids, 2).phrases(2):
+                rows += _asked(shard.column("shard")[0].as_py(), hashes.of(known[found]), counts, bits, parts)
+        return pa.Table.from_pylist(rows, _ASKED)
+
+    return run
+
+
+_TEXT = -1  # the part of a row that has a shard's phrases themselves
+
+
+def _phrase_hashes(bits: int, parts: int, max_words: int):
+    """Of a shard's longer phrases of frequent pairs; and, for the shard alone, frequent words and all phrases of frequent pairs as text."""
+
+    def run(shard: pa.Table, heard: pa.Table) -> pa.Table:
+        if not shard.num_rows or not heard.num_rows:
+            return _ASKED.empty_table()
+        hashes, frequent = _Hashes(shard, bits), _frequent(heard)
+        number, words = shard.column("shard")[0].as_py(), shard.column("words").combine_chunks().flatten()
+        tokens = _tokens(shard)
+        linked = _among(hashes.of(np.stack([tokens[:-1], tokens[1:]], axis=1)), frequent) & (tokens[:-1] > 0) & (tokens[1:] > 0)
+        listed = np.arange(1, len(hashes.words))[_among(hashes.of(np.arange(1, len(hashes.words))[:, None]), frequent)]
+        ids, known = _dense(_without_lone_words(np.insert(tokens, np.flatnonzero(~linked) + 1, 0)))
+        counts_of = shard.column("counts").combine_chunks().flatten().to_numpy()
+        texts, counts, keys, lengths = [_joined(words, listed[:, None])], [counts_of[listed - 1]], [np.zeros(len(listed), np.uint64)], [1] * len(listed)
+        for found, n in PhraseIndex(ids, max_words).phrases(max_words) if len(ids) else ():
+            own = known[found]
+            texts.append(_joined(words, own))
+            counts.append(n)
+            # words and pairs are known to be frequent; 0 stands for that
+            keys.append(hashes.of(own) if own.shape[1] > 2 else np.zeros(len(own), np.uint64))
+            lengths += [own.shape[1]] * len(own)
+        key, n = np.concatenate(keys), np.concatenate(counts)
+        lang = pa.array([hashes.lang] * len(n), pa.string())
+        listed = pa.table([lang, pa.array(lengths, pa.int32()), pa.concat_arrays(texts), pa.array(n), pa.array(key)], [*_COUNTED.names, "key"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, listed.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_table(listed)
+        asked = _asked(number, key[key > 0], n[key > 0], bits, parts)
+        return pa.Table.from_pylist([{"shard": number, "part": _TEXT, "hashes": sink.getvalue().to_pybytes(), "counts": b""}, *asked], _ASKED)
+
+    return run
+
+
+_COUNTED = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+
+
+def _texts(listed: pa.Table, heard: pa.Table) -> pa.Table:
+    """The phrases of a shard that may be frequent."""
+    if not listed.num_rows:
+        return _COUNTED.empty_table()
+    found = pa.ipc.open_stream(listed.column("hashes")[0].as_py()).read_all()
+    key = found.column("key").to_numpy()
+    return found.filter(pa.array((key == 0) | _among(key, _frequent(heard)))).select(_COUNTED.names)
+
+
+def _joined(words: pa.Array, ids: np.ndarray) -> pa.Array:
+    """Phrases as text; ids count the shard's words from 1."""
+    columns = [words.take(pa.array(column - 1)) for column in ids.T]
+    return pc.binary_join_element_wise(*columns, " ") if len(columns) > 1 else columns[0]
+
+
 def phrase_counts(
     docs: DataFrame, text: str = "text", lang: str = "lang", max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, shard_words: int = SHARD_WORDS
 ) -> tuple[DataFrame, DataFrame]:
@@ -266,24 +364,30 @@ def phrase_counts(
     named = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.col(f"`{text}`").alias("text"))
     schema = "lang string, tokens binary, words array<string>, counts array<long>"
     shards = staged(named.mapInArrow(_sharded(shard_words), schema).withColumn("shard", F.monotonically_increasing_id()), "shards")
-    words = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "item"))
-    words = words.select("shard", "lang", (F.col("at") + 1).alias("number"), F.col("item.words").alias("phrase"), F.col("item.counts").alias("n"))
-    totals = staged(words.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-
-    def frequent(counted: DataFrame, *by: str) -> DataFrame:
-        return counted.groupBy("lang", *by).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-
-    ones = staged(frequent(words, "phrase"), "words")
-    kept = words.join(ones.select("lang", "phrase"), ["lang", "phrase"], "left_semi").select(F.col("shard").alias("of"), "number")
-    index = shards.select("shard", "lang", "tokens", "words")
-    pairs = index.groupBy("shard").cogroup(kept.groupBy("of")).applyInArrow(_pairs, _PAIRS)
-    pairs = staged(pairs, "pairs")
-    twos = staged(frequent(pairs, "phrase"), "pairs")
-    counts = ones.select("lang", F.lit(1).alias("length"), "phrase", "n").unionByName(twos.select("lang", F.lit(2).alias("length"), "phrase", "n"))
-    if max_words > 2:
-        kept = pairs.join(twos.select("lang", "phrase"), ["lang", "phrase"], "left_semi").select(F.col("shard").alias("of"), "first", "second")
-        longer = index.groupBy("shard").cogroup(kept.groupBy("of")).applyInArrow(_phrases(max_words), _PHRASES)
-        counts = counts.unionByName(staged(frequent(longer, "length", "phrase"), "phrases").select("lang", "length", "phrase", "n"))
+    size = F.aggregate("counts", F.lit(0).cast("long"), lambda total, n: total + n)
+    totals = staged(shards.groupBy("lang").agg(F.sum(size).alias("total")).where("total > 0"), "totals")
+    total = totals.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n")).first()["n"]
+    # few phrases share a hash, whatever the corpus; a task sums up the hashes of some million words
+    bits = min(63, 8 + max(1, int(total)).bit_length())
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_WORDS))
+
+    def ask(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("part").applyInArrow(_heard(min_count), "of long, hashes binary")
+
+    def with_index(heard: DataFrame, run) -> DataFrame:
+        index = shards.select("shard", "lang", "tokens", "words", "counts")
+        return index.groupBy("shard").cogroup(heard.groupBy("of")).applyInArrow(run, _ASKED_DDL)
+
+    words = staged(ask(shards.select("shard", "lang", "words", "counts").mapInArrow(_word_hashes(bits, parts), _ASKED_DDL)), "words")
+    pairs = ask(with_index(words, _pair_hashes(bits, parts)))
+    longer = staged(with_index(words.unionByName(pairs), _phrase_hashes(bits, parts, max_words)), "phrases")
+    heard = ask(longer.where(F.col("part") != _TEXT))
+    listed = longer.where(F.col("part") == _TEXT).select("shard", "hashes")
+    texts = listed.groupBy("shard").cogroup(heard.groupBy("of")).applyInArrow(_texts, "lang string, length int, phrase string, n long")
+    counts = texts.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    counts = staged(counts, "counts")
+    for spent in (shards, words, longer):
+        drop_staged(docs.sparkSession, spent)
     return counts, totals
 
 
