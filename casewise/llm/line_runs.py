@@ -140,7 +140,9 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     named = staged(covered.select(*_DOC, "start", "end", "size", "head", "tail"), "named")
     place = F.struct(*_DOC, "start")
     firsts = named.groupBy("size", "head", "tail").agg(F.min(place).alias("copy"), F.count("*").alias("n")).where("n > 1")
-    later = named.join(firsts.drop("n"), ["size", "head", "tail"]).where(~place.eqNullSafe(F.col("copy")))
+    # written: a join of two tables lets Spark split the rows of a run that many documents share
+    firsts = staged(firsts.drop("n"), "firsts")
+    later = named.join(firsts, ["size", "head", "tail"]).where(~place.eqNullSafe(F.col("copy")))
     span = F.struct(F.col("start").alias("first"), F.col("end").alias("last"))
     return later.groupBy(*_DOC).agg(F.collect_list(span).alias("spans"))
 
@@ -165,7 +167,8 @@ def drop_repeated_runs(df: DataFrame, key: str, text: str, min_words: int = MIN_
     """``df`` packed as ``row``, with its ``kept_text``, ``runs`` taken out and ``n_removed`` lines.
 
     ``runs`` are (first, last) line numbers. A null text stays null; a row without repeats keeps its
-    text as it is. Blank lines are never taken out.
+    text as it is. Blank lines are never taken out. Rows equal in key and text are one document and lose the same lines. An empty
+    table gives no rows; a very long text is as many rows as it has lines until its spans come back as one.
     """
     packed = df.select(
         F.struct("*").alias("row"),
