@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from casewise.sources.storage import staged
+from casewise.sources.storage import drop_staged, staged
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -11,7 +11,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     A large star hangs every larger neighbour of a node on the node's smallest neighbour, a small star
     does so with the smaller neighbours. Only minima are gathered per node, so a hub is one row per
     task; the joins are equi-joins, which adaptive execution splits at a hub. Every round is written
-    to the shared folder. Links of a node to itself and repeated links do no harm.
+    to the shared folder, and deleted there when the next one is. Links of a node to itself and repeated links do no harm.
     """
     edges = staged(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     before = None
@@ -24,7 +24,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         small = large.join(least, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")
         )
-        edges = staged(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
+        spent, edges = edges, staged(small.select("e.u", "e.v").where("u <> v").distinct(), "links")
+        drop_staged(links.sparkSession, spent)
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before:
             break
