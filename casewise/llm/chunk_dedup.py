@@ -18,13 +18,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from casewise.llm.frames import only_hashes
 from casewise.sources.storage import staged
 
 WINDOW = 32  # bytes that decide on a cut
 LEAST, MOST = 512, 16_384  # bytes in a chunk, but for the last of a text
 CUT_BITS = 11  # a cut every 2,048 bytes beyond the least size, on average
 NAME_BYTES = 16
-BROADCAST_KEYS = 1 << 18  # keys of documents, with a hash each, that are broadcast at most: some 8 MB
 _RECIPE = ["n_bytes", "recipe"]
 _BLOCK = 1 << 20  # bytes worked on at a time, in whole texts
 _BASE = 0x5851F42D4C957F2D
@@ -159,18 +159,14 @@ def name_variants(
 ) -> tuple[DataFrame, DataFrame] | None:
     """(name, content, variant) of names with several contents, and all chunks that may hold them; None if every name is verified.
 
-    Only documents whose recipes meet, those of ``groups``, are verified where there are at most ``BROADCAST_KEYS``. Beyond that,
+    Only texts whose recipes meet, those of ``groups``, are verified, as far as their hashes can be broadcast. Beyond that,
     picking them out would move every text, so chunks of all texts are verified; that gives the same groups.
     """
-    meeting = recipes.join(groups, _same(_RECIPE), "left_semi").select(F.col("key").alias("of"), "text_hash")
-    suspects = staged(meeting.distinct(), "suspects")
-    n_suspects = suspects.count()
-    if not n_suspects:
+    if groups.isEmpty():
         return None
-    if n_suspects <= BROADCAST_KEYS:
-        keyed = docs.withColumns({"_of": F.col(f"`{key}`"), "_hash": F.xxhash64(f"`{text}`")})
-        same = F.col("_of").eqNullSafe(F.col("of")) & (F.col("_hash") == F.col("text_hash"))
-        docs = keyed.join(F.broadcast(suspects), same, "left_semi").select(F.col(f"`{key}`"), F.col(f"`{text}`"))
+    suspects = staged(recipes.join(groups, _same(_RECIPE), "left_semi").select("text_hash").distinct(), "suspects")
+    hashed = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{text}`").alias("text_hash"))
+    docs = only_hashes(hashed, suspects, "text_hash").select(F.col("key").alias(key), F.col("text").alias(text))
     found = text_chunks(docs, key, text, name_bytes)
     distinct = found.select("name", "content").distinct()
     several = staged(distinct.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name"), "several")

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Fixed value: a word is a run of anything but the six ASCII white-space characters.
 WORD = "[^\\x20\\x09-\\x0D]+"
 
+BROADCAST_HASHES = 1 << 18  # 64-bit numbers, 2 MB
+
 
 def n_words(text: str | Column) -> Column:
     """Number of words of a text; 0 for null."""
@@ -34,3 +36,15 @@ def counted_out(df: DataFrame, first: Column, copies: str, name: str, block: int
     many = df.where(F.col(copies) > block).withColumn("_block", F.explode(F.sequence(first.cast("long"), last, F.lit(block).cast("long"))))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return counted(few).unionByName(counted(many.repartition(parts, "_block")))
+
+
+def only_hashes(df: DataFrame, wanted: DataFrame, column: str) -> DataFrame:
+    """``df`` without rows whose ``column``, a hash, is not in ``wanted`` (the same column), as far as a broadcast can tell.
+
+    At most ``BROADCAST_HASHES`` numbers are broadcast. If more are wanted, ``df`` comes back as it is, so this only saves work for
+    what follows: moving a text costs more than hashing it.
+    """
+    found = wanted.select(F.col(column).alias("_wanted")).distinct()
+    if found.limit(BROADCAST_HASHES + 1).count() > BROADCAST_HASHES:
+        return df
+    return df.join(F.broadcast(found), F.col(column) == F.col("_wanted"), "left_semi")

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from casewise.llm.components import connected_components
+from casewise.llm.frames import only_hashes
 from casewise.sources.storage import staged
 
 SHINGLE = 5
@@ -315,6 +316,8 @@ def _links(pairs: DataFrame, named: DataFrame, nodes: DataFrame) -> DataFrame:
 def _node_sets(named: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
     """(node, shingles) of the needed nodes, from the text of one row of each."""
     wanted = nodes.join(needed, "node", "left_semi").select("node", "fp1", "fp2", "first_key", "first_hash")
+    wanted = staged(wanted, "wanted")
+    named = only_hashes(named, wanted.select(F.col("first_hash").alias("text_hash")), "text_hash")
     same = F.col("key").eqNullSafe(F.col("first_key")) & (F.col("text_hash") == F.col("first_hash"))
     texts = named.join(wanted, same)
     found = texts.select("node", "fp1", "fp2", "text").mapInPandas(_checked_sets, "node long, shingles array<long>")

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
-from casewise.llm import chunk_dedup
+from casewise.llm import frames
 from casewise.llm.chunk_dedup import LEAST, MOST, chunk_store, chunks, drop_exact_duplicates, even_texts, exact_duplicates, text_chunks
 
 
@@ -49,8 +49,8 @@ def test_groups_equal_plain_ones(spark):
         assert all(r["key"] == r["keep_key"] for r in found if r["kept"])
 
 
-def test_all_chunks_are_verified_where_keys_are_too_many(spark, monkeypatch):
-    monkeypatch.setattr(chunk_dedup, "BROADCAST_KEYS", 1)
+def test_all_chunks_are_verified_where_hashes_are_too_many(spark, monkeypatch):
+    monkeypatch.setattr(frames, "BROADCAST_HASHES", 1)
     rows = corpus()
     found = exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), name_bytes=1).collect()
     assert sorted(((r["key"], r["keep_key"], r["group_size"], r["digest"]) for r in found), key=str) == plain(rows)[0]
