@@ -11,7 +11,7 @@ A phrase is never more frequent than what it is made of, so shards ask three tim
 them: which words; then which pairs, with breaks in place of rare words; then which longer phrases, with a break in
 every rare pair. They ask in sorted hashes, a few bytes a phrase: counts are summed up by hash, and each shard hears which of its own
 hashes have a sum that suffices. Phrases that share a hash only seem more frequent than they are. What is left is
-written out and summed up as text, exactly.
+summed up as text, exactly.
 
 A phrase is dropped if a longer one has it in all its places, which then holds for one of its extensions by one word.
 """
@@ -315,36 +315,71 @@ def _phrase_hashes(bits: int, parts: int, max_words: int):
         listed = np.arange(1, len(hashes.words))[_among(hashes.of(np.arange(1, len(hashes.words))[:, None]), frequent)]
         ids, known = _dense(_without_lone_words(np.insert(tokens, np.flatnonzero(~linked) + 1, 0)))
         counts_of = shard.column("counts").combine_chunks().flatten().to_numpy()
-        texts, counts, keys, lengths = [_joined(words, listed[:, None])], [counts_of[listed - 1]], [np.zeros(len(listed), np.uint64)], [1] * len(listed)
-        for found, n in PhraseIndex(ids, max_words).phrases(max_words) if len(ids) else ():
-            own = known[found]
-            texts.append(_joined(words, own))
-            counts.append(n)
-            # words and pairs are known to be frequent; 0 stands for that
-            keys.append(hashes.of(own) if own.shape[1] > 2 else np.zeros(len(own), np.uint64))
-            lengths += [own.shape[1]] * len(own)
-        key, n = np.concatenate(keys), np.concatenate(counts)
-        lang = pa.array([hashes.lang] * len(n), pa.string())
-        listed = pa.table([lang, pa.array(lengths, pa.int32()), pa.concat_arrays(texts), pa.array(n), pa.array(key)], [*_COUNTED.names, "key"])
+        found = [(listed[:, None], counts_of[listed - 1])]
+        if len(ids):
+            found += [(known[phrases], counts) for phrases, counts in PhraseIndex(ids, max_words).phrases(max_words)]
+        columns = [
+            pa.concat_arrays([_joined(words, phrases) for phrases, _ in found]),
+            pa.array(np.concatenate([counts for _, counts in found])),
+            pa.array(np.concatenate([hashes.of(phrases) for phrases, _ in found])),
+            pa.array(np.concatenate([np.full(len(counts), phrases.shape[1] > 2) for phrases, counts in found])),
+        ]
+        listed = pa.table(columns, ["phrase", "n", "hash", "asked"])
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, listed.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_table(listed)
-        asked = _asked(number, key[key > 0], n[key > 0], bits, parts)
-        return pa.Table.from_pylist([{"shard": number, "part": _TEXT, "hashes": sink.getvalue().to_pybytes(), "counts": b""}, *asked], _ASKED)
+        key, n, open_ones = (listed.column(name).to_numpy() for name in ("hash", "n", "asked"))
+        asked = _asked(number, key[open_ones], n[open_ones], bits, parts)
+        own = {"shard": number, "part": _TEXT, "hashes": sink.getvalue().to_pybytes(), "counts": hashes.lang.encode("utf-8", "surrogatepass")}
+        return pa.Table.from_pylist([own, *asked], _ASKED)
 
     return run
 
 
+_TEXTS = pa.schema([("part", pa.int32()), ("lang", pa.string()), ("phrases", pa.binary()), ("counts", pa.binary())])
 _COUNTED = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
-def _texts(listed: pa.Table, heard: pa.Table) -> pa.Table:
-    """The phrases of a shard that may be frequent."""
-    if not listed.num_rows:
-        return _COUNTED.empty_table()
-    found = pa.ipc.open_stream(listed.column("hashes")[0].as_py()).read_all()
-    key = found.column("key").to_numpy()
-    return found.filter(pa.array((key == 0) | _among(key, _frequent(heard)))).select(_COUNTED.names)
+def _texts(bits: int, parts: int):
+    """The phrases of a shard that may be frequent, by ranges of hashes, a line each: no word has a line break."""
+
+    def run(listed: pa.Table, heard: pa.Table) -> pa.Table:
+        if not listed.num_rows:
+            return _TEXTS.empty_table()
+        lang = listed.column("counts")[0].as_py().decode("utf-8", "surrogatepass")
+        found = pa.ipc.open_stream(listed.column("hashes")[0].as_py()).read_all()
+        key = found.column("hash").to_numpy()
+        found = found.filter(pa.array(~found.column("asked").to_numpy() | _among(key, _frequent(heard)))).sort_by([("hash", "ascending")])
+        key, phrases, n = found.column("hash").to_numpy(), found.column("phrase").to_pylist(), found.column("n").to_numpy()
+        edges = np.searchsorted(key, np.array([(part << bits) // parts for part in range(1, parts)], np.uint64)).tolist()
+        rows = []
+        for part, (a, b) in enumerate(zip([0, *edges], [*edges, len(key)])):
+            if b > a:
+                order = sorted(range(a, b), key=phrases.__getitem__)  # alike phrases side by side take less room
+                text = "\n".join([phrases[i] for i in order]).encode("utf-8", "surrogatepass")
+                rows.append({"part": part, "lang": lang, "phrases": zstandard.compress(text, 3), "counts": zstandard.compress(n[order].tobytes(), 3)})
+        return pa.Table.from_pylist(rows, _TEXTS)
+
+    return run
+
+
+def _summed(min_count: int):
+    """The exact counts of the phrases in a range of hashes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        langs, phrases, counts = [], [], []
+        for row in table.to_pylist():
+            own = zstandard.decompress(row["phrases"]).decode("utf-8", "surrogatepass").split("\n")
+            langs += [row["lang"]] * len(own)
+            phrases += own
+            counts.append(np.frombuffer(zstandard.decompress(row["counts"]), np.int64))
+        every = pa.table([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(np.concatenate(counts))], ["lang", "phrase", "n"])
+        sums = every.group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("n_sum"), min_count))
+        length = pc.add(pc.count_substring(sums.column("phrase"), " "), 1).cast(pa.int32())
+        return pa.table([sums.column("lang"), length, sums.column("phrase"), sums.column("n_sum")], schema=_COUNTED)
+
+    return run
 
 
 def _joined(words: pa.Array, ids: np.ndarray) -> pa.Array:
@@ -382,9 +417,11 @@ def phrase_counts(
     pairs = ask(with_index(words, _pair_hashes(bits, parts)))
     longer = staged(with_index(words.unionByName(pairs), _phrase_hashes(bits, parts, max_words)), "phrases")
     heard = ask(longer.where(F.col("part") != _TEXT))
-    listed = longer.where(F.col("part") == _TEXT).select("shard", "hashes")
-    texts = listed.groupBy("shard").cogroup(heard.groupBy("of")).applyInArrow(_texts, "lang string, length int, phrase string, n long")
-    counts = texts.groupBy("lang", "length", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    listed = longer.where(F.col("part") == _TEXT).select("shard", "hashes", "counts")
+    texts = listed.groupBy("shard").cogroup(heard.groupBy("of")).applyInArrow(
+        _texts(bits, parts), "part int, lang string, phrases binary, counts binary"
+    )
+    counts = texts.groupBy("part").applyInArrow(_summed(min_count), "lang string, length int, phrase string, n long")
     counts = staged(counts, "counts")
     for spent in (shards, words, longer):
         drop_staged(docs.sparkSession, spent)
