@@ -200,16 +200,38 @@ class _Hashes:
     def __init__(self, shard: pa.Table, bits: int):
         self.lang = shard.column("lang")[0].as_py()
         words = shard.column("words").combine_chunks().flatten()
-        own = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
-        self.words = np.concatenate([[0], own ^ np.uint64(xxhash.xxh3_64_intdigest(self.lang))]).astype(np.uint64)
+        self.words = np.concatenate([np.zeros(1, np.uint64), _word_keys(words, self.lang)])
         self.bits = np.uint64(64 - bits)
 
     def of(self, ids: np.ndarray) -> np.ndarray:
         """Hashes of phrases, a row of ids each."""
-        total = np.full(len(ids), ids.shape[1], np.uint64)
-        for column in ids.T:
-            total = _mix(total + self.words[column])
-        return total >> self.bits
+        return _mixed(self.words[ids]) >> self.bits
+
+
+def _word_keys(words: pa.Array, lang: str) -> np.ndarray:
+    own = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
+    return own ^ np.uint64(xxhash.xxh3_64_intdigest(lang))
+
+
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """One number from the keys of a phrase's words, a row of them each."""
+    total = np.full(len(keys), keys.shape[1], np.uint64)
+    for column in keys.T:
+        total = _mix(total + column)
+    return total
+
+
+def _text_hashes(phrases: pa.Array, lang: str, bits: int) -> np.ndarray:
+    """The hashes of phrases as text, which are those of their ids."""
+    split = pc.split_pattern(phrases, " ")
+    words = split.flatten().dictionary_encode()
+    keys = _word_keys(words.dictionary, lang)[words.indices.to_numpy()]
+    starts = split.offsets.to_numpy() - split.offsets[0].as_py()
+    out = np.zeros(len(phrases), np.uint64)
+    for length in np.unique(np.diff(starts)):
+        own = np.flatnonzero(np.diff(starts) == length)
+        out[own] = _mixed(keys[starts[own][:, None] + np.arange(length)]) >> np.uint64(64 - bits)
+    return out
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -321,15 +343,13 @@ def _phrase_hashes(bits: int, parts: int, max_words: int):
         columns = [
             pa.concat_arrays([_joined(words, phrases) for phrases, _ in found]),
             pa.array(np.concatenate([counts for _, counts in found])),
-            pa.array(np.concatenate([hashes.of(phrases) for phrases, _ in found])),
-            pa.array(np.concatenate([np.full(len(counts), phrases.shape[1] > 2) for phrases, counts in found])),
         ]
-        listed = pa.table(columns, ["phrase", "n", "hash", "asked"])
+        listed = pa.table(columns, ["phrase", "n"])
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, listed.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
             writer.write_table(listed)
-        key, n, open_ones = (listed.column(name).to_numpy() for name in ("hash", "n", "asked"))
-        asked = _asked(number, key[open_ones], n[open_ones], bits, parts)
+        longer = [(hashes.of(phrases), counts) for phrases, counts in found if phrases.shape[1] > 2]
+        asked = _asked(number, *(np.concatenate(column) for column in zip(*longer)), bits, parts) if longer else []
         own = {"shard": number, "part": _TEXT, "hashes": sink.getvalue().to_pybytes(), "counts": hashes.lang.encode("utf-8", "surrogatepass")}
         return pa.Table.from_pylist([own, *asked], _ASKED)
 
@@ -348,9 +368,12 @@ def _texts(bits: int, parts: int):
             return _TEXTS.empty_table()
         lang = listed.column("counts")[0].as_py().decode("utf-8", "surrogatepass")
         found = pa.ipc.open_stream(listed.column("hashes")[0].as_py()).read_all()
-        key = found.column("hash").to_numpy()
-        found = found.filter(pa.array(~found.column("asked").to_numpy() | _among(key, _frequent(heard)))).sort_by([("hash", "ascending")])
-        key, phrases, n = found.column("hash").to_numpy(), found.column("phrase").to_pylist(), found.column("n").to_numpy()
+        every = found.column("phrase").combine_chunks()
+        key = _text_hashes(every, lang, bits)
+        # words and pairs were found to be frequent before
+        stays = np.flatnonzero((pc.count_substring(every, " ").to_numpy() < 2) | _among(key, _frequent(heard)))
+        stays = stays[np.argsort(key[stays], kind="stable")]
+        key, phrases, n = key[stays], every.take(pa.array(stays)).to_pylist(), found.column("n").to_numpy()[stays]
         edges = np.searchsorted(key, np.array([(part << bits) // parts for part in range(1, parts)], np.uint64)).tolist()
         rows = []
         for part, (a, b) in enumerate(zip([0, *edges], [*edges, len(key)])):
