@@ -34,6 +34,7 @@ SKETCHES = 12  # m, per collection
 WIDTH = 2  # minhashes in a sketch
 MIN_AGREEMENT = 0.4  # of the minhashes; a pair at 0.75 is below with probability 2e-7
 PERCENT = 75
+ROUNDS, DRAWS = 3, 4  # of comparing components through one node a shingle and draw, before all that is left is joined
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
@@ -354,22 +355,69 @@ def _prefix_links(rest: DataFrame, sets: DataFrame) -> DataFrame:
 
     Shingles are ordered by how many nodes have them. Two sets of the similarity share a shingle
     among their first n - ceil(0.75 n) + 1, so only these are joined, and only shingles that lie in
-    more than one component.
+    more than one component. As long as these have many more pairs than rows, every component is first
+    compared through one node a shingle and draw, which costs a pair a row and draw at most, and what is found to be linked is
+    one component from then on. The join at the end is whole, between the components that are left.
     """
     rows = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     common = rows.groupBy("shingle").agg(F.count("*").alias("df"))
     ordered = rows.join(common, "shingle")
     place = F.row_number().over(Window.partitionBy("node").orderBy("df", "shingle"))
     prefix = ordered.withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1)
-    prefix = staged(prefix.where("df > 1").join(rest, "node").select("shingle", "node", "component", "n", "place"), "prefix")
-    spread = prefix.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
-    prefix = prefix.join(spread.select("shingle"), "shingle", "left_semi")
-    left, right = (
-        prefix.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "place")]) for side in "uv"
-    )
+    prefix = staged(prefix.where("df > 1").select("shingle", "node", "n", "place"), "prefix")
+    links = None
+    for turn in range(ROUNDS):
+        shared, excess = _shared(prefix, rest)
+        if not excess:
+            break
+        found = staged(_confirm(_pivot_pairs(shared, turn), sets), "links")
+        if found.isEmpty():
+            break
+        links = found if links is None else links.unionByName(found)
+        rest = staged(_merged(rest, found), "rest")
+    shared, _ = _shared(prefix, rest)
+    left, right = _side(shared, "u"), _side(shared, "v")
+    pairs = left.join(right, "shingle").where("component_u < component_v").where(_near_places())
+    pairs = pairs.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
+    last = staged(_confirm(pairs, sets), "links")
+    return last if links is None else links.unionByName(last)
+
+
+def _shared(prefix: DataFrame, rest: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows of ``prefix``, with components, whose shingle lies in several, and whether their pairs outnumber them."""
+    labelled = prefix.join(rest, "node")
+    sizes = labelled.groupBy("shingle", "component").agg(F.count("*").cast("double").alias("k"))
+    spread = sizes.groupBy("shingle").agg(F.sum("k").alias("rows"), F.sum(F.col("k") * F.col("k")).alias("squares"), F.count("*").alias("parts"))
+    spread = staged(spread.where("parts > 1"), "spread")
+    total = spread.agg(F.sum("rows").alias("rows"), F.sum((F.col("rows") * F.col("rows") - F.col("squares")) / 2).alias("pairs")).first()
+    return labelled.join(spread.select("shingle"), "shingle", "left_semi"), (total["pairs"] or 0) > 2 * (total["rows"] or 0)
+
+
+def _side(rows: DataFrame, side: str) -> DataFrame:
+    return rows.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "component", "n", "place")])
+
+
+def _near_places():
     # at the first shingle two sets share, no more than the rest of the shorter one can still be shared
     most = 1 + F.least(F.col("n_u") - F.col("place_u"), F.col("n_v") - F.col("place_v"))
     enough = most * (100 + PERCENT) >= PERCENT * (F.col("n_u") + F.col("n_v"))
-    pairs = left.join(right, "shingle").where("component_u < component_v").where(_near_sizes("n_u", "n_v") & enough)
-    pairs = pairs.select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct()
-    return staged(_confirm(pairs, sets), "links")
+    return _near_sizes("n_u", "n_v") & enough
+
+
+def _pivot_pairs(shared: DataFrame, turn: int) -> DataFrame:
+    """(u, v): under every shingle and draw, one node of each component and one node of all."""
+    row = F.struct(F.xxhash64("node", "shingle", "draw").alias("drawn"), "component", "node", "n", "place")
+    draws = shared.withColumn("draw", F.explode(F.sequence(F.lit(turn * DRAWS), F.lit(turn * DRAWS + DRAWS - 1))))
+    heads = draws.groupBy("shingle", "draw", "component").agg(F.min(row).alias("row"))
+    heads = staged(heads.select(F.xxhash64("shingle", "draw").alias("shingle"), "row.*"), "heads")
+    pivots = heads.groupBy("shingle").agg(F.min(F.struct("drawn", "component", "node", "n", "place")).alias("row")).select("shingle", "row.*")
+    met = _side(heads, "u").join(_side(pivots, "v"), "shingle").where("component_u <> component_v").where(_near_places())
+    return met.select(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v")).distinct()
+
+
+def _merged(rest: DataFrame, links: DataFrame) -> DataFrame:
+    """``rest`` with one number for the components that ``links`` join."""
+    u, v = (rest.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")) for side in "uv")
+    joined = links.join(u, "u").join(v, "v").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+    roots = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("root"))
+    return rest.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component"))

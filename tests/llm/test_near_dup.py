@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from casewise.llm import near_dup
 from casewise.llm.components import connected_components
@@ -191,3 +192,20 @@ def test_no_frame_for_a_batch_without_sets_of_its_nodes():
     batch = pd.DataFrame({"node": [1, 2], "fp1": [0, 0], "fp2": [0, 0], "text": ["a b c d e f", None]})
     assert list(near_dup._checked_sets(iter([batch]))) == []
     assert list(near_dup.sketched(iter([batch.iloc[:0]]))) == []
+
+
+def test_components_are_not_compared_through_all_their_nodes(spark, monkeypatch):
+    """A family of 1000 in one component and 20 sets beside it, all linked: some pairs a set tell so, not 1000."""
+    rest = spark.createDataFrame([(i, 0 if i < 1000 else i) for i in range(1020)], "node long, component long")
+    core, own = F.sequence(F.lit(1), F.lit(100)), F.transform(F.sequence(F.lit(1), F.lit(3)), lambda k: F.col("node") * 10 + k + 1000)
+    sets = rest.select("node", F.concat(core, own).cast("array<long>").alias("shingles"))
+    counted, confirm = [], near_dup._confirm
+
+    def counting(pairs, found):
+        counted.append(pairs.count())
+        return confirm(pairs, found)
+
+    monkeypatch.setattr(near_dup, "_confirm", counting)
+    links = near_dup._prefix_links(rest, sets)
+    assert {r.component for r in near_dup._merged(rest, links).select("component").distinct().collect()} == {0}
+    assert 20 <= sum(counted) < 5000  # 20,190 between all nodes of the components
