@@ -103,3 +103,11 @@ def test_the_first_pass_has_histograms_alone(spark):
     whole = with_features(df, "text", bins, ["doc_id"]).select("row.doc_id", "n_words", "class_counts", "word_counts")
     assert sorted(with_shares(df, "text", bins, ["doc_id"]).select("row.doc_id", "n_words", "class_counts", "word_counts").collect()) == sorted(whole.collect())
     assert "xxhash64" not in plan(with_shares(df, "text", bins, ["doc_id"]))
+
+
+def test_listed_words_are_counted_by_bytes(spark):
+    """Characters of the text need not be counted again for every listed word; a listed word may have any letters."""
+    df = spark.createDataFrame([("Für das, für ñandú für",), (None,)], "text string")
+    found = with_shares(df, "text", ["das", "für", "é"], ["text"])
+    assert [r["word_counts"] for r in found.collect()] == [[1, 3, 0, 1], [0, 0, 0, 0]]
+    assert "octet_length(replace" in plan(found) and " length(replace" not in plan(found)
