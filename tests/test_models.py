@@ -84,6 +84,15 @@ def test_grid_has_every_setting_and_one_winner(spark, sf_dir):
     assert len(best) == 1 and best[0]["f1"] == max(r["f1"] for r in found)
 
 
+def test_search_keeps_only_what_it_fits(spark):
+    rows = spark.range(60).select("id", (F.col("id") % 2).cast("double").alias("label"), F.lit("wide").alias("text"))
+    rows = rows.withColumn("features", array_to_vector(F.array("label")))
+    search = classify.cross_validate(rows, "id", depths=(2,), trees=(1,), features="features")
+    kept = set(search.bestModel.summary.predictions.columns)
+    assert {"features", "label"} <= kept and not {"id", "text"} & kept
+    assert search.bestModel.summary.predictions.count() == 60
+
+
 def test_terms_speak_for_and_against_each_class(spark, sf_dir):
     found = BUILD["lr_text_coefficients"](spark, sf_dir).collect()
     assert {(r["class"], r["side"]) for r in found} == {(c, s) for c in ("en", "fr", "de", "es") for s in ("for", "against")}
