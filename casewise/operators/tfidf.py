@@ -39,19 +39,14 @@ class Vocabulary:
 def term_statistics(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """(term, n, df): total count and document frequency of every term, from one pass.
 
-    A document gives one row per distinct term, with its count, from its own sorted tokens.
+    In a document's sorted tokens, one unlike the token before it is the first of its term. Rows of (token, token before)
+    are compared as columns, as a function over the elements of an array is not compiled. A null is no token.
     """
-    ordered = df.select(F.array_sort(tokens).alias("sorted"))
-    first = F.filter(
-        F.transform("sorted", lambda t, i: F.struct(t.alias("term"), i.alias("at"))),
-        lambda p: (p["at"] == 0) | (p["term"] != F.get("sorted", p["at"] - 1)),
-    )
-    found = ordered.select(F.size("sorted").alias("size"), first.alias("first"))
-    terms = F.transform(
-        "first",
-        lambda p, i: F.struct(p["term"].alias("term"), (F.coalesce(F.get("first", i + 1)["at"], F.col("size")) - p["at"]).alias("n")),
-    )
-    return found.select(F.inline(terms)).groupBy("term").agg(F.sum("n").alias("n"), F.count("*").alias("df"))
+    ordered = df.select(F.sort_array(tokens).alias("sorted"))
+    before = F.concat(F.array(F.lit(None).cast("string")), "sorted")
+    pairs = ordered.select(F.inline(F.arrays_zip(F.col("sorted").alias("term"), before.alias("before")))).where(F.col("term").isNotNull())
+    first = ~F.col("term").eqNullSafe(F.col("before"))
+    return pairs.groupBy("term").agg(F.count("*").alias("n"), F.count_if(first).alias("df"))
 
 
 def eligible_terms(

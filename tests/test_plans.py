@@ -46,6 +46,15 @@ def test_document_terms_are_not_shuffled(spark):
         assert not re.search(r"Exchange (hash|range|Single)", plan(df))
 
 
+def test_term_statistics_are_compiled_and_exact(spark):
+    from casewise.operators import tfidf
+
+    docs = [["b", "a", "b", "ñ"], ["a", "a", "a"], [], None, ["B", None, "b", None]]
+    found = tfidf.term_statistics(spark.createDataFrame([(tokens,) for tokens in docs], "tokens array<string>"))
+    assert "lambda" not in plan(found)
+    assert {tuple(r) for r in found.collect()} == {("a", 4, 2), ("b", 3, 2), ("B", 1, 1), ("ñ", 1, 1)}
+
+
 def test_attached_predictions_read_each_side_once(spark, sf_dir):
     assert plan(BUILD["attach_predictions"](spark, sf_dir)).count("FileScan") == 2
 
